@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from terrafold.llm.chat import digests, format_chats
 from terrafold.llm.common import read
+from terrafold.llm.packing import pack_documents
 from terrafold.llm.quality import quality_rules
 from terrafold.llm.urls import judge_urls
 
@@ -29,8 +30,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read(spark, sf_dir, "documents")).drop("ids")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_quality_rules)}
+    return {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_quality_rules, op8_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
