@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from terrafold.llm import bpe
 from terrafold.llm.chat import digests, format_chats
 from terrafold.llm.common import read
+from terrafold.llm.flac import describe, to_flac
 from terrafold.llm.packing import pack_documents
 from terrafold.llm.quality import quality_rules
 from terrafold.llm.urls import judge_urls
@@ -30,12 +32,20 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"))
 
 
+def op6_media_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return describe(to_flac(read(spark, sf_dir, "documents")))
+
+
+def op7_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.encode_documents(read(spark, sf_dir, "documents")))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents")).drop("ids")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_quality_rules, op8_best_fit_packing)}
+    return {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_quality_rules, op6_media_flac, op7_bpe_encoding, op8_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
