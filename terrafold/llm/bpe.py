@@ -23,13 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import _BYTE, _P, Words, mix, powers, runs, slices, text_bytes, texts, vocabulary
+from terrafold.llm.common import _BYTE, _P, Words, in_filter, key_filter, mix, powers, runs, slices, text_bytes, texts, vocabulary
 from terrafold.llm.tokens import ODD_SPACE, Encoder, UnitTable, byte_letters, tokenizer
 
 #: A cut follows where this many high bits of the rolling hash are 0: chunks of 1 KiB on average.
 CUT_BITS = 10
-#: The filter of shared chunks has 2**FILTER_BITS bits (16 MiB).
-FILTER_BITS = 27
 ENCODED = "doc_id long, n_tokens long, ids binary"
 _SPACE = b" \t\n\x0b\x0c\r"
 _PARTS = "row long, doc_id long, part long, key long, ids binary"
@@ -203,39 +201,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(distinct), pa.array(n)], ["key", "n"])
 
 
-def _bits(keys: np.ndarray) -> np.ndarray:
-    return (keys.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-
-
-def _filter(shared: DataFrame) -> np.ndarray:
-    """A bitmap of 2**FILTER_BITS bits with those of the shared keys set. What it holds by chance is only encoded elsewhere."""
-    block = 16
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: dict[int, np.ndarray] = {}
-        for batch in batches:
-            bits = _bits(batch.column("key").to_numpy())
-            for k in np.unique(bits >> block):
-                own.setdefault(int(k), np.zeros(1 << block, bool))[bits[bits >> block == k] & ((1 << block) - 1)] = True
-        for k, flags in own.items():
-            yield pa.record_batch([pa.array([k], pa.int32()), pa.array([np.packbits(flags).tobytes()], pa.binary())], ["block", "bits"])
-
-    rows = shared.select("key", F.shiftrightunsigned("key", 64 - FILTER_BITS + block).alias("block")).repartition("block").select("key").mapInArrow(blocks, "block int, bits binary")
-    out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    for r in rows.toLocalIterator():  # at most 2**(FILTER_BITS - block) rows of 8 KiB
-        at = r.block << (block - 3)
-        out[at : at + (1 << (block - 3))] |= np.frombuffer(r.bits, np.uint8)
-    return out
-
-
-def _maybe_shared(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    at = _bits(keys)
-    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
-
-
 def _with_shared(bits: np.ndarray, odd: np.ndarray, keys: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which chunks are taken as shared, and which texts hold one. Odd texts take none."""
-    hit = _maybe_shared(bits, keys)
+    hit = in_filter(bits, keys)
     hit &= ~np.repeat(odd, np.diff(first))
     before = np.concatenate([[0], np.cumsum(hit)])
     return hit, before[first[1:]] > before[first[:-1]]
@@ -253,7 +221,7 @@ def encode_documents(docs: DataFrame, vocab: str | None = None) -> DataFrame:
     path = vocab or vocabulary("byte_bpe_50k.json")
     rows = texts(docs)
     shared = rows.select("text").mapInArrow(_counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
-    sent = docs.sparkSession.sparkContext.broadcast(_filter(shared))
+    sent = docs.sparkSession.sparkContext.broadcast(key_filter(shared.select("key")))
 
     def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Ids of the texts without shared chunks."""

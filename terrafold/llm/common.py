@@ -22,6 +22,8 @@ WORD = re.compile("[^\x20\x09-\x0d]+")
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 #: Bytes of text that are scanned at once; a longer text is scanned alone, whole.
 SLICE_BYTES = 2 << 20
+#: Filters of keys have 2**FILTER_BITS bits (16 MiB).
+FILTER_BITS = 27
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -165,6 +167,50 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             at = to
 
 
+def _filter_bits(keys: np.ndarray) -> np.ndarray:
+    return (mix(keys.astype(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """A bitmap of 2**FILTER_BITS bits with those of all keys (one long column) set: of fixed size, so it may be broadcast.
+
+    It says of every key that it may be there, and of few others; those must do no harm.
+    """
+    block = 16
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: dict[int, np.ndarray] = {}
+        for batch in batches:
+            bits = np.unique(_filter_bits(batch.column(0).to_numpy()))
+            cuts = np.flatnonzero(np.diff(bits >> block)) + 1
+            for part in np.split(bits, cuts) if len(bits) else ():
+                own.setdefault(int(part[0]) >> block, np.zeros(1 << block, bool))[part & ((1 << block) - 1)] = True
+        for k, flags in own.items():
+            yield pa.record_batch([pa.array([k], pa.int32()), pa.array([np.packbits(flags).tobytes()], pa.binary())], ["block", "bits"])
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, raw in zip(batch.column("block").to_pylist(), batch.column("bits").to_pylist(), strict=True):
+                bits = np.frombuffer(raw, np.uint8)
+                own[k] = own[k] | bits if k in own else bits
+        for k, bits in own.items():
+            yield pa.record_batch([pa.array([k], pa.int32()), pa.array([bits.tobytes()], pa.binary())], ["block", "bits"])
+
+    schema = "block int, bits binary"
+    rows = keys.mapInArrow(blocks, schema).repartition("block").mapInArrow(merged, schema)
+    out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    for r in rows.toLocalIterator():  # at most 2**(FILTER_BITS - block) rows of 8 KiB
+        at = r.block << (block - 3)
+        out[at : at + (1 << (block - 3))] |= np.frombuffer(r.bits, np.uint8)
+    return out
+
+
+def in_filter(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = _filter_bits(keys)
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 def vocabulary(name: str) -> str:
     """The path of a public vocabulary file in the folder that TOKENIZERS_DIR names, /opt/tokenizers by default."""
     return os.path.join(os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers"), name)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrafold.llm import bpe
+from terrafold.llm import bpe, substring
 from terrafold.llm.chat import digests, format_chats
 from terrafold.llm.common import read
 from terrafold.llm.flac import describe, to_flac
@@ -44,8 +44,12 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents")).drop("ids")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digests(substring.remove_repeats(read(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_quality_rules, op6_media_flac, op7_bpe_encoding, op8_best_fit_packing)}
+    return {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_quality_rules, op6_media_flac, op7_bpe_encoding, op8_best_fit_packing, op9_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
