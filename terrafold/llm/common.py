@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 WORD = re.compile("[^\x20\x09-\x0d]+")
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 #: Bytes of text that are scanned at once; a longer text is scanned alone, whole.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Filters of keys have 2**FILTER_BITS bits (16 MiB).
 FILTER_BITS = 27
 
