@@ -10,6 +10,7 @@ from terrafold.llm import bpe, substring
 from terrafold.llm.chat import digests, format_chats
 from terrafold.llm.common import read
 from terrafold.llm.flac import describe, to_flac
+from terrafold.llm.jaccard import shingle_classes
 from terrafold.llm.packing import pack_documents
 from terrafold.llm.quality import quality_rules
 from terrafold.llm.urls import judge_urls
@@ -48,8 +49,12 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digests(substring.remove_repeats(read(spark, sf_dir, "documents")))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_classes(read(spark, sf_dir, "documents"), 4, 85)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_quality_rules, op6_media_flac, op7_bpe_encoding, op8_best_fit_packing, op9_substring_dedup)}
+    return {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_quality_rules, op6_media_flac, op7_bpe_encoding, op8_best_fit_packing, op9_substring_dedup, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:

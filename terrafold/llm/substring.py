@@ -8,7 +8,7 @@ repeated is lost. Pass two sends only the windows estimated repeated, one for
 each stretch and smallest document, to exact groups by a 96-bit hash. What the
 groups find covered travels back to its documents as positions.
 
-The merged sketch is of fixed size (DEPTH times 2**WIDTH_BITS bits) and is
+The merged sketch is of fixed size (sketch.py) and is
 broadcast as a bitmap; a larger corpus fills it more and sends more windows to
 the exact groups, with the same result.
 """
@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrafold.llm.common import Words, in_filter, key_filter, mix, runs, slices, stored, text_bytes, windows, words
+from terrafold.llm.sketch import WIDTH_BITS, estimated_repeated, sketch
 
-WIDTH_BITS, DEPTH, BLOCK_BITS = 28, 2, 18
-#: Windows in one sketch or one set of candidates; a stretch ends at the next slice of texts.
+#: Windows in one set of candidates, or positions in one answer; a stretch ends at the next slice of texts.
 STRETCH = 1_500_000
 _CHECK = 0xA24BAED4963EE407 | 1
 _SENT = "bucket int, hash binary, check binary, doc binary, mark binary, position binary, covered boolean"
@@ -35,25 +35,6 @@ _COVERED = "doc_id long, mark long, positions binary"
 RESULT = "doc_id long, text string, n_words long, n_removed long"
 
 
-def _cells(hashes: np.ndarray, row: int, width: int) -> np.ndarray:
-    h = hashes if row == 0 else mix(hashes + np.uint64(0x9E3779B97F4A7C15 * row % 2**64))
-    return (h >> np.uint64(64 - width)).astype(np.uint32)
-
-
-def _deltas(offsets: np.ndarray) -> bytes:
-    """Ascending offsets as bytes: 255 moves on by 255, less than that moves on and stops there."""
-    d = np.diff(offsets, prepend=0)
-    n = d // 255 + 1
-    out = np.full(int(n.sum()), 255, np.uint8)
-    out[np.cumsum(n) - 1] = d % 255
-    return out.tobytes()
-
-
-def _offsets(raw: bytes) -> np.ndarray:
-    d = np.frombuffer(raw, np.uint8)
-    return np.cumsum(d, dtype=np.int64)[d != 255]
-
-
 def grams_of(data: np.ndarray, offsets: np.ndarray, k: int, check: bool = False) -> tuple[np.ndarray, ...]:
     """Hashes of the windows of k words within each text, how many come before each text, and a second hash."""
     found = Words(data, offsets)
@@ -64,65 +45,6 @@ def grams_of(data: np.ndarray, offsets: np.ndarray, k: int, check: bool = False)
     return (*out, (windows(h, k, _CHECK)[own] >> np.uint64(32)).astype(np.uint32) if len(own) else np.zeros(0, np.uint32)) if check else out
 
 
-def sketch(docs: DataFrame, k: int, width: int = WIDTH_BITS) -> np.ndarray:
-    """For each row of the merged sketch, the bitmap of counters that reached two."""
-    block = min(BLOCK_BITS, width)
-    blocks = 1 << (width - block)
-
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            h = np.concatenate(held) if held else np.zeros(0, np.uint64)
-            held.clear()
-            for row in range(DEPTH):
-                at, n = np.unique(_cells(h, row, width), return_counts=True)
-                cuts = np.searchsorted(at, np.arange(blocks + 1, dtype=np.uint64) << np.uint64(block))
-                full = np.flatnonzero(np.diff(cuts))
-                low = (at & np.uint32((1 << block) - 1)).astype(np.int64)
-                rows = [(row * blocks + b, low[cuts[b] : cuts[b + 1]], n[cuts[b] : cuts[b + 1]]) for b in full.tolist()]
-                yield pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([_deltas(r[1]) for r in rows], pa.binary()), pa.array([_deltas(r[1][r[2] > 1]) if (r[2] > 1).any() else b"" for r in rows], pa.binary())], ["cell", "once", "twice"])
-
-        for _, data, offsets in slices(batches):
-            held.append(grams_of(data, offsets, k)[0])
-            if sum(map(len, held)) >= STRETCH:
-                yield from flush()
-        yield from flush()
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = cell = None
-
-        def done() -> pa.RecordBatch:
-            return pa.record_batch([pa.array([cell], pa.int32()), pa.array([np.packbits(counts > 1).tobytes()], pa.binary())], ["cell", "bits"])
-
-        for batch in batches:
-            for c, once, twice in zip(*(batch.column(n).to_pylist() for n in ("cell", "once", "twice")), strict=True):
-                if c != cell:
-                    if cell is not None:
-                        yield done()
-                    cell, counts = c, np.zeros(1 << block, np.uint8)
-                for raw in (once, twice):
-                    at = _offsets(raw)
-                    counts[at] = np.minimum(counts[at] + 1, 2)
-        if cell is not None:
-            yield done()
-
-    parts = docs.select("text").mapInArrow(own, "cell int, once binary, twice binary")
-    merged = parts.repartition("cell").sortWithinPartitions("cell").mapInArrow(merge, "cell int, bits binary")
-    out = np.zeros((DEPTH * blocks, max(1, (1 << block) // 8)), np.uint8)
-    for r in merged.toLocalIterator():  # DEPTH * 2**WIDTH_BITS bits in all, whatever the input
-        out[r.cell] = np.frombuffer(r.bits, np.uint8)
-    return out.reshape(DEPTH, -1)
-
-
-def estimated_repeated(bitmaps: np.ndarray, hashes: np.ndarray, width: int = WIDTH_BITS) -> np.ndarray:
-    out = np.ones(len(hashes), bool)
-    for row in range(DEPTH):
-        at = _cells(hashes[out], row, width).astype(np.int64)
-        out[out] = bitmaps[row][at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1
-    return out
-
-
 def _mark(raw: bytes) -> int:
     """Tells rows apart that share a doc_id but not a text."""
     return zlib.crc32(raw)
@@ -150,7 +72,7 @@ def covered_positions(docs: DataFrame, k: int, width: int = WIDTH_BITS) -> DataF
     Of windows that a document repeats within itself, the first may stand for all. A document can have several rows.
     """
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(sketch(docs, k, width))
+    sent = spark.sparkContext.broadcast(sketch(docs, lambda data, offsets: grams_of(data, offsets, k)[0], width))
     buckets = 64 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

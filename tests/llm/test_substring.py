@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from terrafold.llm import substring
+from terrafold.llm import sketch, substring
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -38,6 +38,7 @@ def corpus():
 @pytest.mark.parametrize(("k", "width"), [(5, 22), (5, 6), (8, 22)])
 def test_against_brute_force(spark, monkeypatch, k, width):
     monkeypatch.setattr(substring, "STRETCH", 200)
+    monkeypatch.setattr(sketch, "STRETCH", 200)
     monkeypatch.setattr("terrafold.llm.common.SLICE_BYTES", 300)
     texts = corpus()
     df = spark.createDataFrame([(d, t, 1) for d, t in texts.items()], "doc_id long, text string, mark int").repartition(5)
@@ -65,8 +66,8 @@ def test_sketch_loses_none(spark):
     offsets[-1] -= 1
     h, _ = substring.grams_of(data, offsets, 3)
     values, n = np.unique(h, return_counts=True)
-    bits = substring.sketch(df, 3, 20)
-    maybe = substring.estimated_repeated(bits, values, 20)
+    bits = sketch.sketch(df, lambda d, o: substring.grams_of(d, o, 3)[0], 20)
+    maybe = sketch.estimated_repeated(bits, values, 20)
     assert maybe[n > 1].all() and maybe[n == 1].mean() < 0.05
     x = np.unique(rng.integers(0, 1 << 18, 500))
-    assert (substring._offsets(substring._deltas(x)) == x).all()
+    assert (sketch._offsets(sketch._deltas(x)) == x).all()
