@@ -11,6 +11,7 @@ from terrafold.llm.chat import digests, format_chats
 from terrafold.llm.common import read
 from terrafold.llm.flac import describe, to_flac
 from terrafold.llm.jaccard import shingle_classes
+from terrafold.llm.lm import score_documents
 from terrafold.llm.packing import pack_documents
 from terrafold.llm.quality import quality_rules
 from terrafold.llm.urls import judge_urls
@@ -33,6 +34,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(read(spark, sf_dir, "documents"))
+
+
 def op6_media_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     return describe(to_flac(read(spark, sf_dir, "documents")))
 
@@ -54,7 +59,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_quality_rules, op6_media_flac, op7_bpe_encoding, op8_best_fit_packing, op9_substring_dedup, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_quality_rules, op4_lm_scoring, op6_media_flac, op7_bpe_encoding, op8_best_fit_packing, op9_substring_dedup, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
