@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import _BYTE, _P, Words, in_filter, key_filter, mix, powers, runs, slices, text_bytes, texts, vocabulary
+from terrafold.llm.common import _BYTE, _P, Words, in_filter, key_filter, mix, powers, runs, ship, slices, text_bytes, texts, vocabulary
 from terrafold.llm.tokens import ODD_SPACE, Encoder, UnitTable, byte_letters, tokenizer
 
 #: A cut follows where this many high bits of the rolling hash are 0: chunks of 1 KiB on average.
@@ -221,7 +221,7 @@ def encode_documents(docs: DataFrame, vocab: str | None = None) -> DataFrame:
     path = vocab or vocabulary("byte_bpe_50k.json")
     rows = texts(docs)
     shared = rows.select("text").mapInArrow(_counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
-    sent = docs.sparkSession.sparkContext.broadcast(key_filter(shared.select("key")))
+    sent = ship(docs.sparkSession, key_filter(shared.select("key")))
 
     def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Ids of the texts without shared chunks."""

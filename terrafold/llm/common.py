@@ -11,10 +11,12 @@ import os
 import re
 import tempfile
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +24,8 @@ WORD = re.compile("[^\x20\x09-\x0d]+")
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 #: Bytes of text that are scanned at once; a longer text is scanned alone, whole.
 SLICE_BYTES = 1 << 20
-#: Filters of keys have 2**FILTER_BITS bits (16 MiB).
-FILTER_BITS = 27
+#: Filters of keys have 2**FILTER_BITS bits (4 MiB).
+FILTER_BITS = 25
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -38,6 +40,8 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table of a folder. Texts can be long, so tasks are handed them in small Arrow batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -165,6 +169,27 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
             yield batch.slice(at, to - at), data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
             at = to
+        pa.default_memory_pool().release_unused()
+
+
+class Packed:
+    """An array that travels compressed where most of it is 0; whoever unpickles it gets the array."""
+
+    def __init__(self, array: np.ndarray) -> None:
+        self.array = array
+
+    def __reduce__(self) -> tuple:
+        if 8 * np.count_nonzero(self.array) < self.array.size:
+            return _unpacked, (zlib.compress(np.ascontiguousarray(self.array), 1), self.array.dtype.str, self.array.shape)
+        return np.asarray, (self.array,)
+
+
+def _unpacked(raw: bytes, kind: str, shape: tuple[int, ...]) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(raw), kind).reshape(shape)
+
+
+def ship(spark: SparkSession, array: np.ndarray) -> Broadcast:
+    return spark.sparkContext.broadcast(Packed(array))
 
 
 def _filter_bits(keys: np.ndarray) -> np.ndarray:

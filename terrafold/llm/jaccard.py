@@ -1,11 +1,14 @@
 """N-gram Jaccard join with signature trees.
 
 Candidates. Two sets whose Jaccard similarity reaches the threshold differ in at
-most H tokens, H given by their sizes. Hashing tokens into H + 1 parts (and a few
-more, for parts that are empty) therefore leaves them a part in which they agree
-token for token; equal part sums bring sets together. A count-min sketch first
+most H tokens, H given by their sizes. Hashing tokens into H + 1 parts (and some
+more, to spare for parts of hardly any token) therefore leaves them a part in which they agree
+token for token; equal sums of parts that are not small bring sets together. A count-min sketch first
 says which sums are found twice at all. Sizes fall into classes such that partners
-are in the same or the next class, and every set takes part at two levels.
+are in the same or the next class, and every set takes part at two levels. Common
+tokens, found by one pass of counters, are left out of the sums where enough others
+are there: that can only make sets differ less, and texts that share a passage but
+little else do not meet.
 Candidate groups are joined to components, and only sets in one travel, once.
 
 Join. The sets of a component build a signature tree: leaves of sets near each
@@ -20,19 +23,26 @@ their summaries do not prune.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import Words, in_filter, key_filter, mix, runs, slices, stored, windows
+from terrafold.llm.common import Words, in_filter, key_filter, mix, runs, ship, slices, stored, windows
 from terrafold.llm.components import components
 from terrafold.llm.sketch import estimated_repeated, sketch
 
 #: Bits of a node's bitmap; sets of a leaf; sets of a block.
-BITS, LEAF, BLOCK = 4096, 16, 4096
+BITS, LEAF, BLOCK = 4096, 16, 8192
+#: Classes of so many sets are pieces of their own where blocks meet; smaller ones of a block are one piece.
+LARGE = 256
+#: Parts with so few tokens are not asked to agree, unless a set has more of them than spare parts: they say little.
+SMALL = 1
+#: Counters that tell common tokens, as a power of two, and how far above twice the mean a common token's counter is.
+HOT_BITS, HOT_MARGIN = 21, 64
 RESULT = "doc_id long, n_shingles long, component_id long"
 
 
@@ -46,7 +56,7 @@ class Shape:
             edges.append(max(edges[-1] + 1, (edges[-1] - 1) * 100 // percent + 1))
         self.edges = np.array(edges)
         self.differ = 2 * (self.edges[1:] - 1) * (100 - percent) // (100 + percent)
-        self.spare = 1 + self.differ // 50
+        self.spare = 2 + self.differ // 5
         self.parts = self.differ + 1 + self.spare
 
     def classes(self, n: np.ndarray) -> np.ndarray:
@@ -68,36 +78,84 @@ class Shape:
             if len(at):
                 whole = mix(windows(h, short)[found.first[at]] + np.uint64(short))
                 grams, doc = np.concatenate([grams, whole]), np.concatenate([doc, at])
-        order = np.lexsort((grams, doc))
-        grams, doc = grams[order], doc[order]
+                grams, doc = grams[(order := np.argsort(doc, kind="stable"))], doc[order]
+        cuts = np.searchsorted(doc, np.arange(len(n) + 1)).tolist()
+        for a, b in pairwise(cuts):
+            grams[a:b].sort()
         new = np.ones(len(grams), bool)
         new[1:] = (grams[1:] != grams[:-1]) | (doc[1:] != doc[:-1])
         return grams[new], np.searchsorted(doc[new], np.arange(len(n) + 1))
 
-    def signatures(self, grams: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Part sums of all sets at both their levels, and the set each belongs to."""
+    def signatures(self, grams: np.ndarray, first: np.ndarray, hot: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Part sums of all sets at both their levels, and the set each belongs to. hot: a bitmap of common tokens."""
         n = np.diff(first)
         owner = np.repeat(np.arange(len(n)), n)
         values = mix(grams + np.uint64(0x632BE59BD9B4E019))
+        cold = np.ones(len(grams), bool) if hot is None else ~_bit(hot, grams)
         out, whose = [], []
         for up in (0, 1):
             level = self.classes(np.maximum(n, 1)) + up
             parts = np.where(n > 0, self.parts[level], 0)
             base = np.cumsum(parts) - parts
-            sums, filled = np.zeros(int(parts.sum()), np.uint64), np.zeros(int(parts.sum()), bool)
+            size = int(parts.sum())
             at = base[owner] + ((grams >> np.uint64(32)) * parts[owner].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
-            np.add.at(sums, at, values)
-            filled[at] = True
             doc = np.repeat(np.arange(len(n)), parts)
-            part = np.arange(len(sums)) - base[doc]
-            empty = np.add.reduceat(np.append(~filled, False).astype(np.int64), np.minimum(base, len(filled)))[: len(n)] if len(n) else base
-            keep = filled | (empty > self.spare[level])[doc]
-            tag = mix((level[doc].astype(np.uint64) << np.uint64(40)) + part.astype(np.uint64))
-            out.append(mix(sums + tag)[keep])
+            tag = mix((level[doc].astype(np.uint64) << np.uint64(40)) + (np.arange(size) - base[doc]).astype(np.uint64))
+
+            def sums(own: np.ndarray, at: np.ndarray = at, size: int = size) -> tuple[np.ndarray, np.ndarray]:
+                total = np.zeros(size, np.uint64)
+                np.add.at(total, at[own], values[own])
+                return total, np.bincount(at[own], minlength=size)
+
+            total, filled = sums(cold)
+            keep = filled > SMALL
+            out.append(mix(total + tag)[keep])
+            whose.append(doc[keep])
+            # sets with more small parts than are to spare take part with all their tokens too
+            more = (np.bincount(doc[~keep], minlength=len(n)) > self.spare[level])[doc]
+            total, filled = sums(np.ones(len(grams), bool))
+            empty = np.bincount(doc[filled == 0], minlength=len(n)) > self.spare[level]
+            keep = more & ((filled > 0) | empty[doc])
+            out.append(mix(total + tag + np.uint64(1))[keep])
             whose.append(doc[keep])
         return np.concatenate(out), np.concatenate(whose)
 
 
+def _bit(bitmap: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    at = (grams >> np.uint64(64 - HOT_BITS)).astype(np.int64)
+    return (bitmap[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def common_tokens(rows: DataFrame, distinct: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """A bitmap of 2**HOT_BITS counters, summed over all tokens, that are well above their mean: of fixed size.
+
+    Tokens counted there are left out where sets are brought together; which ones are has no effect on the result.
+    """
+    block = 14
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << HOT_BITS, np.int64)
+        for _, data, offsets in slices(batches):
+            counts += np.bincount((distinct(data, offsets) >> np.uint64(64 - HOT_BITS)).astype(np.int64), minlength=len(counts))
+        cells = np.minimum(counts, 65535).astype(np.uint16).reshape(-1, 1 << block)
+        full = np.flatnonzero(cells.any(axis=1)).tolist()
+        yield pa.record_batch([pa.array(full, pa.int32()), pa.array([cells[i].tobytes() for i in full], pa.binary())], ["block", "counts"])
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                total[k] = total.get(k, 0) + np.frombuffer(raw, np.uint16).astype(np.int64)
+        for k, x in total.items():
+            yield pa.record_batch([pa.array([k], pa.int32()), pa.array([x.tobytes()], pa.binary())], ["block", "counts"])
+
+    parts = rows.select("text").mapInArrow(own, "block int, counts binary").repartition("block").mapInArrow(merged, "block int, counts binary")
+    out = np.zeros((1 << (HOT_BITS - block), 1 << block), np.int64)
+    for r in parts.toLocalIterator():  # 2**HOT_BITS counters in all
+        out[r.block] = np.frombuffer(r["counts"], np.int64)
+    return np.packbits(out.ravel() > 2 * out.mean() + HOT_MARGIN)
+
+
 def set_ids(grams: np.ndarray, first: np.ndarray) -> np.ndarray:
     """A 63-bit identity of each set, which does not depend on order; equal sets have equal ones."""
     total = np.zeros(len(grams) + 1, np.uint64)
@@ -231,7 +289,7 @@ def _edges(links: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.record_batch([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["a", "b"])
 
 
-def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80, width: int = 28, block: int = BLOCK) -> DataFrame:
+def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80, width: int = 27, block: int = BLOCK) -> DataFrame:
     """RESULT: each row's number of distinct k-word shingles and the smallest doc_id its links reach, itself included.
 
     Words are lower-cased A-Z. A text with fewer words than k has its whole sequence as one shingle; null and empty
@@ -247,10 +305,15 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80, width: int =
             grams, first = shape.sets(data, offsets)
             yield pa.record_batch([batch.column("doc_id"), pa.array(set_ids(grams, first)), pa.array(np.diff(first))], ["doc_id", "sid", "n"])
 
-    def own_signatures(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    def distinct(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The tokens of the different sets of a slice."""
+        grams, first = shape.sets(data, offsets)
+        return grams[np.repeat(once(grams, first), np.diff(first))]
+
+    def own_signatures(_: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Each set's signatures once for each slice of texts, so that copies count only where slices meet."""
         grams, first = shape.sets(data, offsets)
-        signatures, whose = shape.signatures(grams, first)
+        signatures, whose = shape.signatures(grams, first, hot.value)
         return signatures[once(grams, first)[whose]]
 
     def once(grams: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -258,12 +321,13 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80, width: int =
         out[np.unique(set_ids(grams, first), return_index=True)[1]] = True
         return out
 
-    seen = docs.sparkSession.sparkContext.broadcast(sketch(rows, own_signatures, width))
+    hot = ship(docs.sparkSession, common_tokens(rows, distinct))
+    seen = ship(docs.sparkSession, sketch(rows.select("text"), own_signatures, width))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, offsets in slices(batches):
             grams, first = shape.sets(data, offsets)
-            signatures, whose = shape.signatures(grams, first)
+            signatures, whose = shape.signatures(grams, first, hot.value)
             at = np.flatnonzero(once(grams, first)[whose])
             at = at[estimated_repeated(seen.value, signatures[at], width)]
             sids = set_ids(grams, first)[whose[at]]
@@ -274,7 +338,7 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80, width: int =
     least = groups.groupBy("signature").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).filter("low < high").select("signature", "low")
     near = components(groups.join(least, "signature").filter("sid <> low").select(F.col("low").alias("a"), F.col("sid").alias("b")))
     near = stored(near)
-    wanted = docs.sparkSession.sparkContext.broadcast(key_filter(near.select("node")))
+    wanted = ship(docs.sparkSession, key_filter(near.select("node")))
 
     def travelling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, offsets in slices(batches):
@@ -312,13 +376,14 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80, width: int =
 def _across(sets: DataFrame, classes: DataFrame, shape: Shape) -> DataFrame:
     """Links between the blocks of a component that are not in one class yet.
 
-    Blocks are cut by class, summaries (bitmap, sizes) of these pieces meet, and only pairs of pieces that the
-    summaries do not prune are joined.
+    Large classes are pieces of their own in each block, all else of a block is one piece. Summaries (bitmap, sizes)
+    of the pieces meet, and only pairs that they do not prune, and that are not of one class, are joined.
     """
     piece = ["component", "block", "class"]
-    marked = sets.join(classes.select(F.col("node").alias("sid"), F.col("component").alias("class")), "sid", "left")
-    alone = F.pmod(F.xxhash64("sid"), F.lit(64)) - 64  # sets in no class yet: pieces of those alike at random
-    marked = stored(marked.select("component", "block", F.coalesce("class", alone).alias("class"), "sid", "grams"))
+    large = classes.groupBy("component").agg(F.count("*").alias("n")).filter(F.col("n") > LARGE).select("component")
+    named = classes.join(large, "component").select(F.col("node").alias("sid"), F.col("component").alias("class"))
+    marked = sets.join(named, "sid", "left")
+    marked = stored(marked.select("component", "block", F.coalesce("class", F.lit(-1).cast("long")).alias("class"), "sid", "grams"))
 
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, _, own in _members(batches):

@@ -1,6 +1,6 @@
 """Count-min sketches of the hashes found in texts, merged over partitions.
 
-A sketch has DEPTH rows of 2**width counters that need to tell none, one and
+A sketch has a few rows of 2**width counters that need to tell none, one and
 more apart. Each stretch of a partition sends its counters as delta-coded
 offsets, block by block; blocks are summed where they meet. The sums
 overestimate: a hash that any row has counted once at most is not repeated. The
@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame
 
 from terrafold.llm.common import mix, slices
 
-WIDTH_BITS, DEPTH, BLOCK_BITS = 28, 2, 18
+WIDTH_BITS, BLOCK_BITS = 28, 18
 #: Hashes that a task sketches at once.
-STRETCH = 1_500_000
+STRETCH = 500_000
 
 
 def _cells(hashes: np.ndarray, row: int, width: int) -> np.ndarray:
@@ -41,7 +41,7 @@ def _offsets(raw: bytes) -> np.ndarray:
     return np.cumsum(d, dtype=np.int64)[d != 255]
 
 
-def sketch(docs: DataFrame, hashes_of: Callable[[np.ndarray, np.ndarray], np.ndarray], width: int = WIDTH_BITS) -> np.ndarray:
+def sketch(docs: DataFrame, hashes_of: Callable[[pa.RecordBatch, np.ndarray, np.ndarray], np.ndarray], width: int = WIDTH_BITS, depth: int = 2) -> np.ndarray:
     """For each row of the merged sketch of what hashes_of finds in the texts, the bitmap of counters that reached two."""
     block = min(BLOCK_BITS, width)
     blocks = 1 << (width - block)
@@ -52,7 +52,7 @@ def sketch(docs: DataFrame, hashes_of: Callable[[np.ndarray, np.ndarray], np.nda
         def flush() -> Iterator[pa.RecordBatch]:
             h = np.concatenate(held) if held else np.zeros(0, np.uint64)
             held.clear()
-            for row in range(DEPTH):
+            for row in range(depth):
                 at, n = np.unique(_cells(h, row, width), return_counts=True)
                 cuts = np.searchsorted(at, np.arange(blocks + 1, dtype=np.uint64) << np.uint64(block))
                 full = np.flatnonzero(np.diff(cuts))
@@ -60,8 +60,8 @@ def sketch(docs: DataFrame, hashes_of: Callable[[np.ndarray, np.ndarray], np.nda
                 rows = [(row * blocks + b, low[cuts[b] : cuts[b + 1]], n[cuts[b] : cuts[b + 1]]) for b in full.tolist()]
                 yield pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([_deltas(r[1]) for r in rows], pa.binary()), pa.array([_deltas(r[1][r[2] > 1]) if (r[2] > 1).any() else b"" for r in rows], pa.binary())], ["cell", "once", "twice"])
 
-        for _, data, offsets in slices(batches):
-            held.append(hashes_of(data, offsets))
+        for batch, data, offsets in slices(batches):
+            held.append(hashes_of(batch, data, offsets))
             if sum(map(len, held)) >= STRETCH:
                 yield from flush()
         yield from flush()
@@ -84,17 +84,17 @@ def sketch(docs: DataFrame, hashes_of: Callable[[np.ndarray, np.ndarray], np.nda
         if cell is not None:
             yield done()
 
-    parts = docs.select("text").mapInArrow(own, "cell int, once binary, twice binary")
+    parts = docs.mapInArrow(own, "cell int, once binary, twice binary")
     merged = parts.repartition("cell").sortWithinPartitions("cell").mapInArrow(merge, "cell int, bits binary")
-    out = np.zeros((DEPTH * blocks, max(1, (1 << block) // 8)), np.uint8)
-    for r in merged.toLocalIterator():  # DEPTH * 2**WIDTH_BITS bits in all, whatever the input
+    out = np.zeros((depth * blocks, max(1, (1 << block) // 8)), np.uint8)
+    for r in merged.toLocalIterator():  # depth * 2**width bits in all, whatever the input
         out[r.cell] = np.frombuffer(r.bits, np.uint8)
-    return out.reshape(DEPTH, -1)
+    return out.reshape(depth, -1)
 
 
 def estimated_repeated(bitmaps: np.ndarray, hashes: np.ndarray, width: int = WIDTH_BITS) -> np.ndarray:
     out = np.ones(len(hashes), bool)
-    for row in range(DEPTH):
+    for row in range(len(bitmaps)):
         at = _cells(hashes[out], row, width).astype(np.int64)
         out[out] = bitmaps[row][at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1
     return out

@@ -8,6 +8,11 @@ repeated is lost. Pass two sends only the windows estimated repeated, one for
 each stretch and smallest document, to exact groups by a 96-bit hash. What the
 groups find covered travels back to its documents as positions.
 
+Exact copies are settled first, by hashes of whole texts: a copy of a document with a
+smaller doc_id loses all its windows and need not be sketched. Which rows are copies
+goes to the tasks as two bitmaps of fixed size, one of the copies and one of the rows
+that the first would take for copies by chance; rows in the first alone are copies.
+
 The merged sketch is of fixed size (sketch.py) and is
 broadcast as a bitmap; a larger corpus fills it more and sends more windows to
 the exact groups, with the same result.
@@ -16,23 +21,27 @@ the exact groups, with the same result.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import Words, in_filter, key_filter, mix, runs, slices, stored, text_bytes, windows, words
+from terrafold.llm.common import Packed, Words, in_filter, key_filter, mix, runs, ship, slices, stored, windows, words
 from terrafold.llm.sketch import WIDTH_BITS, estimated_repeated, sketch
 
+#: Rows of the sketch.
+DEPTH = 3
 #: Windows in one set of candidates, or positions in one answer; a stretch ends at the next slice of texts.
-STRETCH = 1_500_000
+STRETCH = 200_000
 _CHECK = 0xA24BAED4963EE407 | 1
 _SENT = "bucket int, hash binary, check binary, doc binary, mark binary, position binary, covered boolean"
+_FOUND = "bucket int, doc binary, mark binary, position binary"
 _COVERED = "doc_id long, mark long, positions binary"
-RESULT = "doc_id long, text string, n_words long, n_removed long"
+RESULT = "doc_id long, text string, n_words long, n_removed long, key long"
 
 
 def grams_of(data: np.ndarray, offsets: np.ndarray, k: int, check: bool = False) -> tuple[np.ndarray, ...]:
@@ -45,11 +54,6 @@ def grams_of(data: np.ndarray, offsets: np.ndarray, k: int, check: bool = False)
     return (*out, (windows(h, k, _CHECK)[own] >> np.uint64(32)).astype(np.uint32) if len(own) else np.zeros(0, np.uint32)) if check else out
 
 
-def _mark(raw: bytes) -> int:
-    """Tells rows apart that share a doc_id but not a text."""
-    return zlib.crc32(raw)
-
-
 def _by_document(doc: np.ndarray, mark: np.ndarray, position: np.ndarray) -> pa.RecordBatch:
     """Positions gathered for each document and mark."""
     order = np.lexsort((position, mark, doc))
@@ -62,18 +66,44 @@ def _by_document(doc: np.ndarray, mark: np.ndarray, position: np.ndarray) -> pa.
     return pa.record_batch([pa.array(doc[first]), pa.array(mark[first].astype(np.int64)), pa.array(cells, pa.binary())], ["doc_id", "mark", "positions"])
 
 
+def _marks(keys: np.ndarray) -> np.ndarray:
+    """Tells rows apart that share a doc_id but not a text."""
+    return keys.view(np.uint64).astype(np.uint32)
+
+
 def _doc_keys(doc: np.ndarray, mark: np.ndarray) -> np.ndarray:
     return mix(doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mark.astype(np.uint64)).view(np.int64)
 
 
-def covered_positions(docs: DataFrame, k: int, width: int = WIDTH_BITS) -> DataFrame:
-    """_COVERED: starts of windows that also start in a document with a smaller doc_id.
+class Copies:
+    """Tells which keys are those of exact copies of texts with a smaller doc_id, with what fits two bitmaps."""
+
+    def __init__(self, rows: DataFrame) -> None:
+        text = ["text_a", "text_b", "size"]
+        keys = stored(rows.filter("doc_id is not null").select("doc_id", "key", F.xxhash64("text").alias("text_a"), F.hash("text").alias("text_b"), F.length("text").alias("size")))
+        firsts = keys.groupBy(*text).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").drop("last")
+        copies = stored(keys.join(firsts, text).filter("doc_id > first").select("key").distinct())
+        self.copies = Packed(key_filter(copies))
+        like = keys.select("key").mapInArrow(lambda batches: (b.filter(pa.array(in_filter(self.copies, b.column(0).to_numpy()))) for b in batches), "key long")
+        self.others = Packed(key_filter(like.join(copies, "key", "left_anti")))
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        return in_filter(self.copies, keys) & ~in_filter(self.others, keys)
 
-    Of windows that a document repeats within itself, the first may stand for all. A document can have several rows.
+
+def covered_positions(docs: DataFrame, copies: Broadcast, k: int, width: int = WIDTH_BITS) -> DataFrame:
+    """_COVERED, one row a document: starts of windows that also start in a document with a smaller doc_id.
+
+    Of windows that a document repeats within itself, the first may stand for all.
     """
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(sketch(docs, lambda data, offsets: grams_of(data, offsets, k)[0], width))
-    buckets = 64 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def originals(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        h, before = grams_of(data, offsets, k)
+        return h[np.repeat(~copies.value(batch.column("key").to_numpy()), np.diff(before))]
+
+    sent = ship(spark, sketch(docs.select("text", "key"), originals, width, DEPTH))
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -109,15 +139,12 @@ def covered_positions(docs: DataFrame, k: int, width: int = WIDTH_BITS) -> DataF
         for batch, data, offsets in slices(batches):
             h, before, check = grams_of(data, offsets, k, check=True)
             ids = batch.column("doc_id")
-            known = ids.is_valid().to_numpy(zero_copy_only=False)
+            known = ids.is_valid().to_numpy(zero_copy_only=False) & ~copies.value(batch.column("key").to_numpy())
             own = np.repeat(np.arange(batch.num_rows), np.diff(before))
             maybe = np.flatnonzero(estimated_repeated(sent.value, h, width) & known[own])
             if len(maybe):
-                raw = data.tobytes()
                 own = own[maybe]
-                marks = np.zeros(batch.num_rows, np.uint32)
-                for i in np.unique(own).tolist():
-                    marks[i] = _mark(raw[offsets[i] : offsets[i + 1]])
+                marks = _marks(batch.column("key").to_numpy())
                 held.append((h[maybe], check[maybe], ids.fill_null(0).to_numpy(zero_copy_only=False)[own], marks[own], maybe - before[own]))
             if sum(len(c[0]) for c in held) >= STRETCH:
                 yield from flush()
@@ -141,9 +168,14 @@ def covered_positions(docs: DataFrame, k: int, width: int = WIDTH_BITS) -> DataF
             found.append((doc[over], mark[order[over]], position[order[over]]))
 
         def flush() -> pa.RecordBatch:
-            out = _by_document(*(np.concatenate(c) for c in zip(*found, strict=True)))
+            doc, mark, position = (np.concatenate(c) for c in zip(*found, strict=True))
             found.clear()
-            return out
+            bucket = (_doc_keys(doc, mark).view(np.uint64) >> np.uint64(32)).astype(np.int64) * buckets >> 32
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            full = np.flatnonzero(np.diff(cuts)).tolist()
+            cells = [[x[order[cuts[k] : cuts[k + 1]]].tobytes() for k in full] for x in (doc, mark, position)]
+            return pa.record_batch([pa.array(full, pa.int32()), *(pa.array(c, pa.binary()) for c in cells)], ["bucket", "doc", "mark", "position"])
 
         for batch in batches:
             for b, *cells, covered in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -161,48 +193,70 @@ def covered_positions(docs: DataFrame, k: int, width: int = WIDTH_BITS) -> DataF
         if found:
             yield flush()
 
-    sent_rows = docs.select("doc_id", "text").mapInArrow(candidates, _SENT)
-    return sent_rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(exact, _COVERED)
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held = None, []
+        for batch in batches:
+            for b, *cells in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if b != bucket and held:
+                    yield _by_document(*(np.concatenate(c) for c in zip(*held, strict=True)))
+                    held = []
+                bucket = b
+                held.append([np.frombuffer(c, t) for c, t in zip(cells, (np.int64, np.uint32, np.int32), strict=True)])
+        if held:
+            yield _by_document(*(np.concatenate(c) for c in zip(*held, strict=True)))
+
+    sent_rows = docs.select("doc_id", "text", "key").mapInArrow(candidates, _SENT)
+    found_rows = sent_rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(exact, _FOUND)
+    return found_rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(gathered, _COVERED)
 
 
 def remove_repeats(docs: DataFrame, k: int = 50, width: int = WIDTH_BITS) -> DataFrame:
     """RESULT: every row of docs with the words removed that lie in windows found in a document with a smaller doc_id.
 
+    key is xxhash64(doc_id, text) of the row as it was.
+
     Words stay as they are; where words went, those kept are joined by one space, other texts stay unchanged. Null
     and empty texts have no words; rows with a null doc_id neither lose words nor cover any; rows that share a
     doc_id do not cover each other. An empty table gives no rows; other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    covered = stored(covered_positions(rows, k, width))
+    rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
+    spark = docs.sparkSession
+    copies = spark.sparkContext.broadcast(Copies(rows))
+
+    covered = stored(covered_positions(rows, copies, k, width))
     keyed = covered.select("doc_id", "mark").mapInArrow(lambda batches: (pa.record_batch([pa.array(_doc_keys(b.column(0).to_numpy(), b.column(1).to_numpy()))], ["key"]) for b in batches), "key long")
-    sent = docs.sparkSession.sparkContext.broadcast(key_filter(keyed))
+    sent = ship(spark, key_filter(keyed))
 
-    def split(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        """Marks of a batch's rows, and which rows may have lost words."""
-        data, offsets = text_bytes(batch.column("text"))
-        raw = memoryview(data.tobytes())
-        marks = np.array([_mark(raw[a:b]) for a, b in zip(offsets.tolist(), offsets[1:].tolist(), strict=False)], np.int64)
-        return marks, in_filter(sent.value, _doc_keys(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False), marks))
+    def split(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Marks of a batch's rows, which are copies, and which others may have lost words."""
+        keys = batch.column("key").to_numpy()
+        marks, copy = _marks(keys).astype(np.int64), copies.value(keys)
+        return marks, copy, in_filter(sent.value, _doc_keys(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False), marks)) & ~copy
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows that lose nothing, and copies, which lose all if they have a window."""
         for batch in batches:
-            rest = batch.filter(pa.array(~split(batch)[1]))
+            _, copy, may = split(batch)
+            rest, copy = batch.filter(pa.array(~may)), copy[~may]
             counts = np.concatenate([np.diff(Words(data, offsets).first) for _, data, offsets in slices([rest])] or [np.zeros(0, np.int64)])
-            yield pa.record_batch([rest.column("doc_id"), rest.column("text"), pa.array(counts), pa.array(np.zeros(len(counts), np.int64))], ["doc_id", "text", "n_words", "n_removed"])
+            gone = copy & (counts >= k)
+            kept = pc.if_else(pa.array(gone), pa.scalar(""), rest.column("text"))
+            yield pa.record_batch([rest.column("doc_id"), kept, pa.array(counts), pa.array(np.where(gone, counts, 0)), rest.column("key")], ["doc_id", "text", "n_words", "n_removed", "key"])
 
     def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks, may = split(batch)
-            yield pa.record_batch([*batch.columns, pa.array(marks)], ["doc_id", "text", "mark"]).filter(pa.array(may))
+            marks, _, may = split(batch)
+            yield pa.record_batch([*batch.columns, pa.array(marks)], ["doc_id", "text", "key", "mark"]).filter(pa.array(may))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc, text, cells in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "positions")), strict=True):
+            for doc, text, key, cells in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "key", "positions")), strict=True):
                 ws = words(text)
                 gone = np.zeros(len(ws), bool)
                 if cells:
-                    at = np.unique(np.frombuffer(b"".join(cells), np.int32))
+                    at = np.frombuffer(cells, np.int32)
                     raw = np.frombuffer(text.encode(), np.uint8)
                     h = grams_of(raw, np.array([0, len(raw)]), k)[0]
                     at = np.flatnonzero(np.isin(h, h[at]))
@@ -211,12 +265,11 @@ def remove_repeats(docs: DataFrame, k: int = 50, width: int = WIDTH_BITS) -> Dat
                     np.add.at(steps, at + k, -1)
                     gone = np.cumsum(steps[:-1]) > 0
                 kept = [w for w, g in zip(ws, gone.tolist(), strict=True) if not g] if gone.any() else None
-                out.append((doc, text if kept is None else " ".join(kept), len(ws), int(gone.sum())))
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64())
-            yield pa.record_batch([pa.array([r[j] for r in out], t) for j, t in enumerate(kinds)], ["doc_id", "text", "n_words", "n_removed"])
+                out.append((doc, text if kept is None else " ".join(kept), len(ws), int(gone.sum()), key))
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.record_batch([pa.array([r[j] for r in out], t) for j, t in enumerate(kinds)], ["doc_id", "text", "n_words", "n_removed", "key"])
 
-    gathered = covered.groupBy("doc_id", "mark").agg(F.collect_list("positions").alias("positions"))
-    losing = rows.mapInArrow(hit, "doc_id long, text string, mark long").join(gathered, ["doc_id", "mark"], "left")
+    losing = rows.mapInArrow(hit, "doc_id long, text string, key long, mark long").join(covered, ["doc_id", "mark"], "left")
     return rows.mapInArrow(whole, RESULT).unionByName(losing.mapInArrow(cut, RESULT))
 
 
