@@ -19,6 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
@@ -140,3 +141,18 @@ def quality_rules(docs: DataFrame, bands: dict[str, Band] = BANDS, vocab: str |
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang"))
     return rows.mapInArrow(lambda batches: judged(batches, path, bands, window, least_words, most_repeats), COLUMNS)
+
+
+def keep_documents(docs: DataFrame, bands: dict[str, Band] = BANDS, vocab: str | None = None) -> DataFrame:
+    """The rows of docs that quality_rules keeps, unchanged, in one pass without a shuffle."""
+    path = vocab or vocabulary("piece_bpe_32k.model")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            columns = {"doc_id": pa.nulls(n, pa.int64()), "text": pc.fill_null(batch.column("text"), ""), "lang": batch.column("lang") if "lang" in batch.schema.names else pa.nulls(n, pa.string())}
+            own = pa.record_batch(list(columns.values()), list(columns))
+            kept = [b.column("kept") for b in judged(iter([own]), path, bands, 3, 50, 50)]
+            yield batch.filter(pa.chunked_array(kept, pa.bool_()).combine_chunks())
+
+    return docs.mapInArrow(each, docs.schema)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrafold.llm import bpe, substring
+from terrafold.llm import bpe, substring, suffix
 from terrafold.llm.chat import digests, format_chats
 from terrafold.llm.common import read
 from terrafold.llm.flac import describe, to_flac
@@ -38,6 +38,10 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(read(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digests(suffix.remove_repeated_bytes(read(spark, sf_dir, "documents")))
+
+
 def op6_media_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     return describe(to_flac(read(spark, sf_dir, "documents")))
 
@@ -59,7 +63,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_quality_rules, op4_lm_scoring, op6_media_flac, op7_bpe_encoding, op8_best_fit_packing, op9_substring_dedup, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_quality_rules, op4_lm_scoring, op5_suffix_dedup, op6_media_flac, op7_bpe_encoding, op8_best_fit_packing, op9_substring_dedup, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
