@@ -90,5 +90,5 @@ def embedded(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
                     out += [[file, *head, *(r.get(b) for b in BODY)] for r in found[1]]
             yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
 
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(path)
+    files = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("source_file"), "value").mapInPandas(rows, schema)
