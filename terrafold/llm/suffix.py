@@ -39,7 +39,10 @@ from terrafold.llm.sketch import WIDTH_BITS, estimated_repeated, sketch
 from terrafold.llm.substring import _CHECK, Copies, _by_document, _doc_keys, _marks
 
 RESULT = "doc_id long, n_bytes long, kept binary, starts array<int>, ends array<int>"
-_PLACES = "doc long, mark long, run int, idx int, pos int, low int, high int, n0 long, n1 long, n2 long, left long, ok boolean, gram long"
+_PLACES = "doc long, mark long, at long, rid long, idx int, n0 long, n1 long, n2 long, left long, ok boolean, gram long"
+#: A place, how far before it its first string starts, and how far before it its last one, in one number.
+_FAR, _NEAR = 24, 12
+_LOW, _HIGH = f"CAST((at >> {_FAR}) - ((at >> {_NEAR}) & 4095) AS INT) AS low", f"CAST((at >> {_FAR}) - (at & 4095) AS INT) AS high"
 
 
 class Anchors:
@@ -108,23 +111,72 @@ def named(df: DataFrame, columns: list[str], name: str) -> DataFrame:
     return ranked.join(F.broadcast(starts), "sorted_part").withColumn(name, F.col("sorted_rank") + F.col("start")).drop("sorted_part", "sorted_rank", "start")
 
 
+def _keys(rows: pa.Table) -> pa.RecordBatch:
+    """The two keys of every place of whole runs that are sorted by place, each place followed by its rank."""
+    x = {c: rows.column(c).fill_null(False if c == "ok" else 0).combine_chunks().to_numpy(zero_copy_only=False) for c in rows.schema.names}
+    place = x["rank"] == 0
+    number = np.cumsum(place) - 1
+    rank = np.zeros(int(place.sum()), np.int64)
+    rank[number[~place]] = x["rank"][~place]
+    x = {c: v[place] for c, v in x.items()}
+    rest, run, left, n0, n1 = x["idx"] % 3, x["rid"], x["left"].view(np.uint64), x["n0"].view(np.uint64), x["n1"].view(np.uint64)
+    r0, r1, r2 = rank.view(np.uint64), _then(rank, run, 1).view(np.uint64), _then(rank, run, 2).view(np.uint64)
+    a, b, c = (np.uint64(v) for v in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+    # of places that are 1 or 2: the rank; 0 or 1: the phrase and the next rank; 0 or 2: two phrases and the rank after
+    kinds = ((r0, (1, 2)), (mix(n0 * a + r1) + np.uint64(1), (0, 1)), (mix(mix(n0 * a + n1) * b + r2) + np.uint64(2), (0, 2)))
+    out = []
+    for k, (value, own) in enumerate(kinds):
+        i = np.flatnonzero(x["ok"].astype(bool) & np.isin(rest, own))
+        k1 = mix(value[i] * b + left[i] + np.uint64(k))
+        k2 = mix(left[i] * c + mix(value[i] + np.uint64(k + 7)))
+        out.append((k1, k2, x["doc"][i], x["mark"][i], x["at"][i]))
+    k1, k2, *me = (np.concatenate(v) for v in zip(*out, strict=True))
+    return pa.record_batch([pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), *map(pa.array, me)], ["k1", "k2", "doc", "mark", "at"])
+
+
 def covered_places(places: DataFrame) -> DataFrame:
-    """doc, mark, low, high of the anchors whose strings all start earlier too, by difference-cover names."""
-    run = ["doc", "mark", "run"]
-    sampled = places.filter("idx % 3 <> 0").select(*run, "idx", "n0", "n1", "n2")
-    first = named(sampled, ["n0", "n1", "n2"], "r0").select(*run, "idx", "r0")
-    next_ = Window.partitionBy(*run, F.col("idx") % 3).orderBy("idx")
+    """doc, mark, at of the anchors whose strings all start earlier too, by difference-cover names."""
+    first = named(places.filter("idx % 3 <> 0").select("rid", "idx", "n0", "n1", "n2"), ["n0", "n1", "n2"], "r0").select("rid", "idx", "r0")
+    next_ = Window.partitionBy("rid", F.col("idx") % 3).orderBy("idx")
     triples = first.withColumns({"r1": F.coalesce(F.lead("r0", 1).over(next_), F.lit(0)), "r2": F.coalesce(F.lead("r0", 2).over(next_), F.lit(0))})
-    ranks = named(triples, ["r0", "r1", "r2"], "rank").select(*run, "idx", "rank")
-    order = Window.partitionBy(*run).orderBy("idx")
-    after = lambda k: F.coalesce(F.lead("rank", k).over(order), F.lit(0))
-    merged = places.join(ranks, [*run, "idx"], "left").withColumns({"rank_1": after(1), "rank_2": after(2)}).filter("ok")
-    kinds = {0: ("rank", (1, 2)), 1: ("n0, rank_1", (0, 1)), 2: ("n0, n1, rank_2", (0, 2))}
-    keys = [F.when((F.col("idx") % 3).isin(*rest), F.struct(F.expr(f"xxhash64({k}, {names}, left)").alias("k1"), F.expr(f"xxhash64(left, {names}, {k}, 7)").alias("k2"))) for k, (names, rest) in kinds.items()]
-    each = merged.select("doc", "mark", "pos", "low", "high", F.explode(F.array_compact(F.array(*keys))).alias("k")).select("doc", "mark", "pos", "low", "high", "k.*")
-    me = F.struct("doc", "mark", "pos")
-    firsts = each.groupBy("k1", "k2").agg(F.min(me).alias("first"), F.max(me).alias("last")).filter("first < last").drop("last")
-    return each.join(firsts, ["k1", "k2"]).filter(me > F.col("first")).select("doc", "mark", "pos", "low", "high").distinct()
+    ranks = named(triples, ["r0", "r1", "r2"], "rank").select("rid", "idx", "rank")
+    own = ["rid", "idx", "rank", "doc", "mark", "at", "n0", "n1", "left", "ok"]
+    both = places.withColumn("rank", F.lit(0).cast("long")).select(*own).unionByName(ranks, allowMissingColumns=True)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # rows of a run that may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rid = batch.column("rid").to_numpy()
+            cut = int(np.searchsorted(rid, rid[-1], "left"))
+            if held and (cut or held[0].column("rid")[0].as_py() != rid[0]):
+                yield _keys(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held = []
+            elif cut:
+                yield _keys(pa.Table.from_batches([batch.slice(0, cut)]))
+            held.append(batch.slice(cut))
+        if held:
+            yield _keys(pa.Table.from_batches(held))
+
+    def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """All but the first place of each key, by comparing neighbours in sorted order."""
+        last: tuple | None = None  # the key now open, and the first place that has it
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            k1, k2, doc, mark, at = (batch.column(c).to_numpy() for c in ("k1", "k2", "doc", "mark", "at"))
+            new = np.ones(len(k1), bool)
+            new[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
+            new[0] = last is None or (k1[0], k2[0]) != last[:2]
+            begin = np.maximum.accumulate(np.where(new, np.arange(len(k1)), -1))
+            lead = [np.where(begin < 0, 0 if last is None else last[2 + j], v[np.maximum(begin, 0)]) for j, v in enumerate((doc, mark, at))]
+            i = np.flatnonzero((doc != lead[0]) | (mark != lead[1]) | (at != lead[2]))
+            last = (k1[-1], k2[-1], *(v[-1] for v in lead))
+            yield pa.record_batch([pa.array(v[i]) for v in (doc, mark, at)], ["doc", "mark", "at"])
+
+    keys = both.repartition("rid").sortWithinPartitions("rid", "idx", "rank").mapInArrow(merged, "k1 long, k2 long, doc long, mark long, at long")
+    return keys.repartition("k1").sortWithinPartitions("k1", "k2", "doc", "mark", "at").mapInArrow(later, "doc long, mark long, at long").distinct()
 
 
 def remove_repeated_bytes(docs: DataFrame, length: int = 100, width: int = WIDTH_BITS) -> DataFrame:
@@ -173,16 +225,19 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100, width: int = WIDTH
             base = offsets[owner]
             marks = _marks(batch.column("key").to_numpy()).astype(np.int64)
             first_run = run[np.searchsorted(owner, owner, "left")]
-            columns = [batch.column("doc_id").take(pa.array(owner)), pa.array(marks[owner]), *(pa.array(x, pa.int32()) for x in (run - first_run, idx, at - base, low - base, high - base)), pa.array(name), pa.array(_then(name, run, 1)), pa.array(_then(name, run, 2)), pa.array(left), pa.array(ok), pa.array(a.gram[i].view(np.int64))]
+            doc = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)[owner]
+            rid = mix(_doc_keys(doc, marks[owner]).view(np.uint64) + (run - first_run).astype(np.uint64)).view(np.int64)
+            packed = (at - base) << _FAR | (at - low) << _NEAR | (at - high)
+            columns = [pa.array(doc), pa.array(marks[owner]), pa.array(packed), pa.array(rid), pa.array(idx, pa.int32()), pa.array(name), pa.array(_then(name, run, 1)), pa.array(_then(name, run, 2)), pa.array(left), pa.array(ok), pa.array(a.gram[i].view(np.int64))]
             yield pa.record_batch(columns, [c.split()[0] for c in _PLACES.split(", ")])
 
     found = stored(rows.mapInArrow(places, _PLACES))
     covered = stored(covered_places(found))
-    rest = found.join(covered, ["doc", "mark", "pos"], "left_anti").select("doc", "mark", "pos", "low", "high", "gram")
-    me = F.struct("doc", "mark", "pos")
+    rest = stored(found.select("doc", "mark", "at", "gram").join(covered, ["doc", "mark", "at"], "left_anti"))
+    me = F.struct("doc", "mark", "at")
     twice = rest.groupBy("gram").agg(F.min(me).alias("a"), F.max(me).alias("b")).filter("a < b").select("gram")
-    edges = rest.join(twice, "gram").groupBy("doc", "mark").agg(F.collect_list(F.struct("gram", "low", "high")).alias("edges"))
-    whole = covered.groupBy("doc", "mark").agg(F.collect_list(F.struct("low", "high")).alias("whole"))
+    edges = rest.join(twice, "gram").selectExpr("doc", "mark", "gram", _LOW, _HIGH).groupBy("doc", "mark").agg(F.collect_list(F.struct("gram", "low", "high")).alias("edges"))
+    whole = covered.selectExpr("doc", "mark", _LOW, _HIGH).groupBy("doc", "mark").agg(F.collect_list(F.struct("low", "high")).alias("whole"))
     lists = stored(edges.join(whole, ["doc", "mark"], "full_outer").select(F.col("doc").alias("doc_id"), "mark", "edges", "whole"))
     keyed = lists.select("doc_id", "mark").mapInArrow(lambda batches: (pa.record_batch([pa.array(_doc_keys(b.column(0).to_numpy(), b.column(1).to_numpy()))], ["key"]) for b in batches), "key long")
     sent = ship(spark, key_filter(keyed))
