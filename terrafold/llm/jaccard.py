@@ -56,8 +56,7 @@ class Shape:
             edges.append(max(edges[-1] + 1, (edges[-1] - 1) * 100 // percent + 1))
         self.edges = np.array(edges)
         self.differ = 2 * (self.edges[1:] - 1) * (100 - percent) // (100 + percent)
-        self.spare = 2 + self.differ // 5
-        self.parts = self.differ + 1 + self.spare
+        self.parts = self.differ + 3 + self.differ // 5
 
     def classes(self, n: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.edges, n, "right") - 1
@@ -111,10 +110,13 @@ class Shape:
             keep = filled > SMALL
             out.append(mix(total + tag)[keep])
             whose.append(doc[keep])
-            # sets with more small parts than are to spare take part with all their tokens too
-            more = (np.bincount(doc[~keep], minlength=len(n)) > self.spare[level])[doc]
+            # a set's partners differ from it in fewer tokens than the level's largest ones, so it has more parts to spare
+            most = np.minimum(n * 100 // self.percent, self.edges[level + 1] - 1)
+            spare = parts - 1 - (n + most) * (100 - self.percent) // (100 + self.percent)
+            # sets with more small parts than that take part with all their tokens too
+            more = (np.bincount(doc[~keep], minlength=len(n)) > spare)[doc]
             total, filled = sums(np.ones(len(grams), bool))
-            empty = np.bincount(doc[filled == 0], minlength=len(n)) > self.spare[level]
+            empty = np.bincount(doc[filled == 0], minlength=len(n)) > spare
             keep = more & ((filled > 0) | empty[doc])
             out.append(mix(total + tag + np.uint64(1))[keep])
             whose.append(doc[keep])
