@@ -27,7 +27,7 @@ from sentencepiece import SentencePieceProcessor
 from terrafold.llm.common import SPACES, Words, slices, vocabulary, windows, words
 
 SYMBOLS = "#*$%&|<>"
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 COLUMNS = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_tokens long, chars_per_token double, byte_share double, entropy double, band string, base_failed boolean, kept boolean"
 
 

@@ -20,8 +20,8 @@ from tokenizers import Tokenizer
 from terrafold.llm.common import Words, runs
 
 #: A worker forgets its units when it holds more than this many (about 40 bytes each).
-TABLE_UNITS = 1_000_000
-CORES = 100_000
+TABLE_UNITS = 800_000
+CORES = 50_000
 #: White space of the vocabularies' patterns that does not separate words here.
 ODD_SPACE = re.compile("[\x85\xa0  -     　]")
 _SIMPLE = re.compile("( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
