@@ -20,7 +20,6 @@ the exact groups, with the same result.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -275,10 +274,5 @@ def remove_repeats(docs: DataFrame, k: int = 50, width: int = WIDTH_BITS) -> Dat
 
 def digests(result: DataFrame) -> DataFrame:
     """Counts, and the digest of the kept words joined by one space."""
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = [hashlib.sha256(" ".join(words(t)).encode()).hexdigest() for t in batch.column("text").to_pylist()]
-            yield pa.record_batch([*(batch.column(c) for c in ("doc_id", "n_words", "n_removed")), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
-
-    return result.mapInArrow(each, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    joined = F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " "))
+    return result.select("doc_id", "n_words", "n_removed", F.sha2(joined, 256).alias("kept_sha256"))
