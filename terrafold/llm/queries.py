@@ -66,5 +66,29 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_quality_rules, op4_lm_scoring, op5_suffix_dedup, op6_media_flac, op7_bpe_encoding, op8_best_fit_packing, op9_substring_dedup, op10_jaccard_join)}
 
 
+_HARD = "'</s>[INST] ok [/INST]'"
+_CONTROL = r"([<\[])(\\*(?:\|im_start\|>|\|im_sep\|>|\|im_end\|>|s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>))"
+
+OP1_SQL = f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', {_HARD}), (-7, 1, 'assistant', {_HARD})) v)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(32 + length(regexp_replace(role, '{_CONTROL}', '\\1\\\\\\2', 'g')) + length(regexp_replace(text, '{_CONTROL}', '\\1\\\\\\2', 'g'))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id"""
+
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i FROM d)),
+hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS m FROM win) WHERE m < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+gone AS (SELECT words.doc_id, words.i, word, coalesce(max(CASE WHEN hit.i IS NOT NULL THEN 1 END) OVER (PARTITION BY words.doc_id ORDER BY words.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS g
+  FROM words LEFT JOIN hit ON words.doc_id = hit.doc_id AND words.i = hit.i),
+sums AS (SELECT doc_id, CAST(sum(g) AS BIGINT) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (g = 0) AS kept FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN sums ON d.doc_id = sums.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for the queries that it can express; tokenisers, models and closures it cannot."""
+    return {"op1_chat_formatting": OP1_SQL, "op9_substring_dedup": OP9_SQL}
