@@ -9,8 +9,8 @@ places, and an anchor stands for a range of strings. A count-min sketch says whi
 anchor grams may occur twice; runs of those are all that takes part.
 
 Difference cover. What lies between the anchors of a run is a phrase, and phrases
-have names. Triples of names at the places of a run that are 1 or 2 modulo 3 are
-sorted, and their ranks name them; the names' own triples are sorted again, so that
+have names. Triples of names at the places of a run that are 1 or 2 modulo 3 (the last
+two as one fingerprint) are sorted, and their ranks name them; the names' own triples are sorted again, so that
 a name spans nine phrases. The remaining places have their own phrase's name and
 the name after it. Of any two places one of three such keys compares them. Places
 that agree in a key, and in the bytes before them, have equal strings: all but the
@@ -39,7 +39,7 @@ from terrafold.llm.sketch import WIDTH_BITS, estimated_repeated, sketch
 from terrafold.llm.substring import _CHECK, Copies, _by_document, _doc_keys, _marks
 
 RESULT = "doc_id long, n_bytes long, kept binary, starts array<int>, ends array<int>"
-_PLACES = "doc long, mark long, at long, rid long, idx int, n0 long, n1 long, n2 long, left long, ok boolean, gram long"
+_PLACES = "doc long, mark long, at long, rid long, idx int, n0 long, n12 long, left long, ok boolean, gram long"
 #: A place, how far before it its first string starts, and how far before it its last one, in one number.
 _FAR, _NEAR = 24, 12
 _LOW, _HIGH = f"CAST((at >> {_FAR}) - ((at >> {_NEAR}) & 4095) AS INT) AS low", f"CAST((at >> {_FAR}) - (at & 4095) AS INT) AS high"
@@ -89,8 +89,9 @@ def _then(x: np.ndarray, same: np.ndarray, by: int) -> np.ndarray:
 
 
 def named(df: DataFrame, columns: list[str], name: str) -> DataFrame:
-    """df with the rank of each row's columns among all different ones, from a distributed sort."""
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields) + ", sorted_part int, sorted_rank long"
+    """df with the rank of each row's columns among all different ones, in their place, from a distributed sort."""
+    others = [c for c in df.columns if c not in columns]
+    schema = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in others) + ", sorted_part int, sorted_rank long"
 
     def ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, last, rank = TaskContext.get().partitionId(), None, 0
@@ -103,7 +104,7 @@ def named(df: DataFrame, columns: list[str], name: str) -> DataFrame:
             new[0] = last is None or (x[:, 0] != last).any()
             own = rank + np.cumsum(new)
             last, rank = x[:, -1], int(own[-1])
-            yield pa.record_batch([*batch.columns, pa.array(np.full(len(own), part), pa.int32()), pa.array(own)], [*batch.schema.names, "sorted_part", "sorted_rank"])
+            yield pa.record_batch([*(batch.column(c) for c in others), pa.array(np.full(len(own), part), pa.int32()), pa.array(own)], [*others, "sorted_part", "sorted_rank"])
 
     ranked = stored(df.repartitionByRange(*columns).sortWithinPartitions(*columns).mapInArrow(ranks, schema))
     tops = ranked.groupBy("sorted_part").agg(F.max("sorted_rank").alias("top"))  # a row for each partition of the sort
@@ -119,7 +120,7 @@ def _keys(rows: pa.Table) -> pa.RecordBatch:
     rank = np.zeros(int(place.sum()), np.int64)
     rank[number[~place]] = x["rank"][~place]
     x = {c: v[place] for c, v in x.items()}
-    rest, run, left, n0, n1 = x["idx"] % 3, x["rid"], x["left"].view(np.uint64), x["n0"].view(np.uint64), x["n1"].view(np.uint64)
+    rest, run, left, n0, n1 = x["idx"] % 3, x["rid"], x["left"].view(np.uint64), x["n0"].view(np.uint64), _then(x["n0"], x["rid"], 1).view(np.uint64)
     r0, r1, r2 = rank.view(np.uint64), _then(rank, run, 1).view(np.uint64), _then(rank, run, 2).view(np.uint64)
     a, b, c = (np.uint64(v) for v in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
     # of places that are 1 or 2: the rank; 0 or 1: the phrase and the next rank; 0 or 2: two phrases and the rank after
@@ -135,12 +136,12 @@ def _keys(rows: pa.Table) -> pa.RecordBatch:
 
 
 def covered_places(places: DataFrame) -> DataFrame:
-    """doc, mark, at of the anchors whose strings all start earlier too, by difference-cover names."""
-    first = named(places.filter("idx % 3 <> 0").select("rid", "idx", "n0", "n1", "n2"), ["n0", "n1", "n2"], "r0").select("rid", "idx", "r0")
+    """doc, mark, at of the anchors whose strings all start earlier too, by difference-cover names; some come twice."""
+    first = named(places.filter("idx % 3 <> 0").select("rid", "idx", "n0", "n12"), ["n0", "n12"], "r0")
     next_ = Window.partitionBy("rid", F.col("idx") % 3).orderBy("idx")
     triples = first.withColumns({"r1": F.coalesce(F.lead("r0", 1).over(next_), F.lit(0)), "r2": F.coalesce(F.lead("r0", 2).over(next_), F.lit(0))})
-    ranks = named(triples, ["r0", "r1", "r2"], "rank").select("rid", "idx", "rank")
-    own = ["rid", "idx", "rank", "doc", "mark", "at", "n0", "n1", "left", "ok"]
+    ranks = named(triples, ["r0", "r1", "r2"], "rank")
+    own = ["rid", "idx", "rank", "doc", "mark", "at", "n0", "left", "ok"]
     both = places.withColumn("rank", F.lit(0).cast("long")).select(*own).unionByName(ranks, allowMissingColumns=True)
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +177,7 @@ def covered_places(places: DataFrame) -> DataFrame:
             yield pa.record_batch([pa.array(v[i]) for v in (doc, mark, at)], ["doc", "mark", "at"])
 
     keys = both.repartition("rid").sortWithinPartitions("rid", "idx", "rank").mapInArrow(merged, "k1 long, k2 long, doc long, mark long, at long")
-    return keys.repartition("k1").sortWithinPartitions("k1", "k2", "doc", "mark", "at").mapInArrow(later, "doc long, mark long, at long").distinct()
+    return keys.repartition("k1").sortWithinPartitions("k1", "k2", "doc", "mark", "at").mapInArrow(later, "doc long, mark long, at long")
 
 
 def remove_repeated_bytes(docs: DataFrame, length: int = 100, width: int = WIDTH_BITS) -> DataFrame:
@@ -228,7 +229,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100, width: int = WIDTH
             doc = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)[owner]
             rid = mix(_doc_keys(doc, marks[owner]).view(np.uint64) + (run - first_run).astype(np.uint64)).view(np.int64)
             packed = (at - base) << _FAR | (at - low) << _NEAR | (at - high)
-            columns = [pa.array(doc), pa.array(marks[owner]), pa.array(packed), pa.array(rid), pa.array(idx, pa.int32()), pa.array(name), pa.array(_then(name, run, 1)), pa.array(_then(name, run, 2)), pa.array(left), pa.array(ok), pa.array(a.gram[i].view(np.int64))]
+            columns = [pa.array(doc), pa.array(marks[owner]), pa.array(packed), pa.array(rid), pa.array(idx, pa.int32()), pa.array(name), pa.array(mix(_then(name, run, 1).view(np.uint64) * np.uint64(_CHECK) + _then(name, run, 2).view(np.uint64)).view(np.int64)), pa.array(left), pa.array(ok), pa.array(a.gram[i].view(np.int64))]
             yield pa.record_batch(columns, [c.split()[0] for c in _PLACES.split(", ")])
 
     found = stored(rows.mapInArrow(places, _PLACES))
