@@ -39,7 +39,7 @@ STRETCH = 200_000
 _CHECK = 0xA24BAED4963EE407 | 1
 _SENT = "bucket int, hash binary, check binary, doc binary, mark binary, position binary, covered boolean"
 _FOUND = "bucket int, doc binary, mark binary, position binary"
-_COVERED = "doc_id long, mark long, positions binary"
+_COVERED = "doc_id long, mark long, positions binary, key long"
 RESULT = "doc_id long, text string, n_words long, n_removed long, key long"
 
 
@@ -192,17 +192,22 @@ def covered_positions(docs: DataFrame, copies: Broadcast, k: int, width: int = W
         if found:
             yield flush()
 
+    def document(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        out = _by_document(*(np.concatenate(c) for c in zip(*held, strict=True)))
+        keys = _doc_keys(out.column("doc_id").to_numpy(), out.column("mark").to_numpy())
+        return pa.record_batch([*out.columns, pa.array(keys)], [*out.schema.names, "key"])
+
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
         for batch in batches:
             for b, *cells in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if b != bucket and held:
-                    yield _by_document(*(np.concatenate(c) for c in zip(*held, strict=True)))
+                    yield document(held)
                     held = []
                 bucket = b
                 held.append([np.frombuffer(c, t) for c, t in zip(cells, (np.int64, np.uint32, np.int32), strict=True)])
         if held:
-            yield _by_document(*(np.concatenate(c) for c in zip(*held, strict=True)))
+            yield document(held)
 
     sent_rows = docs.select("doc_id", "text", "key").mapInArrow(candidates, _SENT)
     found_rows = sent_rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(exact, _FOUND)
@@ -224,8 +229,7 @@ def remove_repeats(docs: DataFrame, k: int = 50, width: int = WIDTH_BITS) -> Dat
     copies = spark.sparkContext.broadcast(Copies(rows))
 
     covered = stored(covered_positions(rows, copies, k, width))
-    keyed = covered.select("doc_id", "mark").mapInArrow(lambda batches: (pa.record_batch([pa.array(_doc_keys(b.column(0).to_numpy(), b.column(1).to_numpy()))], ["key"]) for b in batches), "key long")
-    sent = ship(spark, key_filter(keyed))
+    sent = ship(spark, key_filter(covered.select("key")))
 
     def split(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Marks of a batch's rows, which are copies, and which others may have lost words."""
@@ -268,7 +272,7 @@ def remove_repeats(docs: DataFrame, k: int = 50, width: int = WIDTH_BITS) -> Dat
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
             yield pa.record_batch([pa.array([r[j] for r in out], t) for j, t in enumerate(kinds)], ["doc_id", "text", "n_words", "n_removed", "key"])
 
-    losing = rows.mapInArrow(hit, "doc_id long, text string, key long, mark long").join(covered, ["doc_id", "mark"], "left")
+    losing = rows.mapInArrow(hit, "doc_id long, text string, key long, mark long").join(covered.drop("key"), ["doc_id", "mark"], "left")
     return rows.mapInArrow(whole, RESULT).unionByName(losing.mapInArrow(cut, RESULT))
 
 
