@@ -112,6 +112,15 @@ def test_quality(spark):
     assert quality.quality_rules(df.limit(0)).count() == 0
 
 
+def test_quality_labels(spark):
+    """Bands reject labelled junk and keep labelled clean documents."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    judged = quality.quality_rules(docs).filter("not base_failed").join(labels, "doc_id")
+    n = {(r.quality, r.kept): r["count"] for r in judged.groupBy("quality", "kept").count().collect()}
+    assert n[0, False] >= 0.9 * (n[0, False] + n.get((0, True), 0))
+    assert n.get((1, False), 0) <= 0.03 * n[1, True]
+
+
 @pytest.mark.parametrize("lower", [False, True])
 def test_word_scan(lower):
     rows = ["Ab c", "", "d", "e f", "ünï \u00a0x\n", "\t", "Ab"]
