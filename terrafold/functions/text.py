@@ -17,12 +17,11 @@ NEGATIVE = ("bad", "awful", "hate", "trash", "disgusting", "chán", "tệ", "d
 POSITIVE_EMOJI = ("😍", "😊", "👍", "❤")
 NEGATIVE_EMOJI = ("😡", "😢", "👎")
 ASPECTS = {"food": ("food", "eat", "ăn", "món"), "price": ("price", "cheap", "giá", "rẻ"), "service": ("staff", "service", "phục vụ")}
-MOST_CHARS = 5000
 
 
 def tidy(text: Column) -> Column:
-    """At most MOST_CHARS characters, without urls and mentions, single spaces."""
-    t = F.substring(F.coalesce(text, F.lit("")), 1, MOST_CHARS)
+    """The whole text without urls and mentions, single spaces."""
+    t = F.coalesce(text, F.lit(""))
     t = F.regexp_replace(F.regexp_replace(t, r"https?://\S+", ""), r"@\w+", "")
     return F.trim(F.regexp_replace(t, r"\s+", " "))
 

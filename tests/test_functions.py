@@ -72,6 +72,13 @@ def test_keys(spark):
     assert same.x == same.y
 
 
+def test_words_after_many_characters(spark):
+    df = spark.createDataFrame([("x " * 3000 + "good great love, cheap food!! 😍",)], "t string")
+    r, w = text.comment_features(df, "t").first(), text.weak_labels(df, "t").first()
+    assert (r.n_words, r.n_exclaim, r.sentiment, r.n_positive, r.n_emoji) == (3006, 2, 1, 3, 1)
+    assert (w.label, w.aspect_price) == ("positive", 1)
+
+
 def test_weak_labels(spark):
     rows = [(1, "Great great food, love it!!"), (2, "awful trash. but good price"), (3, "ok"), (4, ""), (5, None), (6, "plain words here"), (7, "good bad")]
     got = {r.i: r for r in text.weak_labels(spark.createDataFrame(rows, "i int, t string"), "t").collect()}
