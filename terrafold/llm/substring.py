@@ -234,8 +234,9 @@ def remove_repeats(docs: DataFrame, k: int = 50, width: int = WIDTH_BITS) -> Dat
     def split(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Marks of a batch's rows, which are copies, and which others may have lost words."""
         keys = batch.column("key").to_numpy()
-        marks, copy = _marks(keys).astype(np.int64), copies.value(keys)
-        return marks, copy, in_filter(sent.value, _doc_keys(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False), marks)) & ~copy
+        valid = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)  # the bitmaps know nothing of other rows
+        marks, copy = _marks(keys).astype(np.int64), copies.value(keys) & valid
+        return marks, copy, in_filter(sent.value, _doc_keys(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False), marks)) & valid & ~copy
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows that lose nothing, and copies, which lose all if they have a window."""

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from terrafold.llm import sketch, substring
 
@@ -71,3 +72,12 @@ def test_sketch_loses_none(spark):
     assert maybe[n > 1].all() and maybe[n == 1].mean() < 0.05
     x = np.unique(rng.integers(0, 1 << 18, 500))
     assert (sketch._offsets(sketch._deltas(x)) == x).all()
+
+
+def test_null_ids_are_no_copies(spark):
+    """60000 x 4000 chances in 2**25 that a null doc_id's key falls on a copy's bit."""
+    passage = " ".join(f"p{i}" for i in range(10))
+    copies = spark.range(1, 4002).selectExpr("id AS doc_id", f"'{passage}' AS text")
+    nulls = spark.range(60000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "concat('n', id, ' a b c d e') AS text")
+    got = substring.remove_repeats(copies.unionByName(nulls), 5, 20).groupBy(F.col("doc_id").isNull().alias("unknown")).agg(F.count_if(F.col("n_removed") > 0).alias("n"), F.min(F.length("text")).alias("least"))
+    assert {r.unknown: (r.n, r.least) for r in got.collect()} == {False: (4000, 0), True: (0, 12)}
