@@ -77,7 +77,7 @@ def _doc_keys(doc: np.ndarray, mark: np.ndarray) -> np.ndarray:
 class Copies:
     """Tells which keys are those of exact copies of texts with a smaller doc_id, with what fits two bitmaps."""
 
-    def __init__(self, rows: DataFrame) -> None:
+    def __init__(self, rows: DataFrame, twins: bool = False) -> None:
         text = ["text_a", "text_b", "size"]
         keys = stored(rows.filter("doc_id is not null").select("doc_id", "key", F.xxhash64("text").alias("text_a"), F.hash("text").alias("text_b"), F.length("text").alias("size")))
         firsts = keys.groupBy(*text).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").drop("last")
@@ -85,6 +85,8 @@ class Copies:
         self.copies = Packed(key_filter(copies))
         like = keys.select("key").mapInArrow(lambda batches: (b.filter(pa.array(in_filter(self.copies, b.column(0).to_numpy()))) for b in batches), "key long")
         self.others = Packed(key_filter(like.join(copies, "key", "left_anti")))
+        #: With twins, a bitmap of the keys of rows that come more than once.
+        self.twins = Packed(key_filter(keys.groupBy("key").count().filter("count > 1").select("key"))) if twins else None
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         return in_filter(self.copies, keys) & ~in_filter(self.others, keys)

@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -190,7 +191,9 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100, width: int = WIDTH
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
-    copies = spark.sparkContext.broadcast(Copies(rows))
+    settled = Copies(rows, twins=True)
+    any_twins = bool(settled.twins.array.any())
+    copies = spark.sparkContext.broadcast(settled)
 
     def original(batch: pa.RecordBatch) -> np.ndarray:
         return ~copies.value(batch.column("key").to_numpy()) & batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
@@ -232,7 +235,15 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100, width: int = WIDTH
             columns = [pa.array(doc), pa.array(marks[owner]), pa.array(packed), pa.array(rid), pa.array(idx, pa.int32()), pa.array(name), pa.array(mix(_then(name, run, 1).view(np.uint64) * np.uint64(_CHECK) + _then(name, run, 2).view(np.uint64)).view(np.int64)), pa.array(left), pa.array(ok), pa.array(a.gram[i].view(np.int64))]
             yield pa.record_batch(columns, [c.split()[0] for c in _PLACES.split(", ")])
 
-    found = stored(rows.mapInArrow(places, _PLACES))
+    def twin(wanted: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_filter(copies.value.twins, batch.column("key").to_numpy()) == wanted))
+
+    once = rows
+    if any_twins:  # a row that comes more than once has its places once
+        twins, others = (rows.mapInArrow(partial(twin, wanted), rows.schema) for wanted in (True, False))
+        once = others.unionByName(twins.filter("doc_id is not null").dropDuplicates(["key"]))
+    found = stored(once.mapInArrow(places, _PLACES))
     covered = stored(covered_places(found))
     rest = stored(found.select("doc", "mark", "at", "gram").join(covered, ["doc", "mark", "at"], "left_anti"))
     me = F.struct("doc", "mark", "at")

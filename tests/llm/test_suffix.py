@@ -52,3 +52,13 @@ def test_repeated_and_null_ids(spark):
     got = suffix.remove_repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string"), 30, 20).collect()
     assert sorted((r.doc_id or 0, bytes(r.kept).decode(), list(r.starts)) for r in got) == [(0, "", []), (0, a, []), (1, a[:40], []), (1, a[:40], []), (2, "", [0])]
     assert suffix.remove_repeated_bytes(spark.createDataFrame([], "doc_id long, text string"), 20, 20).count() == 0
+
+
+def test_twin_rows_lose_only_repeats(spark):
+    rng = np.random.default_rng(5)
+    fresh = lambda n: "".join(rng.choice(list("abcdefghijklmnop"), n))
+    texts = {i: fresh(20_000) for i in range(3)}
+    texts[3] = fresh(5000) + texts[0][1000:1400] + fresh(5000)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = [tuple(r) for r in suffix.digests(suffix.remove_repeated_bytes(df.unionByName(df).repartition(3), 100, 22)).collect()]
+    assert sorted(got) == sorted(2 * [(d, *x) for d, x in brute(texts, 100).items()])
