@@ -18,7 +18,9 @@ first of them are covered, whole.
 
 Remainder. Anchors that no other equals so are those at the edges of what is
 repeated. Where their gram still occurs twice, the strings around them travel to
-their gram's partition and are compared one by one, by 96-bit hashes.
+their gram's partition and are compared one by one, by 96-bit hashes. Strings of grams
+with more than CROWD such anchors go by their own hashes instead, and neighbours in sorted
+order are compared as they stream by, so no group is ever held.
 
 Names of single phrases and of left contexts are 64-bit fingerprints.
 """
@@ -40,6 +42,8 @@ from terrafold.llm.sketch import WIDTH_BITS, estimated_repeated, sketch
 from terrafold.llm.substring import _CHECK, Copies, _by_document, _doc_keys, _marks
 
 RESULT = "doc_id long, n_bytes long, kept binary, starts array<int>, ends array<int>"
+#: Edge anchors of one gram that are compared in one piece.
+CROWD = 1000
 _PLACES = "doc long, mark long, at long, rid long, idx int, n0 long, n12 long, left long, ok boolean, gram long"
 #: A place, how far before it its first string starts, and how far before it its last one, in one number.
 _FAR, _NEAR = 24, 12
@@ -136,6 +140,23 @@ def _keys(rows: pa.Table) -> pa.RecordBatch:
     return pa.record_batch([pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), *map(pa.array, me)], ["k1", "k2", "doc", "mark", "at"])
 
 
+def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All but the first place of each key, by comparing neighbours in sorted order."""
+    last: tuple | None = None  # the key now open, and the first place that has it
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k1, k2, doc, mark, at = (batch.column(c).to_numpy() for c in ("k1", "k2", "doc", "mark", "at"))
+        new = np.ones(len(k1), bool)
+        new[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
+        new[0] = last is None or (k1[0], k2[0]) != last[:2]
+        begin = np.maximum.accumulate(np.where(new, np.arange(len(k1)), -1))
+        lead = [np.where(begin < 0, 0 if last is None else last[2 + j], v[np.maximum(begin, 0)]) for j, v in enumerate((doc, mark, at))]
+        i = np.flatnonzero((doc != lead[0]) | (mark != lead[1]) | (at != lead[2]))
+        last = (k1[-1], k2[-1], *(v[-1] for v in lead))
+        yield pa.record_batch([pa.array(v[i]) for v in (doc, mark, at)], ["doc", "mark", "at"])
+
+
 def covered_places(places: DataFrame) -> DataFrame:
     """doc, mark, at of the anchors whose strings all start earlier too, by difference-cover names; some come twice."""
     first = named(places.filter("idx % 3 <> 0").select("rid", "idx", "n0", "n12"), ["n0", "n12"], "r0")
@@ -161,22 +182,6 @@ def covered_places(places: DataFrame) -> DataFrame:
         if held:
             yield _keys(pa.Table.from_batches(held))
 
-    def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """All but the first place of each key, by comparing neighbours in sorted order."""
-        last: tuple | None = None  # the key now open, and the first place that has it
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            k1, k2, doc, mark, at = (batch.column(c).to_numpy() for c in ("k1", "k2", "doc", "mark", "at"))
-            new = np.ones(len(k1), bool)
-            new[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
-            new[0] = last is None or (k1[0], k2[0]) != last[:2]
-            begin = np.maximum.accumulate(np.where(new, np.arange(len(k1)), -1))
-            lead = [np.where(begin < 0, 0 if last is None else last[2 + j], v[np.maximum(begin, 0)]) for j, v in enumerate((doc, mark, at))]
-            i = np.flatnonzero((doc != lead[0]) | (mark != lead[1]) | (at != lead[2]))
-            last = (k1[-1], k2[-1], *(v[-1] for v in lead))
-            yield pa.record_batch([pa.array(v[i]) for v in (doc, mark, at)], ["doc", "mark", "at"])
-
     keys = both.repartition("rid").sortWithinPartitions("rid", "idx", "rank").mapInArrow(merged, "k1 long, k2 long, doc long, mark long, at long")
     return keys.repartition("k1").sortWithinPartitions("k1", "k2", "doc", "mark", "at").mapInArrow(later, "doc long, mark long, at long")
 
@@ -247,8 +252,8 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100, width: int = WIDTH
     covered = stored(covered_places(found))
     rest = stored(found.select("doc", "mark", "at", "gram").join(covered, ["doc", "mark", "at"], "left_anti"))
     me = F.struct("doc", "mark", "at")
-    twice = rest.groupBy("gram").agg(F.min(me).alias("a"), F.max(me).alias("b")).filter("a < b").select("gram")
-    edges = rest.join(twice, "gram").selectExpr("doc", "mark", "gram", _LOW, _HIGH).groupBy("doc", "mark").agg(F.collect_list(F.struct("gram", "low", "high")).alias("edges"))
+    twice = rest.groupBy("gram").agg(F.min(me).alias("a"), F.max(me).alias("b"), F.count("*").alias("n")).filter("a < b").select("gram", (F.col("n") > CROWD).alias("crowd"))
+    edges = rest.join(twice, "gram").selectExpr("doc", "mark", "gram", _LOW, _HIGH, "crowd").groupBy("doc", "mark").agg(F.collect_list(F.struct("gram", "low", "high", "crowd")).alias("edges"))
     whole = covered.selectExpr("doc", "mark", _LOW, _HIGH).groupBy("doc", "mark").agg(F.collect_list(F.struct("low", "high")).alias("whole"))
     lists = stored(edges.join(whole, ["doc", "mark"], "full_outer").select(F.col("doc").alias("doc_id"), "mark", "edges", "whole"))
     keyed = lists.select("doc_id", "mark").mapInArrow(lambda batches: (pa.record_batch([pa.array(_doc_keys(b.column(0).to_numpy(), b.column(1).to_numpy()))], ["key"]) for b in batches), "key long")
@@ -265,33 +270,73 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100, width: int = WIDTH
             yield pa.record_batch([batch.column("doc_id"), batch.column("text"), pa.array(marks)], ["doc_id", "text", "mark"]).filter(pa.array(go))
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The bytes around each edge anchor."""
+        """The bytes around each edge anchor whose gram is no crowd's."""
         for batch in batches:
             out = []
             for doc, text, mark, own in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "mark", "edges")), strict=True):
                 raw = text.encode()
-                out += [(e["gram"], doc, mark, e["low"], raw[e["low"] : e["high"] + length]) for e in own or ()]
+                out += [(e["gram"], doc, mark, e["low"], raw[e["low"] : e["high"] + length]) for e in own or () if not e["crowd"]]
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
             yield pa.record_batch([pa.array([r[j] for r in out], t) for j, t in enumerate(kinds)], ["gram", "doc", "mark", "low", "bytes"])
 
+    def hashed(held: list[tuple]) -> tuple[np.ndarray, ...]:
+        """Two hashes, document, mark and start of every string in (doc, mark, low, bytes)."""
+        data = np.frombuffer(b"".join(h[3] for h in held), np.uint8)
+        n = np.array([len(h[3]) for h in held])
+        starts = runs(np.cumsum(n) - n, n - length + 1)
+        owner = np.repeat(np.arange(len(held)), n - length + 1)
+        values = _BYTE[data]
+        h, check = windows(values, length)[starts], windows(values, length, _CHECK)[starts] >> np.uint64(32)
+        doc, mark, low = (np.array([x[j] for x in held], np.int64)[owner] for j in range(3))
+        return h, check, doc, mark, low + starts - (np.cumsum(n) - n)[owner]
+
+    def crowded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Strings around edge anchors of crowds: the first of each stretch, open, and those that it covers."""
+        held: list[tuple] = []
+        size = 0
+
+        def close() -> pa.RecordBatch:
+            h, check, *me = hashed(held)
+            held.clear()
+            order = np.lexsort((me[2], me[1], me[0], check, h))
+            h, check, me = h[order], check[order], [x[order] for x in me]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (check[1:] != check[:-1])
+            lead = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+            over = np.any([x != x[lead] for x in me], axis=0)
+            go = np.flatnonzero(new | over)
+            return pa.record_batch([*(pa.array(x[go].view(np.int64)) for x in (h, check, *me)), pa.array(over[go])], ["k1", "k2", "doc", "mark", "at", "over"])
+
+        for batch in batches:
+            for doc, text, mark, own in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "mark", "edges")), strict=True):
+                raw = text.encode()
+                for e in own:
+                    if e["crowd"]:
+                        held.append((doc, mark, e["low"], raw[e["low"] : e["high"] + length]))
+                        size += len(held[-1][3])
+                        if size > 1 << 20:
+                            yield close()
+                            size = 0
+        if held:
+            yield close()
+
+    def starts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, mark, at = (batch.column(c).to_numpy() for c in ("doc", "mark", "at"))
+            order = np.lexsort((at, mark, doc))
+            yield _by_document(doc[order], mark[order], at[order].astype(np.int32))
+
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Starts of strings that an earlier one equals; equal strings share their anchor's gram."""
         held: list[tuple] = []
         size, gram = 0, None
 
         def close() -> pa.RecordBatch:
-            data = np.frombuffer(b"".join(h[3] for h in held), np.uint8)
-            n = np.array([len(h[3]) for h in held])
-            starts = runs(np.cumsum(n) - n, n - length + 1)
-            owner = np.repeat(np.arange(len(held)), n - length + 1)
-            values = _BYTE[data]
-            h, check = windows(values, length)[starts], windows(values, length, _CHECK)[starts]
-            doc, mark, low = (np.array([x[j] for x in held], np.int64)[owner] for j in range(3))
-            position = low + starts - (np.cumsum(n) - n)[owner]
-            order = np.lexsort((position, mark, doc, check >> np.uint64(32), h))
+            h, check, doc, mark, position = hashed(held)
+            order = np.lexsort((position, mark, doc, check, h))
             same = np.zeros(len(order), bool)
             a, b = order[1:], order[:-1]
-            same[1:] = (h[a] == h[b]) & (check[a] >> np.uint64(32) == check[b] >> np.uint64(32)) & ((doc[a] != doc[b]) | (mark[a] != mark[b]) | (position[a] != position[b]))
+            same[1:] = (h[a] == h[b]) & (check[a] == check[b]) & ((doc[a] != doc[b]) | (mark[a] != mark[b]) | (position[a] != position[b]))
             # equal rows of one place: later ones follow the first
             twin = np.zeros(len(order), bool)
             twin[1:] = (h[a] == h[b]) & (doc[a] == doc[b]) & (mark[a] == mark[b]) & (position[a] == position[b])
@@ -345,7 +390,10 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100, width: int = WIDTH
     bytes_ = rows.mapInArrow(travelling, "doc_id long, text string, mark long")
     together = stored(bytes_.join(lists, ["doc_id", "mark"], "left"))
     sorted_edges = together.filter("edges is not null").select("doc_id", "text", "mark", "edges").mapInArrow(strings, "gram long, doc long, mark long, low int, bytes binary").repartition("gram").sortWithinPartitions("gram")
-    hits = sorted_edges.mapInArrow(compared, "doc_id long, mark long, positions binary").groupBy("doc_id", "mark").agg(F.collect_list("positions").alias("positions"))
+    crowds = stored(together.filter("exists(edges, e -> e.crowd)").select("doc_id", "text", "mark", "edges").mapInArrow(crowded, "k1 long, k2 long, doc long, mark long, at long, over boolean"))
+    first = crowds.filter("not over").repartition("k1").sortWithinPartitions("k1", "k2", "doc", "mark", "at").mapInArrow(later, "doc long, mark long, at long")
+    found_crowds = crowds.filter("over").select("doc", "mark", "at").unionByName(first).mapInArrow(starts_of, "doc_id long, mark long, positions binary")
+    hits = sorted_edges.mapInArrow(compared, "doc_id long, mark long, positions binary").unionByName(found_crowds).groupBy("doc_id", "mark").agg(F.collect_list("positions").alias("positions"))
     final = together.select("doc_id", "text", "mark", "whole").join(hits, ["doc_id", "mark"], "left").mapInArrow(cut, RESULT)
     return rows.mapInArrow(alone, RESULT).unionByName(final)
 

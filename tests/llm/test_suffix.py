@@ -62,3 +62,16 @@ def test_twin_rows_lose_only_repeats(spark):
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = [tuple(r) for r in suffix.digests(suffix.remove_repeated_bytes(df.unionByName(df).repartition(3), 100, 22)).collect()]
     assert sorted(got) == sorted(2 * [(d, *x) for d, x in brute(texts, 100).items()])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_crowded_grams(spark, monkeypatch, seed):
+    """Strings of crowds go another way, with the same result, and no gram's group grows beyond CROWD."""
+    monkeypatch.setattr(suffix, "CROWD", 3)
+    texts = corpus(seed)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    crowds = []
+    monkeypatch.setattr(suffix, "stored", lambda x, own=suffix.stored: (out := own(x), crowds.append(out) if "over" in out.columns else None)[0])
+    got = {r.doc_id: tuple(r)[1:] for r in suffix.digests(suffix.remove_repeated_bytes(df, 20, 22)).collect()}
+    assert got == brute(texts, 20)
+    assert crowds and crowds[0].count()
