@@ -10,9 +10,9 @@ the word's hash falls to, and only sums come back to the documents.
 Model. Embedding, one gated recurrent layer, and an output softmax in two
 factors: the class of the next word, then the word within its class (classes are
 ranges of words of about equal summed square-root frequency). It starts as the
-unigram model and is trained by truncated backpropagation on a fixed share of the
-training documents: replicas, as many as that share needs, each go through their
-own part from common parameters, which are then averaged, block by block.
+unigram model and is trained by truncated backpropagation on all training documents,
+each token once: replicas, as many as these need, each go through their own part
+from common parameters, which are then averaged, block by block.
 
 Scoring. Texts of a batch go side by side; windows of steps carry their states on
 to the next window, so a document's score covers it from first word to end.
@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from terrafold.llm.common import Words, runs, slices, stored
 
 FREQUENT, WORDS, CLASSES, WIDTH = 50_000, 6000, 64, 32
-#: One training document in SAMPLE trains the model, so what is gathered grows with the input.
-SAMPLE, ROUNDS, REPLICA_TOKENS = 32, 2, 400_000
+#: One training document in SAMPLE trains the model: all. A replica takes so many tokens, one of ROUNDS parts of them in each round.
+SAMPLE, ROUNDS, REPLICA_TOKENS = 1, 2, 1_000_000
 WINDOW, LANES, RATE = 24, 32, 0.08
 SCORE_WINDOW, SCORE_LANES = 64, 512
 UNKNOWN, END = 0, 1
@@ -214,18 +214,20 @@ class Model:
         return float(logs.sum()), h
 
     def train(self, tokens: np.ndarray) -> None:
-        """Adagrad over a stream of token ranks, read in LANES lanes side by side."""
-        steps = len(tokens) // LANES
-        if steps < 2:
+        """Adagrad over a stream of token ranks, read in up to LANES lanes side by side; each is predicted, the first from the last."""
+        if not len(tokens):
             return
-        lanes = tokens[: steps * LANES].reshape(LANES, steps).T
+        n = max(1, min(LANES, len(tokens) // 2))
+        steps = -(-len(tokens) // n)
+        # a lane starts with the token before its own; lanes past the stream's end begin anew
+        lanes = np.take(tokens, np.arange(n) * steps + np.arange(-1, steps)[:, None], mode="wrap")
         back, seen = self.blank(), np.full_like(self.flat, 1e-6)
-        h = np.zeros((LANES, WIDTH), np.float32)
-        for at in range(0, steps - 1, WINDOW):
-            to = min(at + WINDOW, steps - 1)
+        h = np.zeros((n, WIDTH), np.float32)
+        for at in range(0, steps, WINDOW):
+            to = min(at + WINDOW, steps)
             back.flat[:] = 0
             _, h = self.window(lanes[at:to], lanes[at + 1 : to + 1], h, back)
-            g = back.flat / LANES
+            g = back.flat / n
             seen += g * g
             self.flat += RATE * g / np.sqrt(seen + 1e-3)
 
@@ -257,7 +259,7 @@ class Model:
         return out / math.log(10)
 
 
-def _sample(column: pa.Array, folds: np.ndarray) -> np.ndarray:
+def _sample(folds: np.ndarray) -> np.ndarray:
     """Training documents that train the model: one in SAMPLE by a hash of the fold's checksum."""
     return (folds % 7 != 2) & ((folds * 2654435761 >> 7) % SAMPLE == 0)
 
@@ -324,22 +326,22 @@ def fit(rows: DataFrame, vocabulary: Vocabulary) -> Model:
     spark = rows.sparkSession
     words = spark.sparkContext.broadcast(vocabulary)
 
-    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = batch.filter(pa.array(_sample(batch.column("doc_id"), _folds(batch.column("doc_id")))))
+            kept = batch.filter(pa.array(_sample(_folds(batch.column("doc_id")))))
             for part, data, offsets in slices([kept]):
                 hashes, first = token_hashes(data, offsets)
                 raw = words.value.numbers(hashes).astype(np.uint16).tobytes()
                 yield pa.record_batch([pa.array([raw[2 * a : 2 * b] for a, b in zip(first.tolist(), first[1:].tolist(), strict=False)], pa.binary()), pa.array(np.diff(first))], ["ids", "n"])
 
-    sample = stored(rows.mapInArrow(sampled, "ids binary, n long"))
-    total = sample.agg(F.sum("n")).first()[0] or 0
+    train = stored(rows.mapInArrow(training, "ids binary, n long"))
+    total = train.agg(F.sum("n")).first()[0] or 0
     model = Model(vocabulary.frequency)
     if not total:
         return model
     replicas = -(-total // REPLICA_TOKENS)
     block = 1 << 14
-    dealt = sample.repartition(int(replicas), F.xxhash64("ids"))
+    dealt = train.repartition(int(replicas), F.xxhash64("ids"))
     for round_ in range(ROUNDS):
         now = spark.sparkContext.broadcast(model.flat.copy())
 
@@ -347,7 +349,7 @@ def fit(rows: DataFrame, vocabulary: Vocabulary) -> Model:
             cells = sorted(c for b in batches for c in b.column("ids").to_pylist())
             own = Model(words.value.frequency, now.value.copy())
             tokens = np.frombuffer(b"".join(cells[round_::ROUNDS]), np.uint16).astype(np.int64)
-            if len(tokens) >= 2 * LANES:
+            if len(tokens):
                 own.train(own.rank[tokens])
                 flat = [own.flat[i : i + block].tobytes() for i in range(0, len(own.flat), block)]
                 yield pa.record_batch([pa.array(range(len(flat)), pa.int32()), pa.array(flat, pa.binary()), pa.array([len(tokens)] * len(flat), pa.int64())], ["block", "x", "weight"])

@@ -87,3 +87,21 @@ def test_repeated_and_null_ids(spark):
     df = spark.createDataFrame([(3, "a b"), (3, "a b"), (None, "a"), (None, None)], "doc_id long, text string")
     got = lm.score_documents(df).collect()
     assert sorted((r.doc_id or 0, r.n_tokens, r.train_tokens) for r in got) == [(0, 1, 9), (0, 2, 9), (3, 3, 9), (3, 3, 9)]
+
+
+def test_all_training_documents_train(spark, monkeypatch):
+    """Every training token reaches a replica once, also of a few documents; a phrase of one document is learned."""
+    window = lm.Model.window
+
+    model = lm.Model(np.ones(40))
+    got = []
+    monkeypatch.setattr(lm.Model, "window", lambda self, x, y, h, back: (got.append(y.ravel()), window(self, x, y, h, back))[1])
+    for n in (1, 5, 63, 64, 1000, 1031):
+        got.clear()
+        model.train(np.arange(n) % 40)
+        targets = np.bincount(np.concatenate(got), minlength=40)
+        assert (targets >= np.bincount(np.arange(n) % 40, minlength=40)).all() and targets.sum() < n + lm.LANES
+    monkeypatch.undo()
+    docs = spark.createDataFrame([(i, "one two three four five six seven eight") for i in range(8)], "doc_id long, text string")
+    vocabulary = lm.count_words(docs)
+    assert (lm.fit(docs, vocabulary).flat != lm.Model(vocabulary.frequency).flat).any()
