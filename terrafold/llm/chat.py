@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import runs, text_bytes
+from terrafold.llm.common import runs, small_batches, text_bytes
 
 HEAD, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 CONTROL = (HEAD, SEP, END, "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
@@ -106,7 +106,7 @@ def format_chats(turns: DataFrame) -> DataFrame:
     not the number of conversations, bounds a task's memory.
     """
     empty = F.lit("")
-    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").alias("turn"), F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text"))
+    rows = small_batches(turns).select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").alias("turn"), F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text"))
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
     return rows.mapInArrow(_format, FORMATTED)
 

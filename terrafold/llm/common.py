@@ -7,7 +7,6 @@ can be found on the bytes of a whole Arrow batch without making Python strings.
 
 from __future__ import annotations
 
-import os
 import re
 import tempfile
 import uuid
@@ -15,15 +14,18 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 #: Bytes of text that are scanned at once; a longer text is scanned alone, whole.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
+#: Rows that a task hands its Python worker at once, and powers of a base that a worker keeps.
+BATCH_ROWS, KEPT_POWERS = 1000, 1 << 18
 #: Filters of keys have 2**FILTER_BITS bits (4 MiB).
 FILTER_BITS = 25
 
@@ -40,15 +42,26 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A table of a folder. Texts can be long, so tasks are handed them in small Arrow batches."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def small_batches(docs: DataFrame) -> DataFrame:
+    """docs, in a session that hands tasks at most BATCH_ROWS rows at once, since texts can be long.
+
+    Every operator on texts begins with this; the setting holds for the session, and a smaller one stays.
+    """
+    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", docs.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return docs
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir. Only a local session gets one of our own where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -61,9 +74,9 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def texts(docs: DataFrame, *more: str) -> DataFrame:
+def texts(docs: DataFrame, *more: str | Column) -> DataFrame:
     """(doc_id long, text string) and what else is named; other columns go, null texts are empty."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
 def words(text: str) -> list[str]:
@@ -85,13 +98,14 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
+    """base**0 .. base**(n-1) modulo 2**64. Up to KEPT_POWERS of them are kept; more are made anew for a long text."""
     have = _powers.get(base)
     if have is None or len(have) < n:
         have = np.full(max(n, 1 << 16), base, np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
-        _powers[base] = have
+        if n <= KEPT_POWERS:
+            _powers[base] = have
     return have[:n]
 
 
@@ -107,6 +121,17 @@ def windows(values: np.ndarray, k: int, base: int = _Q) -> np.ndarray:
     return mix((total[k:] - total[: n - k + 1]) * down)
 
 
+def least_places(values: np.ndarray, span: int) -> np.ndarray:
+    """Where the least of span values from each place on is, the last of equals."""
+    value, place, width = values, np.arange(len(values)), 1
+    while width < span:
+        step = min(width, span - width)
+        later = value[step:] <= value[:-step]
+        value, place = np.where(later, value[step:], value[:-step]), np.where(later, place[step:], place[:-step])
+        width += step
+    return place
+
+
 class Words:
     """The words of a slice of texts: starts and ends in data, hashes, and the number of words before each text."""
 
@@ -225,7 +250,7 @@ def key_filter(keys: DataFrame) -> np.ndarray:
     schema = "block int, bits binary"
     rows = keys.mapInArrow(blocks, schema).repartition("block").mapInArrow(merged, schema)
     out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    for r in rows.toLocalIterator():  # at most 2**(FILTER_BITS - block) rows of 8 KiB
+    for r in rows.collect():  # at most 2**(FILTER_BITS - block) rows of 8 KiB
         at = r.block << (block - 3)
         out[at : at + (1 << (block - 3))] |= np.frombuffer(r.bits, np.uint8)
     return out
@@ -237,5 +262,5 @@ def in_filter(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def vocabulary(name: str) -> str:
-    """The path of a public vocabulary file in the folder that TOKENIZERS_DIR names, /opt/tokenizers by default."""
-    return os.path.join(os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers"), name)
+    """The path of a public vocabulary file."""
+    return public_tokenizers.path(name)

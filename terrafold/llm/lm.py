@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import Words, runs, slices, stored
+from terrafold.llm.common import Words, runs, slices, stored, texts
 
 FREQUENT, WORDS, CLASSES, WIDTH = 50_000, 6000, 64, 32
 #: One training document in SAMPLE trains the model: all. A replica takes so many tokens, one of ROUNDS parts of them in each round.
@@ -377,7 +377,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     crc32(doc_id as text) mod 7 is 2 are held out of counting and training; a null doc_id is not held out. Repeated
     rows count, train and are scored each. An empty table gives no rows; other columns are ignored.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = texts(docs)
     spark = docs.sparkSession
     vocabulary = count_words(rows)
     trained = fit(rows, vocabulary)

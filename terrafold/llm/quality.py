@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from terrafold.llm.common import SPACES, Words, slices, vocabulary, windows, words
+from terrafold.llm.common import SPACES, Words, slices, small_batches, texts, vocabulary, windows, words
 
 SYMBOLS = "#*$%&|<>"
 CACHE_WORDS = 100_000
@@ -173,7 +173,7 @@ def quality_rules(docs: DataFrame, bands: dict[str, Band] = BANDS, vocab: str |
     """
     path = vocab or vocabulary("piece_bpe_32k.model")
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang"))
+    rows = texts(docs, lang.alias("lang"))
     return rows.mapInArrow(lambda batches: judged(batches, path, bands, window, least_words, most_repeats), COLUMNS)
 
 
@@ -189,4 +189,4 @@ def keep_documents(docs: DataFrame, bands: dict[str, Band] = BANDS, vocab: str |
             kept = [b.column("kept") for b in judged(iter([own]), path, bands, 3, 50, 50)]
             yield batch.filter(pa.chunked_array(kept, pa.bool_()).combine_chunks())
 
-    return docs.mapInArrow(each, docs.schema)
+    return small_batches(docs).mapInArrow(each, docs.schema)

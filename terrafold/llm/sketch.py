@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 
 from terrafold.llm.common import mix, slices
 
-WIDTH_BITS, BLOCK_BITS = 28, 18
+WIDTH_BITS, BLOCK_BITS = 26, 17
 #: Hashes that a task sketches at once.
 STRETCH = 500_000
 
@@ -87,7 +87,7 @@ def sketch(docs: DataFrame, hashes_of: Callable[[pa.RecordBatch, np.ndarray, np.
     parts = docs.mapInArrow(own, "cell int, once binary, twice binary")
     merged = parts.repartition("cell").sortWithinPartitions("cell").mapInArrow(merge, "cell int, bits binary")
     out = np.zeros((depth * blocks, max(1, (1 << block) // 8)), np.uint8)
-    for r in merged.toLocalIterator():  # depth * 2**width bits in all, whatever the input
+    for r in merged.collect():  # depth * 2**width bits in all, whatever the input
         out[r.cell] = np.frombuffer(r.bits, np.uint8)
     return out.reshape(depth, -1)
 

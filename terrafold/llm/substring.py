@@ -1,8 +1,10 @@
 """Substring deduplication behind a count-min prefilter.
 
-Pass one counts every window of words in sketches, one for each stretch of a
-partition: two rows of counters that only need to tell none, one, and more. Their
-sums, block by block, overestimate every window's count, so a window that any
+Pass one counts windows of words in sketches, one for each stretch of a partition:
+rows of counters that only need to tell none, one, and more. Neighbouring windows
+share a counter: each is counted under its anchor, the run of four fifths of its words
+with the smallest hash. Equal windows have equal anchors, so an anchor's sum over
+all partitions, block by block, overestimates the count of each of its windows: one whose anchor any
 row of the merged sketch has seen once at most is not repeated, and none that is
 repeated is lost. Pass two sends only the windows estimated repeated, one for
 each stretch and smallest document, to exact groups by a 96-bit hash. What the
@@ -13,7 +15,7 @@ smaller doc_id loses all its windows and need not be sketched. Which rows are co
 goes to the tasks as two bitmaps of fixed size, one of the copies and one of the rows
 that the first would take for copies by chance; rows in the first alone are copies.
 
-The merged sketch is of fixed size (sketch.py) and is
+The merged sketch is of fixed size (sketch.py, 16 MiB) and is
 broadcast as a bitmap; a larger corpus fills it more and sends more windows to
 the exact groups, with the same result.
 """
@@ -29,11 +31,11 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import Packed, Words, in_filter, key_filter, mix, runs, ship, slices, stored, windows, words
+from terrafold.llm.common import _Q, Packed, Words, in_filter, key_filter, least_places, mix, runs, ship, slices, stored, texts, windows, words
 from terrafold.llm.sketch import WIDTH_BITS, estimated_repeated, sketch
 
-#: Rows of the sketch.
-DEPTH = 3
+#: Windows that an exact group holds before it keeps the first of equals only.
+HELD = 1 << 20
 #: Windows in one set of candidates, or positions in one answer; a stretch ends at the next slice of texts.
 STRETCH = 200_000
 _CHECK = 0xA24BAED4963EE407 | 1
@@ -43,14 +45,32 @@ _COVERED = "doc_id long, mark long, positions binary, key long"
 RESULT = "doc_id long, text string, n_words long, n_removed long, key long"
 
 
-def grams_of(data: np.ndarray, offsets: np.ndarray, k: int, check: bool = False) -> tuple[np.ndarray, ...]:
-    """Hashes of the windows of k words within each text, how many come before each text, and a second hash."""
-    found = Words(data, offsets)
-    n = np.maximum(np.diff(found.first) - k + 1, 0)
-    own = runs(found.first[:-1], n)
-    h = found.hashes()
-    out = (windows(h, k)[own] if len(own) else np.zeros(0, np.uint64), np.concatenate([[0], np.cumsum(n)]))
-    return (*out, (windows(h, k, _CHECK)[own] >> np.uint64(32)).astype(np.uint32) if len(own) else np.zeros(0, np.uint32)) if check else out
+class Windows:
+    """The windows of k words within each text: their owners, how many come before each text, and their anchors."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, k: int) -> None:
+        found = Words(data, offsets)
+        n = np.maximum(np.diff(found.first) - k + 1, 0)
+        self.k, self.before = k, np.concatenate([[0], np.cumsum(n)])
+        self.owner = np.repeat(np.arange(len(n)), n)
+        self._own, self._words = runs(found.first[:-1], n), found.hashes()
+        gram = max(1, 4 * k // 5)
+        grams = windows(self._words, gram)
+        place = least_places(grams, k - gram + 1)[self._own] if len(self._own) else self._own
+        new = np.ones(len(place), bool)
+        new[1:] = (place[1:] != place[:-1]) | (self.owner[1:] != self.owner[:-1])
+        #: Hashes and owners of the anchors, and the anchor of each window.
+        self.anchors, self.anchor_owner, self.anchor = grams[place[new]], self.owner[new], np.cumsum(new) - 1
+
+    def hashes(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of the windows at."""
+        h, check = (windows(self._words, self.k, base)[self._own[at]] for base in (_Q, _CHECK))
+        return h, (check >> np.uint64(32)).astype(np.uint32)
+
+
+def grams_of(data: np.ndarray, offsets: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of the windows of k words within each text."""
+    return Words(data, offsets).grams(k)[0]
 
 
 def _by_document(doc: np.ndarray, mark: np.ndarray, position: np.ndarray) -> pa.RecordBatch:
@@ -80,7 +100,8 @@ class Copies:
     def __init__(self, rows: DataFrame, twins: bool = False) -> None:
         text = ["text_a", "text_b", "size"]
         keys = stored(rows.filter("doc_id is not null").select("doc_id", "key", F.xxhash64("text").alias("text_a"), F.hash("text").alias("text_b"), F.length("text").alias("size")))
-        firsts = keys.groupBy(*text).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").drop("last")
+        # written, so that the join after it may split a text that very many rows share
+        firsts = stored(keys.groupBy(*text).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").drop("last"))
         copies = stored(keys.join(firsts, text).filter("doc_id > first").select("key").distinct())
         self.copies = Packed(key_filter(copies))
         like = keys.select("key").mapInArrow(lambda batches: (b.filter(pa.array(in_filter(self.copies, b.column(0).to_numpy()))) for b in batches), "key long")
@@ -93,17 +114,17 @@ class Copies:
 
 
 def covered_positions(docs: DataFrame, copies: Broadcast, k: int, width: int = WIDTH_BITS) -> DataFrame:
-    """_COVERED, one row a document: starts of windows that also start in a document with a smaller doc_id.
+    """_COVERED, one row a document, stored: starts of windows that also start in a document with a smaller doc_id.
 
     Of windows that a document repeats within itself, the first may stand for all.
     """
     spark = docs.sparkSession
 
     def originals(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        h, before = grams_of(data, offsets, k)
-        return h[np.repeat(~copies.value(batch.column("key").to_numpy()), np.diff(before))]
+        found = Windows(data, offsets, k)
+        return found.anchors[~copies.value(batch.column("key").to_numpy())[found.anchor_owner]]
 
-    sent = ship(spark, sketch(docs.select("text", "key"), originals, width, DEPTH))
+    sent = ship(spark, sketch(docs.select("text", "key"), originals, width))
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,35 +159,34 @@ def covered_positions(docs: DataFrame, copies: Broadcast, k: int, width: int = W
             return pa.record_batch([pa.array([bucket], pa.int32()), *cells, pa.array([covered])], ["bucket", "hash", "check", "doc", "mark", "position", "covered"])
 
         for batch, data, offsets in slices(batches):
-            h, before, check = grams_of(data, offsets, k, check=True)
+            found = Windows(data, offsets, k)
             ids = batch.column("doc_id")
             known = ids.is_valid().to_numpy(zero_copy_only=False) & ~copies.value(batch.column("key").to_numpy())
-            own = np.repeat(np.arange(batch.num_rows), np.diff(before))
-            maybe = np.flatnonzero(estimated_repeated(sent.value, h, width) & known[own])
+            repeated = estimated_repeated(sent.value, found.anchors, width) & known[found.anchor_owner]
+            maybe = np.flatnonzero(repeated[found.anchor])
             if len(maybe):
-                own = own[maybe]
+                own = found.owner[maybe]
                 marks = _marks(batch.column("key").to_numpy())
-                held.append((h[maybe], check[maybe], ids.fill_null(0).to_numpy(zero_copy_only=False)[own], marks[own], maybe - before[own]))
+                held.append((*found.hashes(maybe), ids.fill_null(0).to_numpy(zero_copy_only=False)[own], marks[own], maybe - found.before[own]))
             if sum(len(c[0]) for c in held) >= STRETCH:
                 yield from flush()
         yield from flush()
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (np.uint64, np.uint32, np.int64, np.uint32, np.int32)
-        bucket, held, found = None, [], []
+        bucket, held, found, size = None, [], [], 0
 
-        def close() -> None:
-            if not held:
-                return
+        def fold() -> None:
+            """Settles what is held: of equal windows only those of the smallest document so far stay."""
             h, check, doc, mark, position = (np.concatenate(c) for c in zip(*held, strict=True))
-            held.clear()
             order = np.lexsort((doc, check, h))
-            h, check, doc = h[order], check[order], doc[order]
+            h, check, doc, mark, position = (x[order] for x in (h, check, doc, mark, position))
             new = np.ones(len(h), bool)
             new[1:] = (h[1:] != h[:-1]) | (check[1:] != check[:-1])
             first = np.flatnonzero(new)
-            over = np.flatnonzero(doc > np.repeat(doc[first], np.diff(np.append(first, len(h)))))
-            found.append((doc[over], mark[order[over]], position[order[over]]))
+            over = doc > np.repeat(doc[first], np.diff(np.append(first, len(h))))
+            found.append((doc[over], mark[over], position[over]))
+            held[:] = [tuple(x[~over] for x in (h, check, doc, mark, position))]
 
         def flush() -> pa.RecordBatch:
             doc, mark, position = (np.concatenate(c) for c in zip(*found, strict=True))
@@ -184,13 +204,19 @@ def covered_positions(docs: DataFrame, copies: Broadcast, k: int, width: int = W
                 if covered:
                     found.append(tuple(arrays[2:]))
                     continue
-                if b != bucket:
-                    close()
-                    bucket = b
+                if b != bucket and held:
+                    fold()
+                    held, size = [], 0
+                bucket = b
                 held.append(tuple(arrays))
+                size += len(arrays[0])
+                if size > HELD:
+                    fold()
+                    size = len(held[0][0]) // 2  # what is left goes on; the next fold comes after as much again
             if sum(len(f[0]) for f in found) >= STRETCH:
                 yield flush()
-        close()
+        if held:
+            fold()
         if found:
             yield flush()
 
@@ -213,7 +239,9 @@ def covered_positions(docs: DataFrame, copies: Broadcast, k: int, width: int = W
 
     sent_rows = docs.select("doc_id", "text", "key").mapInArrow(candidates, _SENT)
     found_rows = sent_rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(exact, _FOUND)
-    return found_rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(gathered, _COVERED)
+    covered = stored(found_rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(gathered, _COVERED))
+    sent.destroy()
+    return covered
 
 
 def remove_repeats(docs: DataFrame, k: int = 50, width: int = WIDTH_BITS) -> DataFrame:
@@ -225,12 +253,12 @@ def remove_repeats(docs: DataFrame, k: int = 50, width: int = WIDTH_BITS) -> Dat
     and empty texts have no words; rows with a null doc_id neither lose words nor cover any; rows that share a
     doc_id do not cover each other. An empty table gives no rows; other columns are ignored.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = texts(docs)
     rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
     spark = docs.sparkSession
     copies = spark.sparkContext.broadcast(Copies(rows))
 
-    covered = stored(covered_positions(rows, copies, k, width))
+    covered = covered_positions(rows, copies, k, width)
     sent = ship(spark, key_filter(covered.select("key")))
 
     def split(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -264,7 +292,7 @@ def remove_repeats(docs: DataFrame, k: int = 50, width: int = WIDTH_BITS) -> Dat
                 if cells:
                     at = np.frombuffer(cells, np.int32)
                     raw = np.frombuffer(text.encode(), np.uint8)
-                    h = grams_of(raw, np.array([0, len(raw)]), k)[0]
+                    h = grams_of(raw, np.array([0, len(raw)]), k)
                     at = np.flatnonzero(np.isin(h, h[at]))
                     steps = np.zeros(len(ws) + 1, np.int64)
                     np.add.at(steps, at, 1)

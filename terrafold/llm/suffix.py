@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import _BYTE, _P, in_filter, key_filter, mix, powers, runs, ship, slices, stored, text_bytes, windows
+from terrafold.llm.common import _BYTE, _P, in_filter, key_filter, least_places, mix, powers, runs, ship, slices, stored, text_bytes, texts, windows
 from terrafold.llm.sketch import WIDTH_BITS, estimated_repeated, sketch
 from terrafold.llm.substring import _CHECK, Copies, _by_document, _doc_keys, _marks
 
@@ -59,12 +59,7 @@ class Anchors:
         n = np.maximum(np.diff(offsets) - length + 1, 0)
         first = np.cumsum(n) - n
         h = windows(_BYTE[data], gram) if n.any() else np.zeros(0, np.uint64)
-        value, place, width = h, np.arange(len(h)), 1
-        while width < span:  # the smallest of width grams from each place, the last of equals
-            step = min(width, span - width)
-            later = value[step:] <= value[:-step]
-            value, place = np.where(later, value[step:], value[:-step]), np.where(later, place[step:], place[:-step])
-            width += step
+        place = least_places(h, span)
         starts = runs(offsets[:-1], n)
         at = place[starts] if len(starts) else starts
         new = np.ones(len(at), bool)
@@ -195,7 +190,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100, width: int = WIDTH
     An empty table gives no rows; other columns are ignored. Texts shorter than length stay whole.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
+    rows = texts(docs).withColumn("key", F.xxhash64("doc_id", "text"))
     settled = Copies(rows, twins=True)
     any_twins = bool(settled.twins.array.any())
     copies = spark.sparkContext.broadcast(settled)
@@ -249,6 +244,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100, width: int = WIDTH
         twins, others = (rows.mapInArrow(partial(twin, wanted), rows.schema) for wanted in (True, False))
         once = others.unionByName(twins.filter("doc_id is not null").dropDuplicates(["key"]))
     found = stored(once.mapInArrow(places, _PLACES))
+    seen.destroy()
     covered = stored(covered_places(found))
     rest = stored(found.select("doc", "mark", "at", "gram").join(covered, ["doc", "mark", "at"], "left_anti"))
     me = F.struct("doc", "mark", "at")
