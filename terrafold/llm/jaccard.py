@@ -16,9 +16,9 @@ other, nodes that hold the OR of their token bitmaps and their range of sizes. A
 dual traversal of the tree prunes pairs of nodes whose largest possible overlap,
 by bitmaps and sizes, is below what the smallest sizes need, and pairs that are
 in one class already, since classes are what is asked for. What is left is
-verified exactly. A component with more sets than a block holds is cut into
-blocks that are joined each with itself; then only such pairs of blocks meet as
-their summaries do not prune.
+verified exactly. A component with more sets, or more tokens, than a block holds is cut into
+blocks that are joined each with itself and with a few sets that all of them have; then only such
+pairs of blocks meet as their summaries do not prune.
 """
 
 from __future__ import annotations
@@ -31,12 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import Words, in_filter, key_filter, mix, runs, ship, slices, stored, windows
-from terrafold.llm.components import components
+from terrafold.llm.common import Words, in_filter, key_filter, mix, runs, ship, slices, stored, texts, windows
+from terrafold.llm.components import components, stars
 from terrafold.llm.sketch import estimated_repeated, sketch
 
 #: Bits of a node's bitmap; sets of a leaf; sets of a block.
 BITS, LEAF, BLOCK = 4096, 16, 8192
+#: Tokens of a block, times its sets, at most; sets that go to all blocks of a component, about.
+TOKENS, PIVOTS = 256, 16
 #: Classes of so many sets are pieces of their own where blocks meet; smaller ones of a block are one piece.
 LARGE = 256
 #: Parts with so few tokens are not asked to agree, unless a set has more of them than spare parts: they say little.
@@ -149,12 +151,12 @@ def common_tokens(rows: DataFrame, distinct: Callable[[np.ndarray, np.ndarray],
             for k, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 total[k] = total.get(k, 0) + np.frombuffer(raw, np.uint16).astype(np.int64)
         for k, x in total.items():
-            yield pa.record_batch([pa.array([k], pa.int32()), pa.array([x.tobytes()], pa.binary())], ["block", "counts"])
+            yield pa.record_batch([pa.array([k], pa.int32()), pa.array([x.astype(np.float32).tobytes()], pa.binary())], ["block", "counts"])
 
     parts = rows.select("text").mapInArrow(own, "block int, counts binary").repartition("block").mapInArrow(merged, "block int, counts binary")
-    out = np.zeros((1 << (HOT_BITS - block), 1 << block), np.int64)
-    for r in parts.toLocalIterator():  # 2**HOT_BITS counters in all
-        out[r.block] = np.frombuffer(r["counts"], np.int64)
+    out = np.zeros((1 << (HOT_BITS - block), 1 << block), np.float32)
+    for r in parts.collect():  # 2**HOT_BITS counters in all
+        out[r.block] = np.frombuffer(r["counts"], np.float32)
     return np.packbits(out.ravel() > 2 * out.mean() + HOT_MARGIN)
 
 
@@ -291,7 +293,7 @@ def _edges(links: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.record_batch([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["a", "b"])
 
 
-def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80, width: int = 27, block: int = BLOCK) -> DataFrame:
+def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80, width: int = 26, block: int = BLOCK) -> DataFrame:
     """RESULT: each row's number of distinct k-word shingles and the smallest doc_id its links reach, itself included.
 
     Words are lower-cased A-Z. A text with fewer words than k has its whole sequence as one shingle; null and empty
@@ -300,7 +302,7 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80, width: int =
     no component; one that reaches no other doc_id has a null component. Other columns are ignored.
     """
     shape = Shape(k, percent)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = texts(docs)
 
     def vertices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in slices(batches):
@@ -334,12 +336,15 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80, width: int =
             at = at[estimated_repeated(seen.value, signatures[at], width)]
             sids = set_ids(grams, first)[whose[at]]
             order = np.lexsort((sids, signatures[at]))
-            yield pa.record_batch([pa.array(signatures[at][order].view(np.int64)), pa.array(sids[order])], ["signature", "sid"])
+            yield pa.record_batch([pa.array(signatures[at][order].view(np.int64)), pa.array(sids[order]), pa.array(np.diff(first)[whose[at]][order])], ["signature", "sid", "n"])
 
-    groups = rows.select("text").mapInArrow(candidates, "signature long, sid long")
-    least = groups.groupBy("signature").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).filter("low < high").select("signature", "low")
+    groups = stored(rows.select("text").mapInArrow(candidates, "signature long, sid long, n long"))
+    hot.destroy()
+    seen.destroy()
+    # written, so that the join after it may split a signature that very many sets share
+    least = stored(groups.groupBy("signature").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).filter("low < high").select("signature", "low"))
     near = components(groups.join(least, "signature").filter("sid <> low").select(F.col("low").alias("a"), F.col("sid").alias("b")))
-    near = stored(near)
+    near = stored(near.join(groups.groupBy(F.col("sid").alias("node")).agg(F.max("n").alias("n")), "node"))
     wanted = ship(docs.sparkSession, key_filter(near.select("node")))
 
     def travelling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,23 +356,33 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80, width: int =
             cells = [raw[8 * a : 8 * b] for a, b in zip(first[go].tolist(), first[go + 1].tolist(), strict=True)]
             yield pa.record_batch([pa.array(sids[go]), pa.array(cells, pa.binary())], ["sid", "grams"])
 
-    sizes = near.groupBy("component").agg(F.count("*").alias("members"))
-    placed = near.join(sizes, "component").select(F.col("node").alias("sid"), "component", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / block)).cast("int").alias("block"), (F.col("members") > block).alias("cut"))
+    sizes = near.groupBy("component").agg(F.count("*").alias("members"), F.sum("n").alias("tokens"))
+    sizes = sizes.withColumn("blocks", F.ceil(F.greatest(F.col("members") / block, F.col("tokens") / (block * TOKENS))).cast("int"))
+    members = near.join(sizes, "component").select(F.col("node").alias("sid"), "component", "blocks", F.xxhash64("node").alias("dealt"), F.pmod(F.xxhash64("node", F.lit(1)), F.ceil(F.col("members") / PIVOTS)).alias("pivot"))
+    # some sets of a component in blocks go to all of them: what links to those is one class everywhere
+    own = F.array(F.pmod("dealt", "blocks").cast("int"))
+    at = F.explode(F.when((F.col("blocks") > 1) & (F.col("pivot") == 0), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(own))
+    placed = members.select("sid", "component", at.alias("block"), (F.col("blocks") > 1).alias("cut"))
     sent = rows.select("text").mapInArrow(travelling, "sid long, grams binary")
-    sets = stored(sent.join(placed, "sid").groupBy("sid", "component", "block", "cut").agg(F.first("grams").alias("grams")))
+    sets = stored(sent.groupBy("sid").agg(F.first("grams").alias("grams")).join(placed, "sid"))
+    wanted.destroy()
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sids, own in _members(batches):
+        """Stars: the smallest set of each class, and each other one; sets come in ascending order."""
+        for (*_, cut), sids, own in _members(batches):
             if len(sids) > 1:
-                tree = Tree(own)
-                yield _edges([(sids[x], sids[y]) for x, y in dual(tree, tree, shape, Union(len(sids)), 0)])
+                tree, union = Tree(own), Union(len(sids))
+                dual(tree, tree, shape, union, 0)
+                found = [(sids[union.find(i)], s) for i, s in enumerate(sids) if union.find(i) != i]
+                yield pa.record_batch([*_edges(found).columns, pa.array([cut] * len(found), pa.bool_())], ["a", "b", "cut"])
 
     order = ["component", "block"]
-    blocks = sets.select(*order, "sid", "grams").repartition(*order).sortWithinPartitions(*order, "sid")
-    links = stored(blocks.mapInArrow(within, "a long, b long"))
+    blocks = sets.select(*order, "cut", "sid", "grams").repartition(*order).sortWithinPartitions(*order, "sid")
+    links = stored(blocks.mapInArrow(within, "a long, b long, cut boolean"))
+    classes = stars(links.filter("not cut"))
     if sets.filter("cut").limit(1).count():
-        links = links.unionByName(_across(sets.filter("cut"), components(links), shape))
-    classes = components(links)
+        parts = links.filter("cut").select("a", "b")
+        classes = classes.unionByName(components(parts.unionByName(_across(sets.filter("cut"), stored(components(parts)), shape))))
     found = rows.mapInArrow(vertices, "doc_id long, sid long, n long").join(classes.withColumnRenamed("node", "sid"), "sid", "left")
     named = stored(found.select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "sid")).alias("class")))
     smallest = named.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"))
@@ -384,7 +399,7 @@ def _across(sets: DataFrame, classes: DataFrame, shape: Shape) -> DataFrame:
     piece = ["component", "block", "class"]
     large = classes.groupBy("component").agg(F.count("*").alias("n")).filter(F.col("n") > LARGE).select("component")
     named = classes.join(large, "component").select(F.col("node").alias("sid"), F.col("component").alias("class"))
-    marked = sets.join(named, "sid", "left")
+    marked = sets.drop("cut").join(named, "sid", "left")
     marked = stored(marked.select("component", "block", F.coalesce("class", F.lit(-1).cast("long")).alias("class"), "sid", "grams"))
 
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,13 +17,13 @@ from pyspark.sql import DataFrame
 
 from terrafold.llm.common import mix, slices
 
-WIDTH_BITS, BLOCK_BITS = 26, 17
+WIDTH_BITS, BLOCK_BITS = 27, 17
 #: Hashes that a task sketches at once.
 STRETCH = 500_000
 
 
 def _cells(hashes: np.ndarray, row: int, width: int) -> np.ndarray:
-    h = hashes if row == 0 else mix(hashes + np.uint64(0x9E3779B97F4A7C15 * row % 2**64))
+    h = mix(hashes + np.uint64(0x9E3779B97F4A7C15 * (row + 1) % 2**64))
     return (h >> np.uint64(64 - width)).astype(np.uint32)
 
 

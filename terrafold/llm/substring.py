@@ -15,7 +15,7 @@ smaller doc_id loses all its windows and need not be sketched. Which rows are co
 goes to the tasks as two bitmaps of fixed size, one of the copies and one of the rows
 that the first would take for copies by chance; rows in the first alone are copies.
 
-The merged sketch is of fixed size (sketch.py, 16 MiB) and is
+The merged sketch is of fixed size (sketch.py, 32 MiB) and is
 broadcast as a bitmap; a larger corpus fills it more and sends more windows to
 the exact groups, with the same result.
 """
