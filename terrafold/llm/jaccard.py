@@ -293,7 +293,7 @@ def _edges(links: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.record_batch([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["a", "b"])
 
 
-def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80, width: int = 26, block: int = BLOCK) -> DataFrame:
+def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80, width: int = 27, block: int = BLOCK) -> DataFrame:
     """RESULT: each row's number of distinct k-word shingles and the smallest doc_id its links reach, itself included.
 
     Words are lower-cased A-Z. A text with fewer words than k has its whole sequence as one shingle; null and empty
@@ -343,8 +343,8 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80, width: int =
     seen.destroy()
     # written, so that the join after it may split a signature that very many sets share
     least = stored(groups.groupBy("signature").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).filter("low < high").select("signature", "low"))
-    near = components(groups.join(least, "signature").filter("sid <> low").select(F.col("low").alias("a"), F.col("sid").alias("b")))
-    near = stored(near.join(groups.groupBy(F.col("sid").alias("node")).agg(F.max("n").alias("n")), "node"))
+    pairs = stored(groups.join(least, "signature").select(F.col("low").alias("a"), F.col("sid").alias("b"), "n"))
+    near = stored(components(pairs.select("a", "b")).join(pairs.groupBy(F.col("b").alias("node")).agg(F.max("n").alias("n")), "node"))
     wanted = ship(docs.sparkSession, key_filter(near.select("node")))
 
     def travelling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -385,9 +385,9 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80, width: int =
         classes = classes.unionByName(components(parts.unionByName(_across(sets.filter("cut"), stored(components(parts)), shape))))
     found = rows.mapInArrow(vertices, "doc_id long, sid long, n long").join(classes.withColumnRenamed("node", "sid"), "sid", "left")
     named = stored(found.select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "sid")).alias("class")))
-    smallest = named.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    joined = named.filter("class is not null").join(smallest, "class").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return joined.unionByName(named.filter("class is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    # of classes of several rows; written, so that the join after it may split a class of very many
+    smallest = stored(named.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows")).filter("rows > 1").drop("rows"))
+    return named.join(smallest, "class", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def _across(sets: DataFrame, classes: DataFrame, shape: Shape) -> DataFrame:

@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from terrafold.llm.common import Words, runs, slices, stored, texts
 
 FREQUENT, WORDS, CLASSES, WIDTH = 50_000, 6000, 64, 32
-#: One training document in SAMPLE trains the model: all. A replica takes so many tokens, one of ROUNDS parts of them in each round.
-SAMPLE, ROUNDS, REPLICA_TOKENS = 1, 2, 1_000_000
+#: A replica takes so many tokens, one of ROUNDS parts of them in each round.
+ROUNDS, REPLICA_TOKENS = 2, 1_000_000
 WINDOW, LANES, RATE = 24, 32, 0.08
 SCORE_WINDOW, SCORE_LANES = 64, 512
 UNKNOWN, END = 0, 1
@@ -259,11 +259,6 @@ class Model:
         return out / math.log(10)
 
 
-def _sample(folds: np.ndarray) -> np.ndarray:
-    """Training documents that train the model: one in SAMPLE by a hash of the fold's checksum."""
-    return (folds % 7 != 2) & ((folds * 2654435761 >> 7) % SAMPLE == 0)
-
-
 def count_words(rows: DataFrame) -> Vocabulary:
     """Frequent words of the training documents, and how many tokens and distinct ones there are in all."""
     spark = rows.sparkSession
@@ -328,43 +323,47 @@ def fit(rows: DataFrame, vocabulary: Vocabulary) -> Model:
 
     def training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = batch.filter(pa.array(_sample(_folds(batch.column("doc_id")))))
+            kept = batch.filter(pa.array(_folds(batch.column("doc_id")) % 7 != 2))
             for part, data, offsets in slices([kept]):
                 hashes, first = token_hashes(data, offsets)
                 raw = words.value.numbers(hashes).astype(np.uint16).tobytes()
-                yield pa.record_batch([pa.array([raw[2 * a : 2 * b] for a, b in zip(first.tolist(), first[1:].tolist(), strict=False)], pa.binary()), pa.array(np.diff(first))], ["ids", "n"])
+                yield pa.record_batch([pa.array([raw[2 * a : 2 * b] for a, b in zip(first.tolist(), first[1:].tolist(), strict=False)], pa.binary()), pa.array(np.diff(first)), part.column("doc_id")], ["ids", "n", "doc_id"])
 
-    train = stored(rows.mapInArrow(training, "ids binary, n long"))
+    train = stored(rows.mapInArrow(training, "ids binary, n long, doc_id long"))
     total = train.agg(F.sum("n")).first()[0] or 0
     model = Model(vocabulary.frequency)
     if not total:
         return model
     replicas = -(-total // REPLICA_TOKENS)
     block = 1 << 14
-    dealt = train.repartition(int(replicas), F.xxhash64("ids"))
+    groups = math.isqrt(replicas - 1) + 1  # replicas are averaged in groups, then the groups
+    dealt = train.repartition(int(replicas), F.xxhash64("ids", "doc_id"))
+    schema = "block int, group int, x binary, weight long"
     for round_ in range(ROUNDS):
         now = spark.sparkContext.broadcast(model.flat.copy())
 
         def replica(batches: Iterator[pa.RecordBatch], now=now, round_=round_) -> Iterator[pa.RecordBatch]:
-            cells = sorted(c for b in batches for c in b.column("ids").to_pylist())
+            cells = sorted((c for b in batches for c in b.column("ids").to_pylist()), key=lambda c: (zlib.crc32(c), c))
+            group = TaskContext.get().partitionId() % groups
             own = Model(words.value.frequency, now.value.copy())
             tokens = np.frombuffer(b"".join(cells[round_::ROUNDS]), np.uint16).astype(np.int64)
             if len(tokens):
                 own.train(own.rank[tokens])
                 flat = [own.flat[i : i + block].tobytes() for i in range(0, len(own.flat), block)]
-                yield pa.record_batch([pa.array(range(len(flat)), pa.int32()), pa.array(flat, pa.binary()), pa.array([len(tokens)] * len(flat), pa.int64())], ["block", "x", "weight"])
+                yield pa.record_batch([pa.array(range(len(flat)), pa.int32()), pa.array([group] * len(flat), pa.int32()), pa.array(flat, pa.binary()), pa.array([len(tokens)] * len(flat), pa.int64())], ["block", "group", "x", "weight"])
 
         def averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums: dict[int, np.ndarray] = {}
             weights: dict[int, int] = {}
             for batch in batches:
-                for k, x, w in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for k, x, w in zip(*(batch.column(c).to_pylist() for c in ("block", "x", "weight")), strict=True):
                     sums[k] = sums.get(k, 0) + np.frombuffer(x, np.float32).astype(np.float64) * w
                     weights[k] = weights.get(k, 0) + w
             for k, x in sums.items():
-                yield pa.record_batch([pa.array([k], pa.int32()), pa.array([(x / weights[k]).astype(np.float32).tobytes()], pa.binary())], ["block", "x"])
+                yield pa.record_batch([pa.array([k], pa.int32()), pa.array([0], pa.int32()), pa.array([(x / weights[k]).astype(np.float32).tobytes()], pa.binary()), pa.array([weights[k]], pa.int64())], ["block", "group", "x", "weight"])
 
-        blocks = dealt.mapInArrow(replica, "block int, x binary, weight long").repartition("block").mapInArrow(averaged, "block int, x binary").collect()
+        blocks = dealt.mapInArrow(replica, schema).repartition("block", "group").mapInArrow(averaged, schema).repartition("block").mapInArrow(averaged, schema).collect()
+        now.destroy()
         for r in blocks:  # one for each block of a model of fixed size
             model.flat[r.block * block : r.block * block + block] = np.frombuffer(r.x, np.float32)
     return model

@@ -5,10 +5,11 @@ are of each length is all that packing has to know, so the search runs on that
 histogram, which has as many entries as a sequence has tokens, whatever the
 input: a bin completion branch-and-bound. At each node it takes the largest
 length left and enumerates the undominated fillings around it, least waste
-first, prunes those whose waste exceeds what the bound still allows, and applies
-a filling as often as the lengths last. Best fit decreasing is the first
-incumbent; the search stops at the lower bound or after a documented number of
-nodes and returns the best solution found.
+first, as far as the bound still allows waste, and applies
+a filling as often as the lengths last, or once. States that were met with no more
+sequences used are not entered again. Best fit decreasing is the first
+incumbent; the search stops at the lower bound, or after a documented number of
+fillings (a parameter), and returns the best solution found.
 
 Pieces are numbered among those of their length: their number within a task,
 plus what earlier tasks hold of that length. A piece's sequence and place follow
@@ -31,9 +32,8 @@ from terrafold.llm.common import runs, slices, stored, texts, vocabulary
 from terrafold.llm.tokens import encode_words
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>, part int, number long"
-#: Nodes that the search may expand. The best incumbent is returned at that point.
+#: Fillings that the search may try. The best incumbent is returned at that point.
 NODES = 2_000
-LEAVES = 40
 
 Run = tuple[tuple[int, ...], int]  # the lengths in a sequence, and how many such sequences
 
@@ -81,98 +81,105 @@ def lower_bound(counts: dict[int, int], size: int) -> int:
     return best
 
 
-def fillings(left: dict[int, int], lengths: list[int], room: int, waste: int) -> list[tuple[int, ...]]:
-    """Undominated multisets of the lengths left that fill room but for at most waste, least waste first.
+def completions(left: dict[int, int], room: int, most_waste: int) -> Iterator[tuple[int, ...]]:
+    """Undominated multisets of the lengths left that fill room but for at most most_waste, least waste first.
 
-    A filling that another piece still fits into is dominated, and so is one of several pieces where one piece
-    fills the room exactly; then that piece alone is returned. At most LEAVES fillings are looked at, those with
-    large pieces first; the first without waste ends the enumeration.
+    A filling is dominated if a piece left could be added to it, or take the place of pieces of it that are together
+    as long and more than one, or shorter: whatever follows, the other filling does as well. Sums that the lengths
+    cannot reach are told by a table of reachable sums, so no branch of the enumeration is in vain.
     """
-    if left.get(room):
-        return [(room,)]
-    found: set[tuple[int, tuple[int, ...]]] = set()
-    leaves = 0
-
-    def extend(own: tuple[int, ...], room: int, top: int) -> bool:
-        """True when enumeration is over."""
-        nonlocal leaves
-        extended = False
-        for k in range(bisect_right(lengths, min(room, top)) - 1, -1, -1):
-            x = lengths[k]
-            if own.count(x) < left[x]:
-                extended = True
-                if extend((*own, x), room - x, x):
+    lengths = sorted(x for x, n in left.items() if n and x <= room)
+    full = (1 << (room + 1)) - 1
+    reach = [1]  # bit s: the first so many lengths reach the sum s
+    for x in lengths:
+        bits, n, step = reach[-1], min(left[x], room // x), 1
+        while n:
+            take = min(step, n)
+            bits |= bits << (take * x) & full
+            n, step = n - take, step * 2
+        reach.append(bits)
+
+    def fill(i: int, target: int, own: tuple[int, ...]) -> Iterator[tuple[int, ...]]:
+        if not target:
+            yield own
+        elif i:
+            x = lengths[i - 1]
+            for n in range(min(left[x], target // x), -1, -1):
+                if reach[i - 1] >> (target - n * x) & 1:
+                    yield from fill(i - 1, target - n * x, (*own, *[x] * n))
+
+    def dominated(own: tuple[int, ...], waste: int) -> bool:
+        sums, inside = 1, set(own)
+        for x in own:
+            sums |= sums << x
+        for y in lengths:
+            if own.count(y) < left[y]:
+                lowest = max(0, y - waste)  # sums from here to y leave room for y in their place
+                alike = sums >> lowest & ((1 << (y - lowest)) - 1) | (y not in inside and sums >> y & 1)
+                if alike:
                     return True
-        # the largest that fits may lie above top; then another order of the same pieces has it
-        if not extended and not any(own.count(x) < left[x] for x in lengths[: bisect_right(lengths, room)]):
-            leaves += 1
-            if room <= waste:
-                found.add((room, own))
-            return room == 0 or leaves >= LEAVES
         return False
 
-    extend((), room, room)
-    return [own for _, own in sorted(found, key=lambda x: (x[0], len(x[1])))]
+    for waste in range(min(most_waste, room) + 1):
+        if reach[-1] >> (room - waste) & 1:
+            yield from (own for own in fill(len(lengths), room - waste, ()) if not dominated(own, waste))
 
 
 def pack(counts: dict[int, int], size: int, nodes: int = NODES) -> list[Run]:
-    """Runs of equal sequences that hold every piece of a histogram of lengths, in as few sequences as found."""
+    """Runs of equal sequences that hold every piece of a histogram of lengths, in as few sequences as found.
+
+    The search is complete: what it returns within its limit of nodes is optimal. A node is a filling that is tried, as
+    often as the lengths left allow or once (and then again); beyond nodes of them, the best found so far is returned.
+    """
     incumbent = best_fit(counts, size)
     best, bound = sum(t for _, t in incumbent), lower_bound(counts, size)
     total = sum(x * n for x, n in counts.items())
-    left, lengths = dict(counts), sorted(counts)
+    left = {x: n for x, n in counts.items() if n}
     chosen: list[Run] = []
-    expanded = 0
+    used = spare = expanded = 0
+    seen: dict[tuple, int] = {}
+
+    def moves() -> Iterator[Run]:
+        top, rest = max(left), dict(left)
+        rest[top] -= 1
+        for own in completions(rest, size - top, (best - 1) * size - total - spare):
+            own = (top, *own)
+            most = min(left[x] // own.count(x) for x in set(own))
+            yield own, most
+            if most > 1:
+                yield own, 1
 
     def apply(own: tuple[int, ...], times: int) -> None:
+        nonlocal used, spare
         for x in set(own):
-            before = left[x]
-            left[x] = before - own.count(x) * times
+            left[x] = left.get(x, 0) - own.count(x) * times
             if not left[x]:
-                lengths.remove(x)
-            elif not before:
-                lengths.insert(bisect_right(lengths, x), x)
-
-    stack: list[tuple[Iterator[tuple[int, ...]], int, int]] = []
-    used = spare = 0
-
-    def enter() -> None:
-        top = lengths[-1]
-        allowed = (best - 1) * size - total - spare
-        left[top] -= 1
-        rest = [x for x in lengths if left[x]]
-        ways = [(top, *f) for f in fillings(left, rest, size - top, allowed)] if allowed >= 0 else []
-        left[top] += 1
-        stack.append((iter(ways), used, spare))
-
-    if best > bound and lengths:
-        enter()
+                del left[x]
+        used, spare = used + times, spare + (size - sum(own)) * times
+
+    stack = [moves()] if best > bound else []
     while stack and best > bound and expanded < nodes:
-        ways, used, spare = stack[-1]
-        own = next(ways, None)
-        if own is None:
+        move = next(stack[-1], None)
+        if move is None:
             stack.pop()
-            if chosen and stack:
+            if chosen:
                 own, times = chosen.pop()
                 apply(own, -times)
             continue
+        own, times = move
         expanded += 1
-        times = min(left[x] // own.count(x) for x in set(own))
-        lost = (size - sum(own)) * times
-        if used + times >= best or spare + lost > (best - 1) * size - total:
-            times = 1
-            lost = size - sum(own)
-            if used + 1 >= best or spare + lost > (best - 1) * size - total:
-                continue
+        if spare + (size - sum(own)) * times > (best - 1) * size - total:
+            continue
         apply(own, times)
-        chosen.append((own, times))
-        used, spare = used + times, spare + lost
-        if lengths:
-            enter()
-        else:
-            best, incumbent = used, list(chosen)
-            own, times = chosen.pop()
-            apply(own, -times)
+        state = tuple(sorted(left.items()))
+        if used < best and not left:
+            best, incumbent = used, [*chosen, move]
+        elif used < best and seen.get(state, best) > used:
+            seen[state] = used
+            chosen.append(move)
+            stack.append(moves())
+            continue
+        apply(own, -times)
     return incumbent
 
 
@@ -220,10 +227,10 @@ def placed(runs_: list[Run]) -> dict[str, np.ndarray]:
     return dict(zip(("length", "first", "each", "sequence", "offset"), np.array(rows, np.int64).reshape(-1, 5).T, strict=True))
 
 
-def pack_documents(docs: DataFrame, size: int = 2048, vocab: str | None = None, end: int = 0, ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, size: int = 2048, vocab: str | None = None, end: int = 0, ids: bool = False, nodes: int = NODES) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, ids (only on request, else null), sequence_id, offset: one row a piece.
 
-    A document is its ids, then end; a null or empty text is end alone. Only documents longer than size are cut.
+    nodes limits the search, see pack. A document is its ids, then end; a null or empty text is end alone. Only documents longer than size are cut.
     Repeated rows are packed each on its own; a null doc_id stays null; an empty table gives no rows; other columns
     are ignored. Pieces are first written to the shared folder, so that their numbers hold whatever is lost later.
     """
@@ -233,7 +240,7 @@ def pack_documents(docs: DataFrame, size: int = 2048, vocab: str | None = None,
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most size rows
-    plan = pieces.sparkSession.sparkContext.broadcast(placed(pack(histogram, size)))
+    plan = pieces.sparkSession.sparkContext.broadcast(placed(pack(histogram, size, nodes)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = plan.value

@@ -6,8 +6,10 @@ vocabulary; their probabilities fall with their rank in it (Zipf), so the model
 is as large as the vocabulary file whatever the input. A character outside any
 word costs more than any word.
 
-A multinomial naive Bayes model is then fitted on every row: a url whose
-segmented tokens hold a seed word counts as blocked, any other as allowed. Token
+A multinomial naive Bayes model is then fitted on every labelled row. Labels are not made
+of the model's tokens: a url that a rule fits has that rule's verdict, so urls that no rule
+fits are judged by how they resemble those that rules allow or block. Only where rules do not
+label both classes, a url that holds a seed word is one to block, and any other is allowed. Token
 counts of the two classes are a Spark aggregation over all rows; its result has
 at most one row for each word of the vocabulary, letter, and class of other
 tokens, so it is of bounded size and is sent to the tasks.
@@ -25,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import vocabulary
+from terrafold.llm.common import small_batches, vocabulary
 
 SEEDS = ("adult", "bet", "bets", "casino", "gambling", "phishing", "poker", "porn", "spam", "viagra", "xxx")
 _PARTS = re.compile(r"[a-z]+|[0-9]+|[^\x00-\x7f]+")
@@ -94,11 +96,12 @@ def fitting_rule(host: Column, path: Column, rules: dict[str, str]) -> tuple[Col
     return (none, none) if rule is None else (rule, verdict)
 
 
-def judge_urls(pages: DataFrame, rules: dict[str, str], seeds: tuple[str, ...] = SEEDS, vocab: str | None = None) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: dict[str, str], seeds: tuple[str, ...] = SEEDS, vocab: str | None = None, learn: Column | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict (allow or block), and score: log odds of block by the model.
 
     Every row stays, repeated rows too. A null url, or one without ://, has an empty host and path, fits no rule
-    and is judged by the model's prior alone. An empty table gives no rows. Ties (odds of 0) allow. Other columns
+    and is judged by the model's prior alone. learn: a condition on the columns of pages that rows must
+    meet to be learnt from (none, by default). Without rows of both classes every score is 0. An empty table gives no rows. Ties (odds of 0) allow. Other columns
     are ignored; very long urls are segmented whole.
     """
     vocab = vocab or vocabulary("word_bpe_49k.json")
@@ -110,15 +113,25 @@ def judge_urls(pages: DataFrame, rules: dict[str, str], seeds: tuple[str, ...] =
             yield pd.Series([tokens_of(h, p, cut) for h, p in zip(host, path, strict=True)], dtype=object)
 
     host, path = url_parts(F.col("url"))
-    rows = pages.select(F.col("page_id").alias("page_id"), host.alias("host"), path.alias("path"))
+    rows = small_batches(pages).select(F.col("page_id").alias("page_id"), host.alias("host"), path.alias("path"), (F.lit(True) if learn is None else F.coalesce(learn, F.lit(False))).alias("learn"))
+    rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     seen = [side + s for side in ("h:", "p:") for s in seeds]
-    cut = rows.select(tokens("host", "path").alias("tokens"))
-    judged = cut.select("tokens", F.arrays_overlap("tokens", F.array(*map(F.lit, seen))).cast("long").alias("bad"))
+    cut = rows.filter("learn").select(tokens("host", "path").alias("tokens"), verdict.alias("verdict"))
+    seeded = F.arrays_overlap("tokens", F.array(*map(F.lit, seen)).cast("array<string>")).cast("long")
+    judged = cut.select("tokens", (F.col("verdict") == "block").cast("long").alias("ruled"), seeded.alias("seeded"))
     # a row for each class and one for each token of the bounded vocabulary
-    counts = judged.select(F.explode(F.concat(F.array(F.lit("")), "tokens")).alias("token"), "bad").groupBy("token").agg(F.sum("bad").alias("bad"), F.count("*").alias("n")).collect()
-    totals = {r.token: (r.bad, r.n - r.bad) for r in counts}
+    exploded = judged.select(F.explode(F.concat(F.array(F.lit("")), "tokens")).alias("token"), "ruled", "seeded")
+    sums_of = [F.sum("ruled").alias("bad"), F.count("ruled").alias("n"), F.sum("seeded").alias("seed_bad"), F.count("*").alias("all")]
+    counts = exploded.groupBy("token").agg(*sums_of).collect()
+    whole = next(((r.bad or 0, r.n) for r in counts if r.token == ""), (0, 0))
+    if 0 < whole[0] < whole[1]:
+        totals = {r.token: (r.bad, r.n - r.bad) for r in counts if r.n}
+    else:
+        totals = {r.token: (r.seed_bad, r["all"] - r.seed_bad) for r in counts}
     bad, good = totals.pop("", (0, 0))
-    prior = math.log((bad + 1) / (good + 1))
+    if not bad or not good:
+        totals = {}
+    prior = math.log((bad + 1) / (good + 1)) if totals else 0.0
     sums = [sum(c[k] for c in totals.values()) + len(totals) + 1 for k in (0, 1)]
     odds = {t: math.log((b + 1) / sums[0]) - math.log((g + 1) / sums[1]) for t, (b, g) in totals.items()}
     sent = pages.sparkSession.sparkContext.broadcast(odds)
@@ -129,6 +142,5 @@ def judge_urls(pages: DataFrame, rules: dict[str, str], seeds: tuple[str, ...] =
         for host, path in parts:
             yield pd.Series([prior + sum(weight.get(t, 0.0) for t in tokens_of(h, p, cut)) for h, p in zip(host, path, strict=True)], dtype=float)
 
-    rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     scored = rows.withColumn("score", score("host", "path"))
     return scored.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.when(F.col("score") > 0, "block").otherwise("allow")).alias("verdict"), "score")

@@ -2,6 +2,7 @@
 
 import zlib
 from collections import Counter, defaultdict
+from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -40,6 +41,46 @@ def test_optimal_on_small_cases(sizes):
     assert packing.lower_bound(dict(Counter(sizes)), 20) <= best == n
 
 
+def least(counts, room):
+    """The optimum by a search over states, a sequence at a time."""
+
+    @cache
+    def rest(state):
+        if not state:
+            return 0
+        (top, n), small = state[-1], state[:-1]
+        start = (*small, (top, n - 1)) if n > 1 else small
+        best = 1 << 30
+
+        def fill(i, own, room):
+            nonlocal best
+            if i == len(own):
+                best = min(best, 1 + rest(tuple((x, k) for x, k in own if k)))
+                return
+            x, k = own[i]
+            for take in range(min(k, room // x), -1, -1):
+                fill(i + 1, (*own[:i], (x, k - take), *own[i + 1 :]), room - take * x)
+
+        fill(0, start, room - top)
+        return best
+
+    return rest(tuple(sorted(counts.items())))
+
+
+def test_optimal_with_many_equal_lengths():
+    rng = np.random.default_rng(5)
+    cases = [({9: 6, 4: 3, 11: 2}, 30), ({9: 3, 5: 4, 3: 2, 6: 5, 8: 2}, 20)]
+    for _ in range(1500):
+        room = int(rng.integers(8, 31))
+        lengths = rng.choice(np.arange(2, room + 1), int(rng.integers(1, 5)), replace=False)
+        cases.append(({int(x): int(rng.integers(1, 6)) for x in lengths}, room))
+    for counts, room in cases:
+        runs = packing.pack(counts, room)
+        assert sum((Counter({x: n * t for x, n in Counter(own).items()}) for own, t in runs), Counter()) == Counter(counts)
+        assert all(sum(own) <= room for own, _ in runs)
+        assert sum(t for _, t in runs) == least(counts, room), (counts, room)
+
+
 def test_search_beats_best_fit():
     sizes = Counter({6: 4, 5: 2, 4: 2, 3: 8, 2: 6})
     assert sum(t for _, t in packing.pack(dict(sizes), 12)) == packing.lower_bound(dict(sizes), 12)

@@ -1,12 +1,14 @@
 """Chat formatting, URL filters and quality rules against plain brute force."""
 
 import hashlib
+from collections import Counter
 import math
 import re
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -133,3 +135,33 @@ def test_word_scan(lower):
     assert h[0] == h[-1] and len(set(h.tolist())) == len({w for r in rows for w in WORD.findall(r)})
     grams, before = found.grams(2)
     assert before.tolist() == [0, 1, 1, 1, 2, 3, 3, 3] and len(set(grams.tolist())) == 3
+
+
+def test_bayes_against_plain_counts(spark):
+    """The score and verdict of every url by counts made row by row, and how held-out rules are told."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = urls.judge_urls(pages, RULES).collect()
+    cut = urls._cutter(common.vocabulary("word_bpe_49k.json"))
+    own = {r.page_id: urls.tokens_of(r.host, r.path, cut) for r in got}
+    counts, rows = {True: Counter(), False: Counter()}, Counter()
+    for r in got:
+        if not r.rule:
+            continue
+        bad = RULES[r.rule] == "block"
+        counts[bad].update(own[r.page_id])
+        rows[bad] += 1
+    known = set(counts[True]) | set(counts[False])
+    of = lambda t, bad: math.log((counts[bad][t] + 1) / (sum(counts[bad].values()) + len(known) + 1))
+    for r in got:
+        want = math.log((rows[True] + 1) / (rows[False] + 1)) + sum(of(t, True) - of(t, False) for t in own[r.page_id] if t in known)
+        assert abs(r.score - want) < 1e-6
+        assert r.verdict == (RULES[r.rule] if r.rule else "block" if r.score > 0 else "allow")
+
+
+def test_bayes_tells_held_out_rules(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    got = urls.judge_urls(pages, RULES, learn=F.col("page_id") % 5 != 0).filter("rule is not null and page_id % 5 = 0").collect()
+    told = Counter((r.verdict, r.score > 0) for r in got)
+    print(told)
+    hit = told["block", True]
+    assert hit >= 0.8 * (hit + told["allow", True]) and hit >= 0.5 * (hit + told["block", False])
