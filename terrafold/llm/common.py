@@ -74,6 +74,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Empties stored tables that nothing reads again, so their disk is free while a query goes on."""
+    for table in tables:
+        files = table.inputFiles()
+        if files:
+            table.sparkSession.createDataFrame([], table.schema).write.mode("overwrite").parquet(files[0].rpartition("/")[0])
+
+
 def texts(docs: DataFrame, *more: str | Column) -> DataFrame:
     """(doc_id long, text string) and what else is named; other columns go, null texts are empty."""
     return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)

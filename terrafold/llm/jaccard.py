@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import Words, in_filter, key_filter, mix, runs, ship, slices, stored, texts, windows
+from terrafold.llm.common import Words, in_filter, key_filter, mix, release, runs, ship, slices, stored, texts, windows
 from terrafold.llm.components import components, stars
 from terrafold.llm.sketch import estimated_repeated, sketch
 
@@ -345,6 +345,7 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80, width: int =
     least = stored(groups.groupBy("signature").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).filter("low < high").select("signature", "low"))
     pairs = stored(groups.join(least, "signature").select(F.col("low").alias("a"), F.col("sid").alias("b"), "n"))
     near = stored(components(pairs.select("a", "b")).join(pairs.groupBy(F.col("b").alias("node")).agg(F.max("n").alias("n")), "node"))
+    release(groups, least, pairs)
     wanted = ship(docs.sparkSession, key_filter(near.select("node")))
 
     def travelling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

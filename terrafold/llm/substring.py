@@ -31,7 +31,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import _Q, Packed, Words, in_filter, key_filter, least_places, mix, runs, ship, slices, stored, texts, windows, words
+from terrafold.llm.common import _Q, Packed, Words, in_filter, key_filter, least_places, mix, release, runs, ship, slices, stored, texts, windows, words
 from terrafold.llm.sketch import WIDTH_BITS, estimated_repeated, sketch
 
 #: Windows that an exact group holds before it keeps the first of equals only.
@@ -108,6 +108,7 @@ class Copies:
         self.others = Packed(key_filter(like.join(copies, "key", "left_anti")))
         #: With twins, a bitmap of the keys of rows that come more than once.
         self.twins = Packed(key_filter(keys.groupBy("key").count().filter("count > 1").select("key"))) if twins else None
+        release(keys, firsts, copies)
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         return in_filter(self.copies, keys) & ~in_filter(self.others, keys)

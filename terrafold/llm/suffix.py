@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import _BYTE, _P, in_filter, key_filter, least_places, mix, powers, runs, ship, slices, stored, text_bytes, texts, windows
+from terrafold.llm.common import _BYTE, _P, in_filter, key_filter, least_places, mix, powers, release, runs, ship, slices, stored, text_bytes, texts, windows
 from terrafold.llm.sketch import WIDTH_BITS, estimated_repeated, sketch
 from terrafold.llm.substring import _CHECK, Copies, _by_document, _doc_keys, _marks
 
@@ -88,8 +88,8 @@ def _then(x: np.ndarray, same: np.ndarray, by: int) -> np.ndarray:
     return out
 
 
-def named(df: DataFrame, columns: list[str], name: str) -> DataFrame:
-    """df with the rank of each row's columns among all different ones, in their place, from a distributed sort."""
+def named(df: DataFrame, columns: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """df with the rank of each row's columns among all different ones, in their place, from a distributed sort; and the table that it reads."""
     others = [c for c in df.columns if c not in columns]
     schema = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in others) + ", sorted_part int, sorted_rank long"
 
@@ -109,7 +109,7 @@ def named(df: DataFrame, columns: list[str], name: str) -> DataFrame:
     ranked = stored(df.repartitionByRange(*columns).sortWithinPartitions(*columns).mapInArrow(ranks, schema))
     tops = ranked.groupBy("sorted_part").agg(F.max("sorted_rank").alias("top"))  # a row for each partition of the sort
     starts = tops.select("sorted_part", F.coalesce(F.sum("top").over(Window.orderBy("sorted_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
-    return ranked.join(F.broadcast(starts), "sorted_part").withColumn(name, F.col("sorted_rank") + F.col("start")).drop("sorted_part", "sorted_rank", "start")
+    return ranked.join(F.broadcast(starts), "sorted_part").withColumn(name, F.col("sorted_rank") + F.col("start")).drop("sorted_part", "sorted_rank", "start"), ranked
 
 
 def _keys(rows: pa.Table) -> pa.RecordBatch:
@@ -153,11 +153,12 @@ def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def covered_places(places: DataFrame) -> DataFrame:
-    """doc, mark, at of the anchors whose strings all start earlier too, by difference-cover names; some come twice."""
-    first = named(places.filter("idx % 3 <> 0").select("rid", "idx", "n0", "n12"), ["n0", "n12"], "r0")
+    """doc, mark, at of the anchors whose strings all start earlier too, by difference-cover names, stored; some come twice."""
+    first, first_table = named(places.filter("idx % 3 <> 0").select("rid", "idx", "n0", "n12"), ["n0", "n12"], "r0")
     next_ = Window.partitionBy("rid", F.col("idx") % 3).orderBy("idx")
     triples = first.withColumns({"r1": F.coalesce(F.lead("r0", 1).over(next_), F.lit(0)), "r2": F.coalesce(F.lead("r0", 2).over(next_), F.lit(0))})
-    ranks = named(triples, ["r0", "r1", "r2"], "rank")
+    ranks, ranks_table = named(triples, ["r0", "r1", "r2"], "rank")
+    release(first_table)
     own = ["rid", "idx", "rank", "doc", "mark", "at", "n0", "left", "ok"]
     both = places.withColumn("rank", F.lit(0).cast("long")).select(*own).unionByName(ranks, allowMissingColumns=True)
 
@@ -178,7 +179,9 @@ def covered_places(places: DataFrame) -> DataFrame:
             yield _keys(pa.Table.from_batches(held))
 
     keys = both.repartition("rid").sortWithinPartitions("rid", "idx", "rank").mapInArrow(merged, "k1 long, k2 long, doc long, mark long, at long")
-    return keys.repartition("k1").sortWithinPartitions("k1", "k2", "doc", "mark", "at").mapInArrow(later, "doc long, mark long, at long")
+    covered = stored(keys.repartition("k1").sortWithinPartitions("k1", "k2", "doc", "mark", "at").mapInArrow(later, "doc long, mark long, at long"))
+    release(ranks_table)
+    return covered
 
 
 def remove_repeated_bytes(docs: DataFrame, length: int = 100, width: int = WIDTH_BITS) -> DataFrame:
@@ -245,13 +248,15 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100, width: int = WIDTH
         once = others.unionByName(twins.filter("doc_id is not null").dropDuplicates(["key"]))
     found = stored(once.mapInArrow(places, _PLACES))
     seen.destroy()
-    covered = stored(covered_places(found))
+    covered = covered_places(found)
     rest = stored(found.select("doc", "mark", "at", "gram").join(covered, ["doc", "mark", "at"], "left_anti"))
+    release(found)
     me = F.struct("doc", "mark", "at")
     twice = rest.groupBy("gram").agg(F.min(me).alias("a"), F.max(me).alias("b"), F.count("*").alias("n")).filter("a < b").select("gram", (F.col("n") > CROWD).alias("crowd"))
     edges = rest.join(twice, "gram").selectExpr("doc", "mark", "gram", _LOW, _HIGH, "crowd").groupBy("doc", "mark").agg(F.collect_list(F.struct("gram", "low", "high", "crowd")).alias("edges"))
     whole = covered.selectExpr("doc", "mark", _LOW, _HIGH).groupBy("doc", "mark").agg(F.collect_list(F.struct("low", "high")).alias("whole"))
     lists = stored(edges.join(whole, ["doc", "mark"], "full_outer").select(F.col("doc").alias("doc_id"), "mark", "edges", "whole"))
+    release(covered, rest)
     keyed = lists.select("doc_id", "mark").mapInArrow(lambda batches: (pa.record_batch([pa.array(_doc_keys(b.column(0).to_numpy(), b.column(1).to_numpy()))], ["key"]) for b in batches), "key long")
     sent = ship(spark, key_filter(keyed))
 
