@@ -18,7 +18,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep, each row as it is; null and empty texts, which have no words, go."""
     return keep_documents(docs.select(*COLUMNS))
 
 
@@ -32,9 +32,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages of 50 words or more that a document with a smaller doc_id has; emptied ones go."""
+    """Texts without passages of 50 words or more that a document with a smaller doc_id has; emptied ones go.
+
+    Repeated rows stay as many as they are, all with the same text left. Rows with a null doc_id, and null or empty
+    texts, stay as they are. Of words, single spaces between them are left where some went. Ties cannot occur:
+    only a strictly smaller doc_id takes words. An empty table gives no rows.
+    """
     cut = remove_repeats(docs)
-    lost = cut.filter("n_removed > 0").select("key", F.col("text").alias("left"), (F.col("n_removed") == F.col("n_words")).alias("empty"))
+    lost = cut.filter("n_removed > 0").select("key", F.col("text").alias("left"), (F.col("n_removed") == F.col("n_words")).alias("empty")).dropDuplicates(["key"])
     keyed = docs.withColumn("key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
     both = keyed.join(lost, "key", "left").filter("not coalesce(empty, false)")
     text = F.coalesce("left", "text")
@@ -42,7 +47,11 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces with their places in sequences of at most 2048 tokens."""
+    """Pieces with their places in sequences of at most 2048 tokens.
+
+    Every row is packed, repeated ones too; a null or empty text is one piece of its end token; a null doc_id stays
+    null; longer texts are cut into pieces; an empty table gives no rows.
+    """
     return pack_documents(docs).drop("ids")
 
 
