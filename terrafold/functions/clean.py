@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 #: Names that stand for merged or renamed provinces.
 PROVINCE_ALIASES = {"Huế": "Thừa Thiên Huế", "Vũng Tàu": "Bà Rịa Vũng Tàu"}
-#: Fixed rule: accented letters of the lookups and the plain letters they fold to; đ stays.
-ACCENTED = "àáâãäåèéêëìíîïòóôõöùúûüýÿñç"
-PLAIN = "aaaaaaeeeeiiiiooooouuuuyync"
+
+
+def _folding() -> tuple[str, str]:
+    """Every lower-case Latin letter that decomposes into a letter and combining marks, and that letter. đ does not decompose."""
+    letters = [chr(c) for c in range(0xC0, 0x1EFA) if unicodedata.name(chr(c), "").startswith("LATIN SMALL")]
+    plain = [unicodedata.normalize("NFD", x)[0] for x in letters]
+    pairs = [(a, b) for a, b in zip(letters, plain, strict=True) if a != b]
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+ACCENTED, PLAIN = _folding()
 
 
 def _strings(df: DataFrame, change) -> DataFrame:
@@ -75,11 +85,10 @@ def clean_list(text: Column) -> Column:
 
 
 def clean_text(text: Column) -> Column:
-    """Free text: no tags, urls, newlines or symbols; lower case; single spaces."""
-    t = F.regexp_replace(F.trim(text), r"<[^>]+>", "")
-    t = F.regexp_replace(t, r"https?://\S+", "")
-    t = F.regexp_replace(t, r"[\r\n]+", " ")
-    t = F.regexp_replace(t, r"[^\p{L}\p{N}\p{P}\p{Z}]", "")
+    """Free text: tags, urls, newlines and symbols as blanks; lower case; single spaces. The patterns are fixed values."""
+    t = F.regexp_replace(F.trim(text), r"<[^>]+>", " ")
+    t = F.regexp_replace(t, r"http\S+|www\.[^\s]+", " ")
+    t = F.regexp_replace(t, r"[^\p{L}\p{N}\p{P}\p{Z}]+", " ")  # newlines too
     return F.trim(F.regexp_replace(F.lower(t), r"\s+", " "))
 
 
@@ -94,7 +103,8 @@ def strip_prefix(text: Column, prefix: str) -> Column:
 
 def fold_accents(text: Column) -> Column:
     """Lower case, accents folded, single spaces."""
-    return F.trim(F.regexp_replace(F.translate(F.lower(text), ACCENTED, PLAIN), r"\s+", " "))
+    plain = F.regexp_replace(F.translate(F.lower(text), ACCENTED, PLAIN), r"\p{Mn}+", "")
+    return F.trim(F.regexp_replace(plain, r"\s+", " "))
 
 
 def flatten_pairs(text: Column) -> Column:

@@ -49,7 +49,7 @@ def month_year_date(text: Column) -> Column:
     return _date(_group(rest, r"(\d{4})", 1), _group(rest, r"(\d{1,2})(?=/|\s|$)", 1), F.lit("1"))
 
 
-DATE_FORMATS = ("yyyy-MM-dd", "M/d/yyyy", "d/M/yyyy", "d-M-yyyy", "yyyy/M/d", "d.M.yyyy", "yyyyMMdd")
+DATE_FORMATS = ("yyyy-MM-dd", "M/d/yyyy", "d/M/yyyy", "M-d-yyyy", "d-M-yyyy", "yyyy/M/d", "d.M.yyyy", "yyyyMMdd")
 
 
 def multi_format_date(text: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:

@@ -62,16 +62,17 @@ def time_split(df: DataFrame, month: str, train: float = 0.75, valid: float = 0.
     return df.join(split, month)
 
 
-def min_max(x: str) -> Column:
-    whole = Window.partitionBy()
-    low, high = F.min(x).over(whole), F.max(x).over(whole)
-    return F.when(high > low, (F.col(x) - low) / (high - low)).otherwise(0.0)
+def min_max(df: DataFrame, x: str, name: str) -> DataFrame:
+    """df with x scaled to 0..1 as name; 0 where all are equal. One row of limits joins all rows."""
+    limits = df.agg(F.min(x).alias("_low"), F.max(x).alias("_high"))
+    scaled = F.when(F.col("_high") > F.col("_low"), (F.col(x) - F.col("_low")) / (F.col("_high") - F.col("_low"))).otherwise(0.0)
+    return df.crossJoin(F.broadcast(limits)).withColumn(name, scaled).drop("_low", "_high")
 
 
 def recommend(df: DataFrame, entity: str, volume: str, aspect: str, top: int) -> DataFrame:
     """The best entities by 0.4 of normalised volume and 0.6 of aspect, as an index of 0 to 100."""
-    scored = df.withColumn("score", F.round(100 * (0.4 * min_max(volume) + 0.6 * F.coalesce(F.col(aspect), F.lit(0.5))), 4))
-    return scored.orderBy(F.desc("score"), entity).limit(top)
+    scored = min_max(df, volume, "_volume").withColumn("score", F.round(100 * (0.4 * F.col("_volume") + 0.6 * F.coalesce(F.col(aspect), F.lit(0.5))), 4))
+    return scored.drop("_volume").orderBy(F.desc("score"), entity).limit(top)
 
 
 def peak(df: DataFrame, entity: str, month: str, value: str) -> DataFrame:

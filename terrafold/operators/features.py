@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terrafold.functions.clean import clamp
 
-#: Fixed weights of the attractiveness index by rank of each measure.
+#: Our own weights of a short index, by rank of each measure.
 INDEX_WEIGHTS = {"n_posts": 0.15, "avg_value": 0.35, "n_authors": 0.20, "hot_ratio": 0.15, "total": 0.15}
 
 
@@ -37,6 +37,59 @@ def rank_index(df: DataFrame, month: str, weights: dict[str, float]) -> DataFram
     return df.withColumns(ranks).withColumn("hotness", F.round(clamp(total), 6)).drop(*ranks)
 
 
+#: The families of the attractiveness index, their weights, and their measures with the weights within. True: less is better.
+INDEX_A = {
+    "volume": (0.25, {"total_posts": (0.6, False), "total_comments": (0.4, False)}),
+    "engagement": (0.35, {"avg_likes": (0.45, False), "avg_saves": (0.35, False), "comment_likes": (0.20, False)}),
+    "sentiment": (0.20, {"positive_ratio": (0.5, False), "avg_sentiment": (0.3, False), "negative_ratio": (0.2, True)}),
+    "emoji": (0.05, {"emoji_sentiment": (1.0, False)}),
+    "richness": (0.15, {"avg_words": (0.45, False), "unique_ratio": (0.45, False), "word_variation": (0.10, False)}),
+}
+#: The second form, with totals of likes and saves, emoji intensity, and exclamations.
+INDEX_B = INDEX_A | {
+    "engagement": (0.35, {"total_likes": (0.45, False), "total_saves": (0.35, False), "comment_likes": (0.20, False)}),
+    "emoji": (0.05, {"total_emojis": (0.5, False), "emoji_sentiment": (0.5, False)}),
+    "richness": (0.15, {"avg_words": (0.45, False), "unique_ratio": (0.45, False), "exclamation_ratio": (0.10, False)}),
+}
+
+
+def family_index(df: DataFrame, month: str, families: dict[str, tuple[float, dict[str, tuple[float, bool]]]], name: str = "hotness") -> DataFrame:
+    """df with the weighted sum of families of percent ranks within each month, clamped to 0..1.
+
+    A month has a row for each entity at most, so a month's rows, which one task sorts for each measure, are few.
+    """
+    ranks = {m for _, own in families.values() for m in own}
+    ranked = df.withColumns({f"_r_{m}": F.percent_rank().over(Window.partitionBy(month).orderBy(F.col(m).asc_nulls_first())) for m in sorted(ranks)})
+    value = lambda m, less: 1 - F.col(f"_r_{m}") if less else F.col(f"_r_{m}")
+    parts = [sum((value(m, less) * F.lit(w) for m, (w, less) in own.items()), start=F.lit(0.0)) * F.lit(weight) for weight, own in families.values()]
+    return ranked.withColumn(name, F.round(clamp(sum(parts, start=F.lit(0.0))), 6)).drop(*(f"_r_{m}" for m in ranks))
+
+
+def comment_months(comments: DataFrame, keys: list[str], aspects: list[str] = (), least: float = 0.5) -> DataFrame:
+    """A row per key: counts, sentiment, words, emoji, replies, likes, and the net sentiment of each aspect.
+
+    comments has sentiment, label, words, unique_ratio, emojis, positive_emojis, negative_emojis, level, likes, and for
+    each aspect its mention weight and, as aspect_pos and aspect_neg, its shares. An aspect under least
+    mentions in all is NULL. Comments of the first form have no aspects. Rows with a NULL key are left out.
+    """
+    part = lambda c: F.count_if(c) / F.count("*")
+    emoji = F.when(F.col("emojis") > 0, (F.col("positive_emojis") - F.col("negative_emojis")) / F.col("emojis")).otherwise(0.0)
+    net = lambda a: F.when(F.sum(a) >= least, (F.sum(F.coalesce(f"{a}_pos", F.lit(0.0))) - F.sum(F.coalesce(f"{a}_neg", F.lit(0.0)))) / F.sum(a))
+    return comments.dropna(subset=keys).groupBy(*keys).agg(
+        F.count("*").alias("total_comments"), F.avg("sentiment").alias("avg_sentiment"), F.stddev("sentiment").alias("sd_sentiment"),
+        part(F.col("label") == "positive").alias("positive_ratio"), part(F.col("label") == "negative").alias("negative_ratio"),
+        F.avg("words").alias("avg_words"), F.stddev("words").alias("sd_words"), F.avg("unique_ratio").alias("unique_ratio"), F.avg(emoji).alias("emoji_sentiment"),
+        part(F.col("level") == 2).alias("reply_ratio"), F.sum("likes").alias("comment_likes"), *(net(a).alias(f"avg_{a}") for a in aspects),
+    )
+
+
+def comment_months_of(second: DataFrame | None, first: DataFrame, keys: list[str], aspects: list[str]) -> DataFrame:
+    """comment_months of the second form where that table exists and has rows, else of the first with aspects of 0."""
+    if second is not None and not second.isEmpty():
+        return comment_months(second, keys, aspects)
+    return comment_months(first, keys).withColumns({f"avg_{a}": F.lit(0.0) for a in aspects})
+
+
 def lags(df: DataFrame, entity: str, month: str, value: str, steps: tuple[int, ...] = (1, 2, 3, 12)) -> DataFrame:
     """Row lags, the mean of the three rows before, and what follows from them. Gaps in months are not filled."""
     order = Window.partitionBy(entity).orderBy(month)

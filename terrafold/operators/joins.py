@@ -30,8 +30,8 @@ def fallback_lookup(fact: DataFrame, dim: DataFrame, first: tuple[str, str], sec
 
 
 def enrich_nulls(df: DataFrame, other: DataFrame, key: str, column: str, source: str) -> DataFrame:
-    """column filled from other's source column where it is NULL."""
-    side = other.select(F.col(key).alias("_key"), F.col(source).alias("_value"))
+    """column filled from other's source column where it is NULL; the least value where other repeats a key."""
+    side = other.groupBy(F.col(key).alias("_key")).agg(F.min(source).alias("_value"))
     return df.join(side, F.col(column).isNull() & (F.col(key) == F.col("_key")), "left").withColumn(column, F.coalesce(column, "_value")).drop("_key", "_value")
 
 

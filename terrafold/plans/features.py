@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from terrafold.functions.clean import smoothed_ratio
 from terrafold.operators import analytics, dq, features, forecast, joins
-from terrafold.plans.registry import cents, query, table
+from terrafold.plans.registry import cents, moved, query, table
 from terrafold.plans.relational import lines
 
 _POSTS = """
@@ -78,13 +78,13 @@ def sequence_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-WITH m AS (SELECT n_name, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS ym, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderkey % 9 = 0 GROUP BY ALL),
-s AS (SELECT n_name, min(ym) AS a, max(ym) AS b FROM m GROUP BY 1),
-g AS (SELECT n_name, CAST(year(d) * 100 + month(d) AS INTEGER) AS ym FROM (SELECT n_name, unnest(generate_series(make_date(a // 100, a % 100, 1), make_date(b // 100, b % 100, 1), INTERVAL 1 MONTH)) AS d FROM s))
-SELECT g.n_name, g.ym, m.n FROM g LEFT JOIN m ON g.n_name = m.n_name AND g.ym = m.ym""")
+WITH m AS (SELECT o_custkey, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS ym, count(*) AS n FROM orders GROUP BY ALL),
+s AS (SELECT o_custkey, min(ym) AS a, max(ym) AS b FROM m GROUP BY 1),
+g AS (SELECT o_custkey, CAST(year(d) * 100 + month(d) AS INTEGER) AS ym FROM (SELECT o_custkey, unnest(generate_series(make_date(a // 100, a % 100, 1), make_date(b // 100, b % 100, 1), INTERVAL 1 MONTH)) AS d FROM s))
+SELECT g.o_custkey, g.ym, m.n FROM g LEFT JOIN m ON g.o_custkey = m.o_custkey AND g.ym = m.ym""")
 def dense_months(spark: SparkSession, sf: str) -> DataFrame:
-    sparse = posts(spark, sf).filter("o_orderkey % 9 = 0").groupBy("n_name", "ym").agg(F.count("*").alias("n"))
-    return features.dense_months(sparse, "n_name", "ym")
+    sparse = posts(spark, sf).groupBy("o_custkey", "ym").agg(F.count("*").alias("n"))
+    return features.dense_months(sparse, "o_custkey", "ym")
 
 
 _REVIEWS = """
@@ -184,10 +184,15 @@ def forecast_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return analytics.forecast_metrics(own.select("n_name", (F.col("total") / 1e8).alias("a"), (F.col("lag_1") / 1e8).alias("p")), "a", "p", ["n_name"])
 
 
-@query(_POSTS + """, m AS (SELECT n_name, CAST(sum(total) AS BIGINT) / count(total) AS v FROM eng GROUP BY 1), c AS (SELECT quantile_cont(v, 1.0 / 3) AS a, quantile_cont(v, 2.0 / 3) AS b FROM m)
-SELECT n_name, CASE WHEN v <= a THEN 'low' WHEN v <= b THEN 'mid' ELSE 'high' END AS tier FROM m, c""")
+@query(_POSTS + """, m AS (SELECT n_name, CAST(sum(total) AS BIGINT) / count(total) AS v FROM eng GROUP BY 1), c AS (SELECT quantile_cont(v, 1.0 / 3) AS a, quantile_cont(v, 2.0 / 3) AS b FROM m),
+t AS (SELECT n_name, CASE WHEN v <= a THEN 'low' WHEN v <= b THEN 'mid' ELSE 'high' END AS tier FROM m, c),
+f AS (SELECT n_name, total / 1e8 AS a, lag(total) OVER (PARTITION BY n_name ORDER BY ym) / 1e8 AS p FROM eng)
+SELECT tier, count(*) AS n, round(avg(CASE WHEN abs(a) + abs(p) > 0 THEN 2 * abs(a - p) / (abs(a) + abs(p)) ELSE 0 END), 6) AS smape, round(sum(abs(a - p)) / sum(abs(a)), 6) AS wape FROM f JOIN t USING (n_name) WHERE p IS NOT NULL GROUP BY tier""")
 def tier_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return analytics.tiers(months(spark, sf), "n_name", "total")
+    """Errors of the forecast of no change by tiers of nations."""
+    own = months(spark, sf).select("n_name", "ym", "total")
+    pairs = features.lags(own, "n_name", "ym", "total", (1, 3)).filter("lag_1 is not null").select("n_name", (F.col("total") / 1e8).alias("a"), (F.col("lag_1") / 1e8).alias("p"))
+    return analytics.forecast_metrics(pairs.join(analytics.tiers(own, "n_name", "total"), "n_name"), "a", "p", ["tier"]).select("tier", "n", "smape", "wape")
 
 
 @query(_POSTS + """, l AS (SELECT quantile_cont(total, 0.05) AS f FROM eng), a AS (SELECT n_name, greatest(quantile_cont(total, 0.5), max(f)) AS anchor FROM eng, l GROUP BY n_name)
@@ -253,13 +258,13 @@ def _dq_sql(name: str, rules: list[tuple[str, str, str, float, bool, bool]]) ->
 _PCT = "count(*) FILTER ({}) * 100.0e0 / count(*)"
 
 
-@query("WITH src AS (SELECT o.*, c_custkey IS NULL AS is_orphan FROM orders o LEFT JOIN (SELECT c_custkey FROM customer WHERE c_custkey % 50 <> 0) ON o_custkey = c_custkey) " + _dq_sql("orders", [
+@query("WITH src AS (SELECT o.*, c_custkey IS NULL AS is_orphan FROM orders o LEFT JOIN (SELECT CASE WHEN c_custkey % 50 = 0 THEN -c_custkey ELSE c_custkey END AS c_custkey FROM customer) ON o_custkey = c_custkey) " + _dq_sql("orders", [
     ("min_records", "volume", "count(*)", 1000, True, True), ("null_pct_o_custkey", "completeness", _PCT.format("o_custkey IS NULL"), 0, True, False),
     ("duplicate_pct_o_orderkey", "uniqueness", "(count(*) - count(DISTINCT o_orderkey)) * 100.0e0 / count(*)", 1, True, False), ("range_o_totalprice", "validity", "count(*) FILTER (o_totalprice < 0 OR o_totalprice > 400000)", 0, True, False),
     ("enum_o_orderstatus", "validity", "count(*) FILTER (o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O'))", 0, True, False), ("coverage_o_orderpriority", "coverage", "count(DISTINCT o_orderpriority)", 5, False, True),
     ("future_o_orderdate", "timeliness", "count(*) FILTER (CAST(o_orderdate AS DATE) > DATE '1998-01-01')", 0, False, False), ("orphan_pct", "integrity", _PCT.format("is_orphan"), 5, False, False)]))
 def dq_results_orders(spark: SparkSession, sf: str) -> DataFrame:
-    parents = table(spark, sf, "customer").filter("c_custkey % 50 <> 0").select(F.col("c_custkey").alias("o_custkey"))
+    parents = table(spark, sf, "customer").select(moved("c_custkey", 50).alias("o_custkey"))
     rules = [dq.min_records(1000), dq.null_pct("o_custkey"), dq.duplicate_pct("o_orderkey"), dq.in_range("o_totalprice", 0, 400_000), dq.enum("o_orderstatus", ["F", "O"]), dq.coverage("o_orderpriority", 5), dq.future("o_orderdate", "1998-01-01"), dq.orphan_rule()]
     return dq.check(dq.orphan_pct(table(spark, sf, "orders"), parents, "o_custkey"), "orders", rules)
 

@@ -26,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def moved(key: str, every: int) -> F.Column:
+    """The key, made negative where every divides it: rows of which all take part, and some find no match."""
+    return F.when(F.col(key) % every == 0, -F.col(key)).otherwise(F.col(key))
+
+
 def cents(column: str) -> F.Column:
     """Money as whole cents: sums of those are the same in any order."""
     return F.round(F.col(column) * 100).cast("long")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from terrafold.functions import clean, keys
 from terrafold.operators import analytics, joins, merge, star
-from terrafold.plans.registry import cents, query, table
+from terrafold.plans.registry import cents, moved, query, table
 
 
 def _versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -17,13 +17,13 @@ def _versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     summed = lambda df: df.withColumn("row_checksum", keys.row_checksum(df.c_name, df.c_nationkey, df.c_mktsegment))
     changed = F.when(F.col("c_custkey") % 7 == 0, F.concat("c_name", F.lit("*"))).otherwise(F.col("c_name"))
-    return summed(c.filter("c_custkey % 5 <> 0")), summed(c.filter("c_custkey % 11 <> 0").withColumn("c_name", changed))
+    return summed(c.withColumn("c_custkey", moved("c_custkey", 5))), summed(c.withColumn("c_custkey", moved("c_custkey", 11)).withColumn("c_name", changed))
 
 
 _VERSIONS = """
 WITH c AS (SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer),
-o AS (SELECT *, md5(concat_ws('|', c_name, CAST(c_nationkey AS VARCHAR), c_mktsegment)) AS row_checksum FROM c WHERE c_custkey % 5 <> 0),
-w AS (SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN c_name || '*' ELSE c_name END AS c_name, c_nationkey, c_mktsegment FROM c WHERE c_custkey % 11 <> 0),
+o AS (SELECT *, md5(concat_ws('|', c_name, CAST(c_nationkey AS VARCHAR), c_mktsegment)) AS row_checksum FROM (SELECT * REPLACE (CASE WHEN c_custkey % 5 = 0 THEN -c_custkey ELSE c_custkey END AS c_custkey) FROM c)),
+w AS (SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN c_name || '*' ELSE c_name END AS c_name, c_nationkey, c_mktsegment FROM (SELECT * REPLACE (CASE WHEN c_custkey % 11 = 0 THEN -c_custkey ELSE c_custkey END AS c_custkey) FROM c)),
 n AS (SELECT *, md5(concat_ws('|', c_name, CAST(c_nationkey AS VARCHAR), c_mktsegment)) AS row_checksum FROM w),
 a AS (SELECT coalesce(o.c_custkey, n.c_custkey) AS c_custkey, CASE WHEN o.c_custkey IS NULL THEN 'insert' WHEN n.c_custkey IS NULL THEN 'keep'
   WHEN o.row_checksum = n.row_checksum THEN 'skip' ELSE 'update' END AS action FROM o FULL JOIN n ON o.c_custkey = n.c_custkey)
@@ -47,10 +47,10 @@ def merge_stats_customer(spark: SparkSession, sf: str) -> DataFrame:
     return merge.merge_stats(merge.changes(*_versions(spark, sf), ["c_custkey"], "row_checksum"))
 
 
-@query("SELECT event_id, user_id, event_type FROM events WHERE event_id % 3 = 0 AND event_id NOT IN (SELECT event_id FROM events WHERE event_id % 2 = 0)")
+@query("SELECT event_id, user_id, event_type FROM events WHERE event_id NOT IN (SELECT CASE WHEN event_id % 2 = 0 THEN -event_id ELSE event_id END FROM events)")
 def anti_join_append_events(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events").select("event_id", "user_id", "event_type")
-    return merge.append_new(e.filter("event_id % 2 = 0"), e.filter("event_id % 3 = 0"), "event_id")
+    return merge.append_new(e.withColumn("event_id", moved("event_id", 2)), e, "event_id")
 
 
 @query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")
@@ -79,15 +79,15 @@ def dim_calendar(spark: SparkSession, sf: str) -> DataFrame:
     return star.calendar(spark, "2000-01-01", "2025-12-31")
 
 
-@query("""SELECT o_orderkey, o_custkey, c_name, c_nationkey FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 10 <> 0) c ON o_custkey = c_custkey""")
+@query("""SELECT o_orderkey, o_custkey, c_name, c_nationkey FROM orders LEFT JOIN (SELECT * REPLACE (CASE WHEN c_custkey % 10 = 0 THEN -c_custkey ELSE c_custkey END AS c_custkey) FROM customer) c ON o_custkey = c_custkey""")
 def lookup_left_with_miss(spark: SparkSession, sf: str) -> DataFrame:
-    o, c = table(spark, sf, "orders").select("o_orderkey", "o_custkey"), table(spark, sf, "customer").filter("c_custkey % 10 <> 0")
+    o, c = table(spark, sf, "orders").select("o_orderkey", "o_custkey"), table(spark, sf, "customer").withColumn("c_custkey", moved("c_custkey", 10))
     return joins.lookup(o, c, o.o_custkey == c.c_custkey, ["c_name", "c_nationkey"])
 
 
-@query("SELECT count(*) AS n_rows, count(*) FILTER (c_custkey IS NULL) AS n_missing FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 10 <> 0) c ON o_custkey = c_custkey")
+@query("SELECT count(*) AS n_rows, count(*) FILTER (c_custkey IS NULL) AS n_missing FROM orders LEFT JOIN (SELECT * REPLACE (CASE WHEN c_custkey % 10 = 0 THEN -c_custkey ELSE c_custkey END AS c_custkey) FROM customer) c ON o_custkey = c_custkey")
 def lookup_misses(spark: SparkSession, sf: str) -> DataFrame:
-    o, c = table(spark, sf, "orders"), table(spark, sf, "customer").filter("c_custkey % 10 <> 0")
+    o, c = table(spark, sf, "orders"), table(spark, sf, "customer").withColumn("c_custkey", moved("c_custkey", 10))
     return joins.misses(joins.lookup(o, c, o.o_custkey == c.c_custkey, ["c_custkey"]), "c_custkey")
 
 
@@ -123,15 +123,15 @@ def normalised_key_join(spark: SparkSession, sf: str) -> DataFrame:
     return joins.lookup(c, names.select("n_name"), clean.strip_handle(F.col("tag")) == F.lower(F.trim("n_name")), ["n_name"]).drop("tag")
 
 
-@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 <> 0)")
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT CASE WHEN o_orderkey % 3 = 0 THEN -o_orderkey ELSE o_orderkey END FROM orders)")
 def semi_orphan_filter(spark: SparkSession, sf: str) -> DataFrame:
-    parents = table(spark, sf, "orders").filter("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("l_orderkey"))
+    parents = table(spark, sf, "orders").select(moved("o_orderkey", 3).alias("l_orderkey"))
     return joins.with_parents(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), parents, "l_orderkey")
 
 
-@query("SELECT count(*) AS n_orphans FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 <> 0)")
+@query("SELECT count(*) AS n_orphans FROM lineitem WHERE l_orderkey NOT IN (SELECT CASE WHEN o_orderkey % 3 = 0 THEN -o_orderkey ELSE o_orderkey END FROM orders)")
 def orphan_count(spark: SparkSession, sf: str) -> DataFrame:
-    parents = table(spark, sf, "orders").filter("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("l_orderkey"))
+    parents = table(spark, sf, "orders").select(moved("o_orderkey", 3).alias("l_orderkey"))
     return joins.orphans(table(spark, sf, "lineitem"), parents, "l_orderkey").agg(F.count("*").alias("n_orphans"))
 
 
@@ -197,10 +197,10 @@ def layer_row_audit(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, (table(spark, sf, t).agg(F.lit(t).alias("table_name"), F.count("*").alias("n")) for t in _LAYERS))
 
 
-@query("SELECT event_type, source FROM (SELECT event_type, 'a' AS source, event_id FROM events WHERE event_id % 2 = 0 UNION ALL SELECT event_type, 'b', event_id FROM events WHERE event_id % 3 = 0) GROUP BY ALL")
+@query("SELECT event_type, source FROM (SELECT event_type, 'a' AS source, event_id FROM events UNION ALL SELECT event_type, 'b', event_id FROM events) GROUP BY ALL")
 def union_distinct(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events")
-    return e.filter("event_id % 2 = 0").select("event_type", F.lit("a").alias("source")).unionByName(e.filter("event_id % 3 = 0").select("event_type", F.lit("b").alias("source"))).distinct()
+    return e.select("event_type", F.lit("a").alias("source")).unionByName(e.select("event_type", F.lit("b").alias("source"))).distinct()
 
 
 @query("""SELECT user_id, user_sk, event_type FROM (SELECT user_id, event_type, row_number() OVER (ORDER BY user_key) AS user_sk FROM (SELECT user_id, lpad(CAST(user_id AS VARCHAR), 12, '0') AS user_key, event_type,

@@ -53,10 +53,10 @@ def relative_date(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT event_id, CAST(CASE WHEN event_id % 5 = 1 AND month(ts) <= 12 AND day(ts) <= 12 THEN make_date(year(ts), day(ts), month(ts))
+SELECT event_id, CAST(CASE WHEN event_id % 5 IN (1, 2) AND day(ts) <= 12 THEN make_date(year(ts), day(ts), month(ts))
   WHEN event_id % 5 = 4 THEN NULL ELSE ts END AS DATE) AS parsed FROM events""")
 def multi_format_date(spark: SparkSession, sf: str) -> DataFrame:
-    """Five ways to write a day; the day-first one with slashes reads as month first where it can."""
+    """Five ways to write a day; those with the day first read as month first where they can."""
     d = F.col("ts").cast("date")
     part = lambda sep, *fs: F.concat_ws(sep, *(f(d).cast("string") for f in fs))
     kind = F.col("event_id") % 5
@@ -81,8 +81,8 @@ def text_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(r"""
-SELECT doc_id, trim(regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(text), '<[^>]+>', '', 'g'), 'https?://\S+', '', 'g'),
-  '[\r\n]+', ' ', 'g'), '[^\p{L}\p{N}\p{P}\p{Z}]', '', 'g')), '\s+', ' ', 'g')) AS clean FROM documents""")
+SELECT doc_id, trim(regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(text), '<[^>]+>', ' ', 'g'), 'http\S+|www\.[^\s]+', ' ', 'g'),
+  '[\r\n]+', ' ', 'g'), '[^\p{L}\p{N}\p{P}\p{Z}]+', ' ', 'g')), '\s+', ' ', 'g')) AS clean FROM documents""")
 def clean_text_documents(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", clean.clean_text(F.col("text")).alias("clean"))
 
@@ -128,12 +128,14 @@ def static_map_default(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(r"""
-SELECT lang, word, count(*) AS n FROM (SELECT lang, trim(regexp_replace(translate(lower(w), 'àáâãäåèéêëìíîïòóôõöùúûüýÿñç', 'aaaaaaeeeeiiiiooooouuuuyync'), '\s+', ' ', 'g')) AS word
-  FROM (SELECT lang, unnest(string_split(text, ' ')) AS w FROM documents)) GROUP BY lang, word HAVING count(*) > 20""")
+WITH names(name, sk) AS (VALUES ('régión', 1), ('ÉTÉ', 2), ('Für', 3), ('mañana', 4), ('données', 5), ('systeme', 6)),
+w AS (SELECT lang, unnest(string_split(text, ' ')) AS w FROM documents)
+SELECT w.lang, n.sk, count(*) AS n FROM w LEFT JOIN names n ON trim(regexp_replace(strip_accents(lower(w)), '\s+', ' ', 'g')) = strip_accents(lower(n.name)) GROUP BY ALL""")
 def accent_fold_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """Words by their folded form."""
-    words = table(spark, sf, "documents").select("lang", F.explode(F.split("text", " ")).alias("w"))
-    return words.groupBy("lang", clean.fold_accents(F.col("w")).alias("word")).agg(F.count("*").alias("n")).filter("n > 20")
+    """Words looked up in a list of names by their folded forms; words without a match have no sk."""
+    words = table(spark, sf, "documents").select("lang", F.explode(F.split("text", " ")).alias("w")).withColumn("folded", clean.fold_accents(F.col("w")))
+    names = spark.createDataFrame([("régión", 1), ("ÉTÉ", 2), ("Für", 3), ("mañana", 4), ("données", 5), ("systeme", 6)], "name string, sk int").select(clean.fold_accents(F.col("name")).alias("folded"), "sk")
+    return words.join(names, "folded", "left").groupBy("lang", "sk").agg(F.count("*").alias("n"))
 
 
 @query(r"""

@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from terrafold.functions import keys
 from terrafold.functions.keys import row_checksum
-from terrafold.operators import dq, features, forecast, joins, merge
+from terrafold.operators import dq, features, filters, forecast, joins, merge
 from terrafold.sources import files
 from terrafold.sources.tables import Tables, added_columns, ddl
 from terrafold.streaming.incremental import stream_upsert
@@ -90,3 +91,23 @@ def test_recursive_forecast(spark):
     got = {(r.k, r.m): r.forecast for r in forecast.recursive(df, "k", "m", "v", 2).collect()}
     assert got == {("e", 202501): 16.25, ("e", 202502): round(0.5 * 16.25 + 0.3 * 20 + 0.2 * 10, 4), ("f", 202501): 5.0, ("f", 202502): 5.0}
     assert features.rolling_stddev(df, "k", "m", "v").filter("stddev_3 <> 0").count() == 0
+
+
+def test_null_and_repeated_keys(spark):
+    df = spark.createDataFrame([("https://b",), ("https://a",), (None,), ("https://a/x",)], "k string")
+    assert [(r.k, r.sk) for r in keys.surrogate_keys(df, "k", "sk").orderBy("sk").collect()] == [(None, 1), ("https://a", 2), ("https://a/x", 3), ("https://b", 4)]
+    assert keys.surrogate_keys(df.limit(0), "k", "sk").count() == 0
+    target = spark.createDataFrame([(None, "x", "1"), (1, "y", "2")], "k int, v string, s string")
+    source = spark.createDataFrame([(None, "x", "1"), (1, "z", "3"), (1, "w", "4"), (2, "n", "5"), (2, "n", "5")], "k int, v string, s string")
+    assert sorted(map(tuple, merge.upsert(target, source, ["k"], "s").collect()), key=str) == sorted([(None, "x", "1"), (1, "w", "4"), (2, "n", "5")], key=str)
+    assert [tuple(r) for r in merge.append_new(target, source, "k").collect()] == [(2, "n", "5")]
+    assert tuple(merge.append_stats(target, source, "k").first()) == (1, 4)
+    other = spark.createDataFrame([(1, "b"), (1, "a")], "k int, d string")
+    assert [r.v for r in joins.enrich_nulls(spark.createDataFrame([(1, None)], "k int, v string"), other, "k", "v", "d").collect()] == ["a"]
+
+
+def test_filters(spark):
+    df = spark.createDataFrame([("2024-02-01", "", True, 5.0), ("2024-03-01", "x", False, None), ("2023-03-01", None, None, 9.0)], "d string, t string, f boolean, v double")
+    assert filters.with_text(df, "t").count() == 1 and filters.flagged(df, "f").count() == 1
+    assert [filters.of_month(df, "d", *x).count() for x in ((2024, None), (None, 3), (2024, 3), (None, None))] == [2, 2, 1, 3]
+    assert filters.at_most(df, F.col("v"), 6).count() == 2 and filters.at_most(df, F.col("v")).count() == 3
