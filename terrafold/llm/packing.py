@@ -21,6 +21,8 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from hashlib import blake2b
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ from terrafold.llm.tokens import encode_words
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>, part int, number long"
 #: Fillings that the search may try. The best incumbent is returned at that point.
 NODES = 2_000
+#: Full runs of best fit that are searched together with those that leave room.
+FULL = 40
 
 Run = tuple[tuple[int, ...], int]  # the lengths in a sequence, and how many such sequences
 
@@ -102,11 +106,12 @@ def completions(left: dict[int, int], room: int, most_waste: int) -> Iterator[tu
     def fill(i: int, target: int, own: tuple[int, ...]) -> Iterator[tuple[int, ...]]:
         if not target:
             yield own
-        elif i:
-            x = lengths[i - 1]
-            for n in range(min(left[x], target // x), -1, -1):
-                if reach[i - 1] >> (target - n * x) & 1:
-                    yield from fill(i - 1, target - n * x, (*own, *[x] * n))
+            return
+        while i and reach[i] >> target & 1:  # fewer lengths reach fewer sums
+            i, x = i - 1, lengths[i - 1]
+            for n in range(min(left[x], target // x), 0, -1):
+                if reach[i] >> (target - n * x) & 1:
+                    yield from fill(i, target - n * x, (*own, *[x] * n))
 
     def dominated(own: tuple[int, ...], waste: int) -> bool:
         sums, inside = 1, set(own)
@@ -128,16 +133,37 @@ def completions(left: dict[int, int], room: int, most_waste: int) -> Iterator[tu
 def pack(counts: dict[int, int], size: int, nodes: int = NODES) -> list[Run]:
     """Runs of equal sequences that hold every piece of a histogram of lengths, in as few sequences as found.
 
-    The search is complete: what it returns within its limit of nodes is optimal. A node is a filling that is tried, as
-    often as the lengths left allow or once (and then again); beyond nodes of them, the best found so far is returned.
+    Where best fit does not reach the lower bound, the sequences that it leaves room in, with some full ones, are
+    searched anew, then all. The search is complete: what it returns within its limit of nodes is optimal. A node is a
+    filling that is tried, as often as the lengths left allow or once (and then again), and counts once more for
+    each 64 different lengths that are left; beyond nodes of them, the best found so far is returned.
     """
     incumbent = best_fit(counts, size)
-    best, bound = sum(t for _, t in incumbent), lower_bound(counts, size)
+    bound = lower_bound(counts, size)
+    short = [r for r in incumbent if sum(r[0]) < size]
+    full = [r for r in incumbent if sum(r[0]) == size]
+    for kept, part in ((full[:-FULL], full[-FULL:] + short), ([], incumbent)):
+        have = sum(t for _, t in kept)
+        if have + sum(t for _, t in part) > bound:
+            own: dict[int, int] = {}
+            for run, times in part:
+                for x in set(run):
+                    own[x] = own.get(x, 0) + run.count(x) * times
+            incumbent = kept + search(own, size, part, bound - have, nodes)
+        if sum(t for _, t in incumbent) == bound:
+            break
+    return incumbent
+
+
+def search(counts: dict[int, int], size: int, incumbent: list[Run], bound: int, nodes: int) -> list[Run]:
+    """The branch-and-bound of pack, from an incumbent, down to bound at most."""
+    best = sum(t for _, t in incumbent)
+    bound = max(bound, lower_bound(counts, size))
     total = sum(x * n for x, n in counts.items())
     left = {x: n for x, n in counts.items() if n}
     chosen: list[Run] = []
     used = spare = expanded = 0
-    seen: dict[tuple, int] = {}
+    seen: dict[bytes, int] = {}
 
     def moves() -> Iterator[Run]:
         top, rest = max(left), dict(left)
@@ -157,27 +183,33 @@ def pack(counts: dict[int, int], size: int, nodes: int = NODES) -> list[Run]:
                 del left[x]
         used, spare = used + times, spare + (size - sum(own)) * times
 
-    stack = [moves()] if best > bound else []
+    # how many moves of each node are done; a node that is come back to makes the others anew, so it holds no tables meanwhile
+    stack = [0] if best > bound else []
+    now: Iterator[Run] | None = None
     while stack and best > bound and expanded < nodes:
-        move = next(stack[-1], None)
+        if now is None:
+            now = islice(moves(), stack[-1], None)
+        move = next(now, None)
         if move is None:
+            now = None
             stack.pop()
             if chosen:
                 own, times = chosen.pop()
                 apply(own, -times)
             continue
         own, times = move
-        expanded += 1
+        expanded, stack[-1] = expanded + 1 + len(left) // 64, stack[-1] + 1
         if spare + (size - sum(own)) * times > (best - 1) * size - total:
             continue
         apply(own, times)
-        state = tuple(sorted(left.items()))
+        state = blake2b(np.array(sorted(left.items()), np.int64).tobytes(), digest_size=16).digest()
         if used < best and not left:
             best, incumbent = used, [*chosen, move]
         elif used < best and seen.get(state, best) > used:
             seen[state] = used
             chosen.append(move)
-            stack.append(moves())
+            stack.append(0)
+            now = None
             continue
         apply(own, -times)
     return incumbent
