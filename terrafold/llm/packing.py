@@ -36,6 +36,8 @@ from terrafold.llm.tokens import encode_words
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>, part int, number long"
 #: Fillings that the search may try. The best incumbent is returned at that point.
 NODES = 2_000
+#: What a filling that is found dominated, and so not tried, counts of one that is tried.
+DOMINATED = 1 / 8
 #: Full runs of best fit that are searched together with those that leave room.
 FULL = 40
 
@@ -85,9 +87,11 @@ def lower_bound(counts: dict[int, int], size: int) -> int:
     return best
 
 
-def completions(left: dict[int, int], room: int, most_waste: int) -> Iterator[tuple[int, ...]]:
+def completions(left: dict[int, int], room: int, most_waste: int) -> Iterator[tuple[int, ...] | None]:
     """Undominated multisets of the lengths left that fill room but for at most most_waste, least waste first.
 
+    None stands for a filling that is dominated, so that a caller can count those too.
+
     A filling is dominated if a piece left could be added to it, or take the place of pieces of it that are together
     as long and more than one, or shorter: whatever follows, the other filling does as well. Sums that the lengths
     cannot reach are told by a table of reachable sums, so no branch of the enumeration is in vain.
@@ -127,7 +131,7 @@ def completions(left: dict[int, int], room: int, most_waste: int) -> Iterator[tu
 
     for waste in range(min(most_waste, room) + 1):
         if reach[-1] >> (room - waste) & 1:
-            yield from (own for own in fill(len(lengths), room - waste, ()) if not dominated(own, waste))
+            yield from (None if dominated(own, waste) else own for own in fill(len(lengths), room - waste, ()))
 
 
 def pack(counts: dict[int, int], size: int, nodes: int = NODES) -> list[Run]:
@@ -136,7 +140,8 @@ def pack(counts: dict[int, int], size: int, nodes: int = NODES) -> list[Run]:
     Where best fit does not reach the lower bound, the sequences that it leaves room in, with some full ones, are
     searched anew, then all. The search is complete: what it returns within its limit of nodes is optimal. A node is a
     filling that is tried, as often as the lengths left allow or once (and then again), and counts once more for
-    each 64 different lengths that are left; beyond nodes of them, the best found so far is returned.
+    each 64 different lengths that are left; a dominated filling counts as DOMINATED of that. Beyond nodes, the best
+    found so far is returned.
     """
     incumbent = best_fit(counts, size)
     bound = lower_bound(counts, size)
@@ -162,13 +167,17 @@ def search(counts: dict[int, int], size: int, incumbent: list[Run], bound: int,
     total = sum(x * n for x, n in counts.items())
     left = {x: n for x, n in counts.items() if n}
     chosen: list[Run] = []
-    used = spare = expanded = 0
+    used = spare = 0
+    expanded = 0.0
     seen: dict[bytes, int] = {}
 
-    def moves() -> Iterator[Run]:
+    def moves() -> Iterator[Run | None]:
         top, rest = max(left), dict(left)
         rest[top] -= 1
         for own in completions(rest, size - top, (best - 1) * size - total - spare):
+            if own is None:
+                yield None
+                continue
             own = (top, *own)
             most = min(left[x] // own.count(x) for x in set(own))
             yield own, most
@@ -197,8 +206,12 @@ def search(counts: dict[int, int], size: int, incumbent: list[Run], bound: int,
                 own, times = chosen.pop()
                 apply(own, -times)
             continue
+        stack[-1] += 1
+        if move is None:
+            expanded += DOMINATED * (1 + len(left) // 64)
+            continue
         own, times = move
-        expanded, stack[-1] = expanded + 1 + len(left) // 64, stack[-1] + 1
+        expanded += 1 + len(left) // 64
         if spare + (size - sum(own)) * times > (best - 1) * size - total:
             continue
         apply(own, times)
