@@ -35,7 +35,7 @@ from terrafold.llm.tokens import encode_words
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>, part int, number long"
 #: Fillings that the search may try. The best incumbent is returned at that point.
-NODES = 2_000
+NODES = 20_000
 #: What a filling that is found dominated, and so not tried, counts of one that is tried.
 DOMINATED = 1 / 8
 #: Full runs of best fit that are searched together with those that leave room.
