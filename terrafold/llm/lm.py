@@ -34,8 +34,8 @@ from terrafold.llm.common import Words, runs, slices, stored, texts
 
 FREQUENT, WORDS, CLASSES, WIDTH = 50_000, 6000, 64, 32
 #: A replica takes so many tokens, one of ROUNDS parts of them in each round.
-ROUNDS, REPLICA_TOKENS = 2, 1_000_000
-WINDOW, LANES, RATE = 24, 32, 0.08
+ROUNDS, REPLICA_TOKENS = 2, 2_000_000
+WINDOW, LANES, RATE = 24, 128, 0.3
 SCORE_WINDOW, SCORE_LANES = 64, 512
 UNKNOWN, END = 0, 1
 END_HASH = np.uint64(0x9D39247E33776D41)
@@ -160,27 +160,33 @@ class Model:
             back.class_w += h.T @ d
             back.class_b += d.sum(axis=0)
             dh = d @ self.class_w.T
+        # the rows of a class side by side, so its products read and write slices
         order = np.argsort(own, kind="stable")
         cuts = np.searchsorted(own[order], np.arange(len(self.starts)))
+        sorted_h, logs, picks = h[order], np.zeros(len(h)), target[order] - self.starts[own[order]]
+        sorted_dh = np.zeros_like(sorted_h) if back is not None else None
         for c in range(len(self.starts) - 1):
-            at = order[cuts[c] : cuts[c + 1]]
+            at = slice(cuts[c], cuts[c + 1])
             a, b = self.starts[c], self.starts[c + 1]
-            if not len(at) or b - a == 1:
+            if at.start == at.stop or b - a == 1:
                 continue
-            s = h[at]
-            logits = s @ self.word_w[a:b].T + self.word_b[a:b]
-            logits -= logits.max(axis=1, keepdims=True)
-            e = np.exp(logits)
+            s, pick, one = sorted_h[at], picks[at], rows[: at.stop - at.start]
+            e = s @ self.word_w[a:b].T
+            e += self.word_b[a:b]
+            e -= e.max(axis=1, keepdims=True)
+            chosen = e[one, pick]
+            np.exp(e, out=e)
             total = e.sum(axis=1)
-            pick = target[at] - a
-            one = np.arange(len(at))
-            out[at] += logits[one, pick] - np.log(total)
+            logs[at] = chosen - np.log(total)
             if back is not None:
-                d = -e / total[:, None]
-                d[one, pick] += 1
-                back.word_w[a:b] += d.T @ s
-                back.word_b[a:b] += d.sum(axis=0)
-                dh[at] += d @ self.word_w[a:b]
+                e /= -total[:, None]
+                e[one, pick] += 1
+                back.word_w[a:b] += e.T @ s
+                back.word_b[a:b] += e.sum(axis=0)
+                sorted_dh[at] = e @ self.word_w[a:b]
+        out[order] += logs
+        if back is not None:
+            dh[order] += sorted_dh
         return out, dh
 
     def window(self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray, back: Model) -> tuple[float, np.ndarray]:
@@ -207,29 +213,37 @@ class Model:
             back.u += before.T @ da
             carry = d * z + da @ self.u.T
         flat = dx.reshape(-1, 3 * n)
-        e = self.embedding[inputs].reshape(-1, n)
-        back.w += e.T @ flat
         back.b += flat.sum(axis=0)
-        np.add.at(back.embedding, inputs.ravel(), flat @ self.w.T)
+        # a token's gradients are summed before they go through its embedding
+        order = np.argsort(inputs, axis=None, kind="stable")
+        words, first = np.unique(inputs.ravel()[order], return_index=True)
+        summed = np.add.reduceat(flat[order], first)
+        back.w += self.embedding[words].T @ summed
+        back.embedding[words] += summed @ self.w.T
         return float(logs.sum()), h
 
     def train(self, tokens: np.ndarray) -> None:
-        """Adagrad over a stream of token ranks, read in up to LANES lanes side by side; each is predicted, the first from the last."""
+        """Adagrad over a stream of token ranks, each predicted, the first from the last; read in up to LANES lanes side by side, fewer where each would have less than 96 windows."""
         if not len(tokens):
             return
-        n = max(1, min(LANES, len(tokens) // 2))
+        n = max(1, min(LANES, len(tokens) // (96 * WINDOW)))
         steps = -(-len(tokens) // n)
         # a lane starts with the token before its own; lanes past the stream's end begin anew
         lanes = np.take(tokens, np.arange(n) * steps + np.arange(-1, steps)[:, None], mode="wrap")
-        back, seen = self.blank(), np.full_like(self.flat, 1e-6)
+        back, seen, step = self.blank(), np.full_like(self.flat, 1e-3), np.empty_like(self.flat)
         h = np.zeros((n, WIDTH), np.float32)
         for at in range(0, steps, WINDOW):
             to = min(at + WINDOW, steps)
             back.flat[:] = 0
             _, h = self.window(lanes[at:to], lanes[at + 1 : to + 1], h, back)
-            g = back.flat / n
-            seen += g * g
-            self.flat += RATE * g / np.sqrt(seen + 1e-3)
+            g = back.flat
+            g *= 1 / n
+            np.multiply(g, g, out=step)
+            seen += step
+            np.sqrt(seen, out=step)
+            g *= RATE
+            g /= step
+            self.flat += g
 
     def score(self, tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
         """log10 probability of each text, given by the ranks of its tokens."""
