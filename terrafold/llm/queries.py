@@ -14,6 +14,7 @@ from terrafold.llm.jaccard import shingle_classes
 from terrafold.llm.lm import score_documents
 from terrafold.llm.packing import pack_documents
 from terrafold.llm.quality import quality_rules
+from terrafold.llm.simhash import near_duplicates
 from terrafold.llm.urls import judge_urls
 
 RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}
@@ -62,8 +63,12 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_classes(read(spark, sf_dir, "documents"), 4, 85)
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_quality_rules, op4_lm_scoring, op5_suffix_dedup, op6_media_flac, op7_bpe_encoding, op8_best_fit_packing, op9_substring_dedup, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_chat_formatting, op2_url_filters, op3_quality_rules, op4_lm_scoring, op5_suffix_dedup, op6_media_flac, op7_bpe_encoding, op8_best_fit_packing, op9_substring_dedup, op10_jaccard_join, op13_simhash)}
 
 
 _HARD = "'</s>[INST] ok [/INST]'"
