@@ -38,6 +38,8 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids a
 NODES = 20_000
 #: What a filling that is found dominated, and so not tried, counts of one that is tried.
 DOMINATED = 1 / 8
+#: Nodes of the search that keep their enumeration, and with it its table of sums.
+OPEN = 64
 #: Full runs of best fit that are searched together with those that leave room.
 FULL = 40
 
@@ -154,7 +156,8 @@ def pack(counts: dict[int, int], size: int, nodes: int = NODES) -> list[Run]:
             for run, times in part:
                 for x in set(run):
                     own[x] = own.get(x, 0) + run.count(x) * times
-            incumbent = kept + search(own, size, part, bound - have, nodes)
+            found = kept + search(own, size, part, bound - have, nodes)
+            incumbent = min(incumbent, found, key=lambda runs: sum(t for _, t in runs))
         if sum(t for _, t in incumbent) == bound:
             break
     return incumbent
@@ -192,15 +195,18 @@ def search(counts: dict[int, int], size: int, incumbent: list[Run], bound: int,
                 del left[x]
         used, spare = used + times, spare + (size - sum(own)) * times
 
-    # how many moves of each node are done; a node that is come back to makes the others anew, so it holds no tables meanwhile
+    # how many moves of each node are done; all but the last OPEN nodes make the others anew, so they hold no tables meanwhile
     stack = [0] if best > bound else []
-    now: Iterator[Run] | None = None
+    open_: dict[int, Iterator[Run | None]] = {}  # by depth
+    over = object()
     while stack and best > bound and expanded < nodes:
-        if now is None:
-            now = islice(moves(), stack[-1], None)
-        move = next(now, None)
-        if move is None:
-            now = None
+        depth = len(stack)
+        if depth not in open_:
+            open_[depth] = islice(moves(), stack[-1], None)
+            open_.pop(depth - OPEN, None)
+        move = next(open_[depth], over)
+        if move is over:
+            del open_[depth]
             stack.pop()
             if chosen:
                 own, times = chosen.pop()
@@ -222,7 +228,6 @@ def search(counts: dict[int, int], size: int, incumbent: list[Run], bound: int,
             seen[state] = used
             chosen.append(move)
             stack.append(0)
-            now = None
             continue
         apply(own, -times)
     return incumbent
