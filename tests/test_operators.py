@@ -63,12 +63,6 @@ def test_files(spark, tmp_path):
     got = files.read_csv(spark, latest["a"], multi_line=True)
     assert got.columns == ["hotel_name", "note"] and got.first().note == 'two\nlines "q"'
     assert files.checksums(spark, str(tmp_path)).select("file_checksum").distinct().count() == 1
-    body = "stt,name,tag,url,comment,time,likes,level_comment,replied_to,n_replies\n1,An,@an,u,\"hi, \"\"you\"\"\",3 ngày trước,36.6K,Yes,,0\n"
-    (tmp_path / "e1.txt").write_text("post_url: http://p\nauthor: A\ndescription: one\n two\nlikes: 5\n" + body)
-    (tmp_path / "e2.txt").write_text("author: A\n" + body)
-    (tmp_path / "e3.txt").write_text("nothing")
-    found = files.embedded(spark, str(tmp_path), "e*.txt").collect()
-    assert [(r.post_url, r.description, r.post_likes, r.comment_comment, r.comment_likes) for r in found] == [("http://p", "one\ntwo", "5", 'hi, "you"', "36.6K")]
 
 
 def test_stream(spark, tmp_path):
