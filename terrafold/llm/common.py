@@ -8,8 +8,6 @@ can be found on the bytes of a whole Arrow batch without making Python strings.
 from __future__ import annotations
 
 import re
-import tempfile
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -20,6 +18,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrafold.sources.shared import stored as stored  # operators take it from here
+
 WORD = re.compile("[^\x20\x09-\x0d]+")
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 #: Bytes of text that are scanned at once; a longer text is scanned alone, whole.
@@ -56,24 +56,6 @@ def small_batches(docs: DataFrame) -> DataFrame:
     return docs
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir. Only a local session gets one of our own where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        found = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """df written as Parquet in the shared folder and read again: lineage ends here and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def release(*tables: DataFrame) -> None:
     """Empties stored tables that nothing reads again, so their disk is free while a query goes on."""
     for table in tables:

@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from terrafold.llm.common import Words, runs, slices, stored, texts
 
 FREQUENT, WORDS, CLASSES, WIDTH = 50_000, 6000, 64, 32
+#: Parts that words are counted in, whatever the number of shuffle partitions; each offers four times its share of the frequent ones.
+BUCKETS = 256
 #: A replica takes so many tokens, one of ROUNDS parts of them in each round.
 ROUNDS, REPLICA_TOKENS = 2, 2_000_000
 WINDOW, LANES, RATE = 24, 128, 0.3
@@ -275,9 +277,7 @@ class Model:
 
 def count_words(rows: DataFrame) -> Vocabulary:
     """Frequent words of the training documents, and how many tokens and distinct ones there are in all."""
-    spark = rows.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    top = max(64, 4 * FREQUENT // buckets)
+    buckets, top = BUCKETS, 4 * FREQUENT // BUCKETS
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, held = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
