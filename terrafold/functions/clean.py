@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from terrafold.functions.literals import literal_map
+
 #: Names that stand for merged or renamed provinces.
 PROVINCE_ALIASES = {"Huế": "Thừa Thiên Huế", "Vũng Tàu": "Bà Rịa Vũng Tàu"}
 
@@ -108,11 +110,9 @@ def fold_accents(text: Column) -> Column:
 
 
 def flatten_pairs(text: Column) -> Column:
-    """\"{'a': '1', 'b': ''}\" as 'a: 1'; NULL where nothing is left or the text is no such literal."""
-    pairs = F.regexp_extract_all(text, F.lit(r"'([^']*)'\s*:\s*'([^']*)'"), F.lit(0))
-    kept = F.filter(pairs, lambda p: F.regexp_extract(p, r":\s*'([^']*)'", 1) != "")
-    flat = F.transform(kept, lambda p: F.concat_ws(": ", F.regexp_extract(p, r"^'([^']*)'", 1), F.regexp_extract(p, r":\s*'([^']*)'", 1)))
-    return F.when(text.rlike(r"^\s*\{.*\}\s*$"), F.nullif(F.concat_ws(", ", flat), F.lit("")))
+    """\"{'a': '1', 'b': ''}\" as 'a: 1'; NULL where nothing is left or the text is no such literal. See literal_map."""
+    kept = F.filter(F.map_entries(literal_map(text)), lambda e: F.coalesce(e["value"], F.lit("")) != "")
+    return F.nullif(F.concat_ws(", ", F.transform(kept, lambda e: F.concat_ws(": ", e["key"], e["value"]))), F.lit(""))
 
 
 def guarded_ratio(a: Column, b: Column) -> Column:

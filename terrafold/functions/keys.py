@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrafold.operators.positions import positions
+
 
 def row_checksum(*columns: Column) -> Column:
     """md5 over the columns' texts, NULL as empty, parted by a pipe."""
@@ -17,21 +19,13 @@ def keep_latest(df: DataFrame, keys: list[str], newest: list[Column]) -> DataFra
     return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
 
 
-def surrogate_keys(df: DataFrame, key: str, name: str, prefix: int = 2) -> DataFrame:
-    """Consecutive numbers in order of a text key, without one global sort. NULL keys come first.
+def surrogate_keys(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Consecutive numbers from 1 in order of a key, without one global sort. NULL keys come first.
 
-    Keys fall into buckets by the first characters after those that all keys share, which order as the keys do;
-    numbers within a bucket start after all earlier buckets. Only the buckets' counts meet in one task.
+    Rows are numbered within ranges of the key, after the rows of earlier ranges, however keys are spread; see
+    positions. The table in that order is written to the shared folder when this is called.
     """
-    ends = df.agg(F.min(key).alias("_low"), F.max(key).alias("_high"))
-    same = F.expr("filter(sequence(0, length(_low)), i -> substring(_low, 1, i) = substring(_high, 1, i))")
-    shared = ends.select(F.coalesce(F.array_max(same), F.lit(0)).alias("_shared"))
-    bucketed = df.crossJoin(F.broadcast(shared)).withColumn("_bucket", F.col(key).substr(F.col("_shared") + 1, F.lit(prefix))).drop("_shared")
-    counts = bucketed.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
-    return bucketed.withColumn("_within", within).join(starts.withColumnRenamed("_bucket", "_own"), F.col("_bucket").eqNullSafe(F.col("_own"))).withColumn(name, (F.col("_start") + F.col("_within")).cast("long")).drop("_bucket", "_own", "_within", "_start")
+    return positions(df, [F.col(key).asc_nulls_first()], "_place").withColumn(name, F.col("_place") + 1).drop("_place")
 
 
 def next_keys(existing: DataFrame, new: DataFrame, key: str, name: str) -> DataFrame:

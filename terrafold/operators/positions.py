@@ -27,3 +27,20 @@ def positions(df: DataFrame, order: list[Column], name: str = "position") -> Dat
     before = F.sum("n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
     offsets = sizes.select(part, (F.coalesce(before, F.lit(0)) - F.shiftleft(F.col(part), ROW_BITS)).alias("n"))
     return split.join(F.broadcast(offsets), part).withColumn(name, F.col(spot) + F.col("n")).select(*df.columns, name)
+
+
+def row_split(df: DataFrame, order: list[Column], parts: dict[str, float]) -> DataFrame:
+    """df with split: the first rows of the order are of the first part, and so on, by shares of the row count.
+
+    A part has the rows whose position is below the whole number of its share of all rows, and of those before it; the
+    last part has the rest. Give an order that tells all rows apart, or equal ones fall on either side of an edge.
+    """
+    placed = positions(df, order, "_position").crossJoin(F.broadcast(df.agg(F.count("*").alias("_n"))))  # one row
+    share, out = 0.0, F.lit(list(parts)[-1])
+    edges = []
+    for name, own in list(parts.items())[:-1]:
+        share += own
+        edges.append((name, share))
+    for name, edge in reversed(edges):
+        out = F.when(F.col("_position") < F.floor(F.col("_n") * F.lit(edge) + F.lit(1e-9)), name).otherwise(out)
+    return placed.withColumn("split", out).drop("_position", "_n")
