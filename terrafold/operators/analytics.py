@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrafold.operators import quantiles
+
 
 def distribution(df: DataFrame, keys: list[str]) -> DataFrame:
     """Count and percent of all rows by key."""
@@ -48,10 +50,11 @@ def forecast_metrics(df: DataFrame, actual: str, predicted: str, keys: list[str]
 
 
 def tiers(df: DataFrame, entity: str, value: str) -> DataFrame:
-    """low, mid and high entities by thirds of their mean value."""
+    """low, mid and high entities by thirds of their mean value; the exact thirds are found when this is called."""
     means = df.groupBy(entity).agg((F.sum(value) / F.count(value)).alias("mean_value"))
-    cuts = means.agg(F.percentile("mean_value", F.lit(1 / 3)).alias("_a"), F.percentile("mean_value", F.lit(2 / 3)).alias("_b"))
-    return means.crossJoin(F.broadcast(cuts)).select(entity, F.when(F.col("mean_value") <= F.col("_a"), "low").when(F.col("mean_value") <= F.col("_b"), "mid").otherwise("high").alias("tier"))
+    cuts = quantiles.exact(means, {"mean_value": [1 / 3, 2 / 3]}, between=True)
+    low, middle = (F.lit(cuts["mean_value", q]) for q in (1 / 3, 2 / 3))
+    return means.select(entity, F.when(F.col("mean_value") <= low, "low").when(F.col("mean_value") <= middle, "mid").otherwise("high").alias("tier"))
 
 
 def time_split(df: DataFrame, month: str, train: float = 0.75, valid: float = 0.125) -> DataFrame:
@@ -91,3 +94,20 @@ def sequence_counts(df: DataFrame, entity: str, month: str, lengths: tuple[int,
     """How many windows each length leaves: the sum over entities of max(months - length, 0)."""
     n = df.groupBy(entity).agg(F.countDistinct(month).alias("n"))
     return n.select("n", F.explode(F.array(*map(F.lit, lengths))).alias("length")).groupBy("length").agg(F.sum(F.greatest(F.col("n") - F.col("length"), F.lit(0))).alias("n_sequences"), F.count("*").alias("n_entities"))
+
+
+def top_by_ratio(df: DataFrame, entity: str, value: str, count: str, top: int, name: str) -> DataFrame:
+    """The entities with the highest sum of values over sum of counts."""
+    sums = df.groupBy(entity).agg(F.sum(count).alias(count), F.sum(value).alias("_v"))
+    return sums.select(entity, count, (F.col("_v") / F.nullif(F.col(count), F.lit(0))).alias(name)).orderBy(F.desc(name), entity).limit(top)
+
+
+def layer_ratio(lower: DataFrame, upper: DataFrame, keys: list[str], lower_name: str, upper_name: str) -> DataFrame:
+    """One row: rows of a layer and of the one made from it, their ratio, and the upper one's rows for each of its keys (inflation).
+
+    Over 1, rows of a key were taken in more than once, or joined to several. Ratios over nothing are NULL.
+    """
+    a = lower.agg(F.count("*").alias("lower_rows"))
+    b = upper.agg(F.count("*").alias("upper_rows"), F.countDistinct(*keys).alias("upper_keys"))
+    over = lambda x, y: F.col(x) / F.nullif(F.col(y), F.lit(0))
+    return a.crossJoin(b).select(F.lit(lower_name).alias("lower_table"), F.lit(upper_name).alias("upper_table"), "lower_rows", "upper_rows", "upper_keys", over("upper_rows", "lower_rows").alias("layer_ratio"), over("upper_rows", "upper_keys").alias("inflation"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrafold.functions.clean import clamp
+from terrafold.functions.clean import clamp, guarded_ratio
+from terrafold.operators import quantiles
 
 #: Our own weights of a short index, by rank of each measure.
 INDEX_WEIGHTS = {"n_posts": 0.15, "avg_value": 0.35, "n_authors": 0.20, "hot_ratio": 0.15, "total": 0.15}
@@ -31,10 +32,15 @@ def engagement(posts: DataFrame, entity: str, month: str, post: str, author: str
 
 
 def rank_index(df: DataFrame, month: str, weights: dict[str, float]) -> DataFrame:
-    """hotness: the weighted mean of percent ranks of measures within each month, clamped to 0..1."""
-    ranks = {f"rank_{m}": F.percent_rank().over(Window.partitionBy(month).orderBy(F.col(m).asc_nulls_first())) for m in weights}
+    """hotness: the weighted mean of percent ranks of measures within each month, clamped to 0..1. See family_index."""
+    ranks = {f"rank_{m}": _rank_in(month, m) for m in weights}
     total = sum((F.col(f"rank_{m}") * F.lit(w) for m, w in weights.items()), start=F.lit(0.0))
-    return df.withColumns(ranks).withColumn("hotness", F.round(clamp(total), 6)).drop(*ranks)
+    return df.withColumns(ranks).withColumn("hotness", clamp(total)).drop(*ranks)
+
+
+def _rank_in(month: str, measure: str) -> Column:
+    """The percent rank of a measure, to nine places, within a month."""
+    return F.percent_rank().over(Window.partitionBy(month).orderBy(F.round(F.col(measure), 9).asc_nulls_first()))
 
 
 #: The families of the attractiveness index, their weights, and their measures with the weights within. True: less is better.
@@ -57,12 +63,13 @@ def family_index(df: DataFrame, month: str, families: dict[str, tuple[float, dic
     """df with the weighted sum of families of percent ranks within each month, clamped to 0..1.
 
     A month has a row for each entity at most, so a month's rows, which one task sorts for each measure, are few.
+    Measures are ranked by nine places, so that equal ones tie in whatever order they were added up.
     """
     ranks = {m for _, own in families.values() for m in own}
-    ranked = df.withColumns({f"_r_{m}": F.percent_rank().over(Window.partitionBy(month).orderBy(F.col(m).asc_nulls_first())) for m in sorted(ranks)})
+    ranked = df.withColumns({f"_r_{m}": _rank_in(month, m) for m in sorted(ranks)})
     value = lambda m, less: 1 - F.col(f"_r_{m}") if less else F.col(f"_r_{m}")
     parts = [sum((value(m, less) * F.lit(w) for m, (w, less) in own.items()), start=F.lit(0.0)) * F.lit(weight) for weight, own in families.values()]
-    return ranked.withColumn(name, F.round(clamp(sum(parts, start=F.lit(0.0))), 6)).drop(*(f"_r_{m}" for m in ranks))
+    return ranked.withColumn(name, clamp(sum(parts, start=F.lit(0.0)))).drop(*(f"_r_{m}" for m in ranks))
 
 
 def comment_months(comments: DataFrame, keys: list[str], aspects: list[str] = (), least: float = 0.5) -> DataFrame:
@@ -100,6 +107,12 @@ def lags(df: DataFrame, entity: str, month: str, value: str, steps: tuple[int, .
     return out.withColumns({"momentum": F.col("lag_1") - F.col("lag_3"), "growth": F.when(F.col("lag_1") > 0, (F.col(value) - F.col("lag_1")) / F.col("lag_1")).otherwise(0.0)})
 
 
+def clipped_growth(df: DataFrame, entity: str, month: str, value: str, low: float = -1.0, high: float = 5.0) -> DataFrame:
+    """growth from the row before, between low and high; 0 where that row is missing or not positive."""
+    before = F.lag(value, 1).over(Window.partitionBy(entity).orderBy(month))
+    return df.withColumn("growth", clamp(F.coalesce(guarded_ratio(F.col(value) - before, before), F.lit(0.0)), low, high))
+
+
 def rolling_stddev(df: DataFrame, entity: str, month: str, value: str) -> DataFrame:
     before = Window.partitionBy(entity).orderBy(month).rowsBetween(-3, -1)
     return df.withColumn("stddev_3", F.coalesce(F.round(F.stddev(value).over(before), 6), F.lit(0.0)))
@@ -132,13 +145,16 @@ def season(df: DataFrame, month: str, peaks: tuple[int, ...] = (1, 4, 6, 7, 8, 1
     return df.withColumns({"sin_month": F.round(F.sin(angle), 6) + F.lit(0.0), "cos_month": F.round(F.cos(angle), 6) + F.lit(0.0), "is_peak": m.isin(*peaks)})
 
 
-def quality(reviews: DataFrame, keys: list[str], score: str, country: str, kind: str, home: str, high: float = 4.0, low: float = 2.0) -> DataFrame:
-    """Per key: reviews, mean and spread of scores, shares of high, low, domestic, and of kinds of traveller."""
+def quality(reviews: DataFrame, keys: list[str], score: str, country: str, kind: str, home: str, high: float = 4.0, low: float = 2.0, kinds: dict[str, str] | None = None) -> DataFrame:
+    """Per key: reviews, mean and spread of scores, shares of high, low, domestic, and of kinds of traveller.
+
+    kinds has a column's name for each share, and what the kind of a review must contain to count.
+    """
     share = lambda c: F.count_if(c) / F.count("*")
     return reviews.groupBy(*keys).agg(
-        F.count("*").alias("n_reviews"), (F.sum(F.col(score).cast("long")) / F.count(score)).alias("avg_score"), F.round(F.stddev(score), 6).alias("sd_score"),
+        F.count("*").alias("n_reviews"), F.avg(score).alias("avg_score"), F.round(F.stddev(score), 6).alias("sd_score"),
         share(F.col(score) >= high).alias("high_ratio"), share(F.col(score) < low).alias("low_ratio"), F.countDistinct(country).alias("n_countries"),
-        share(F.col(country) == home).alias("domestic_ratio"), share(F.col(kind).contains("A")).alias("kind_a_ratio"),
+        share(F.col(country) == home).alias("domestic_ratio"), *(share(F.col(kind).contains(part)).alias(name) for name, part in (kinds or {"kind_a_ratio": "A"}).items()),
     )
 
 
@@ -162,17 +178,21 @@ def zscores(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def robust_scale(df: DataFrame, column: str, train: Column, clip: float = 0.99) -> DataFrame:
-    """log1p of the value clipped at the training rows' quantile, less their median, over their quartile range."""
-    q = lambda x: F.percentile(F.when(train, F.col(column)), F.lit(x))
-    top = df.agg(q(clip).alias("_top"))
-    logged = df.crossJoin(F.broadcast(top)).withColumn("_x", F.log1p(F.least(F.col(column), F.col("_top"))))
-    p = lambda x: F.percentile(F.when(train, F.col("_x")), F.lit(x))
-    stats = logged.agg(p(0.5).alias("_mid"), (p(0.75) - p(0.25)).alias("_range"))
-    return logged.crossJoin(F.broadcast(stats)).withColumn("scaled", F.round((F.col("_x") - F.col("_mid")) / F.when(F.col("_range") > 0, F.col("_range")).otherwise(1.0), 6)).select(*df.columns, "scaled")
+    """log1p of the value clipped at the training rows' quantile, less their median, over their quartile range.
+
+    The quantiles are exact, and found when this is called; see quantiles.exact.
+    """
+    own = df.withColumn("_t", F.when(train, F.col(column)))
+    top = quantiles.exact(own, {"_t": [clip]}, between=True)["_t", clip]
+    logged = own.withColumn("_x", F.log1p(F.least(F.col(column), F.lit(top)))).withColumn("_t", F.when(train, F.col("_x")))
+    found = quantiles.exact(logged, {"_t": [0.25, 0.5, 0.75]}, between=True)
+    low, middle, high = (found["_t", q] for q in (0.25, 0.5, 0.75))
+    width = high - low if middle is not None and high > low else 1.0
+    return logged.withColumn("scaled", F.round((F.col("_x") - F.lit(middle)) / F.lit(width), 6)).select(*df.columns, "scaled")
 
 
 def anchors(df: DataFrame, entity: str, value: str, floor: float = 0.05) -> DataFrame:
-    """The value over its entity's median, or over the floor quantile of all where the median is less."""
-    least = df.agg(F.percentile(value, F.lit(floor)).alias("_floor"))
-    own = df.groupBy(entity).agg(F.percentile(value, F.lit(0.5)).alias("_median")).crossJoin(F.broadcast(least))
-    return df.join(own.select(entity, F.greatest("_median", "_floor").alias("anchor")), entity).withColumn("relative", F.round(F.col(value) / F.col("anchor"), 6))
+    """The value over its entity's median, or over the floor quantile of all, found when this is called, where the median is less."""
+    least = quantiles.exact(df, {value: [floor]}, between=True)[value, floor]
+    own = df.groupBy(entity).agg(F.percentile(value, F.lit(0.5)).alias("_median"))
+    return df.join(own.select(entity, F.greatest("_median", F.lit(least)).alias("anchor")), entity).withColumn("relative", F.round(F.col(value) / F.col("anchor"), 6))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,13 +14,15 @@ def with_text(df: DataFrame, column: str) -> DataFrame:
 
 
 def of_month(df: DataFrame, date: str, year: int | None = None, month: int | None = None) -> DataFrame:
-    """Rows of a year, of a month, or of both; all rows where neither is given."""
-    wanted = F.lit(True)
-    if year is not None:
-        wanted = wanted & (F.year(date) == year)
-    if month is not None:
-        wanted = wanted & (F.month(date) == month)
-    return df if year is None and month is None else df.filter(wanted)
+    """Rows of a year, of a month, or of both; all rows where neither is given.
+
+    With a year, dates are compared with the two ends of the period, so partitions and row groups outside it are not read.
+    """
+    if year is None:
+        return df if month is None else df.filter(F.month(date) == month)
+    first = datetime.date(year, month or 1, 1)
+    after = datetime.date(year + 1, 1, 1) if month in (None, 12) else datetime.date(year, month + 1, 1)
+    return df.filter((F.col(date) >= F.lit(first)) & (F.col(date) < F.lit(after)))
 
 
 def flagged(df: DataFrame, column: str) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -14,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrafold.functions.parse import shift_month
+from terrafold.operators import clusters
 
 
 def _scaled(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -21,11 +21,12 @@ def _scaled(df: DataFrame, columns: list[str]) -> DataFrame:
     return StandardScaler(inputCol="_raw", outputCol="features", withMean=True).fit(vectors).transform(vectors).drop("_raw")
 
 
-def segments(df: DataFrame, columns: list[str], k: int = 3, seed: int = 7) -> tuple[DataFrame, float]:
-    """Rows with their cluster, and the silhouette of the clustering."""
-    scaled = _scaled(df, columns).cache()
-    found = KMeans(k=k, seed=seed, maxIter=20).fit(scaled).transform(scaled)
+def segments(df: DataFrame, columns: list[str], k: int = 3, seed: int = 7, starts: int = 1) -> tuple[DataFrame, float]:
+    """Rows with their cluster, the best of starts fits, and the silhouette of the clustering."""
+    scaled = _scaled(df, columns).persist()
+    found = clusters.best_kmeans(scaled, "features", k, starts, 20, seed).transform(scaled)
     score = ClusteringEvaluator().evaluate(found)
+    scaled.unpersist()
     return found.withColumnRenamed("prediction", "cluster").drop("features"), score
 
 

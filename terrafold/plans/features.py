@@ -21,7 +21,7 @@ eng AS (SELECT n_name, ym, count(DISTINCT o_orderkey) AS n_posts, count(DISTINCT
   quantile_disc(cents, 0.5) AS median, max(p90) AS p90, count(*) FILTER (cents > p90) / count(*) AS hot_ratio FROM p GROUP BY n_name, ym)
 """
 _RANK = "percent_rank() OVER (PARTITION BY ym ORDER BY {0} NULLS FIRST)"
-_HOT = ", hot AS (SELECT *, round(greatest(0.0e0, least(1.0e0, " + " + ".join(f"{_RANK.format(m)} * {w}e0" for m, w in features.INDEX_WEIGHTS.items()) + ")), 6) AS hotness FROM eng)"
+_HOT = ", hot AS (SELECT *, round(greatest(0.0e0, least(1.0e0, " + " + ".join(f"{_RANK.format(m)} * {w}e0" for m, w in features.INDEX_WEIGHTS.items()) + ")), 9) AS hotness FROM eng)"
 _W = "OVER (PARTITION BY n_name ORDER BY ym"
 _LAG = f""", lagged AS (SELECT n_name, ym, total, lag(total, 1) {_W}) AS lag_1, lag(total, 2) {_W}) AS lag_2, lag(total, 3) {_W}) AS lag_3, lag(total, 12) {_W}) AS lag_12,
   CAST(sum(total) {_W} ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS BIGINT) / nullif(count(total) {_W} ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 0) AS mean_3 FROM eng)"""
@@ -45,7 +45,7 @@ def nation_month_engagement(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_POSTS + _HOT + " SELECT n_name, ym, n_posts, total, hotness FROM hot")
 def hot_index_nation_month(spark: SparkSession, sf: str) -> DataFrame:
-    return features.rank_index(months(spark, sf), "ym", features.INDEX_WEIGHTS).select("n_name", "ym", "n_posts", "total", "hotness")
+    return features.rank_index(months(spark, sf), "ym", features.INDEX_WEIGHTS).select("n_name", "ym", "n_posts", "total", F.round("hotness", 9).alias("hotness"))
 
 
 @query(_POSTS + _LAG + f" SELECT *, {_MOVES} FROM lagged")
@@ -123,6 +123,7 @@ def feature_table_nation_month(spark: SparkSession, sf: str) -> DataFrame:
     """The whole feature table: engagement, index, lags, review quality, ratios and season."""
     own = features.lags(features.rank_index(months(spark, sf), "ym", features.INDEX_WEIGHTS), "n_name", "ym", "total")
     both = own.join(reviews(spark, sf).select("n_name", "ym", "n_reviews", "avg_score", "high_ratio"), ["n_name", "ym"], "left").fillna(0, ["n_reviews", "avg_score", "high_ratio"])
+    both = both.withColumn("hotness", F.round("hotness", 9))
     return features.season(both.withColumn("posts_per_review", smoothed_ratio(F.col("n_posts"), F.col("n_reviews"))), "ym")
 
 

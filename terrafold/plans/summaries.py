@@ -18,7 +18,7 @@ def _described(c: str) -> str:
 
 @query(" UNION ALL ".join(map(_described, _DESCRIBED)))
 def describe_lineitem(spark: SparkSession, sf: str) -> DataFrame:
-    found = summaries.describe(table(spark, sf, "lineitem"), list(_DESCRIBED), (0.5,))
+    found = summaries.describe(table(spark, sf, "lineitem"), list(_DESCRIBED), (0.5,), exact=True)
     return found.withColumns({c: F.round(c, 6) for c in ("mean", "sd")})
 
 
@@ -119,12 +119,12 @@ def _index_sql(families: dict) -> str:
     value = lambda m, less: f"(1 - {rank(m)})" if less else rank(m)
     parts = " + ".join("(" + " + ".join(f"{value(m, less)} * {w}e0" for m, (w, less) in own.items()) + f") * {weight}e0" for weight, own in families.values())
     more = ", ".join(f"{e} AS {n}" for n, e in _MEASURES.items())
-    return _COMMENTS + f", x AS (SELECT *, {more} FROM m) SELECT province, ym, round(greatest(0.0e0, least(1.0e0, {parts})), 6) AS hotness FROM x"
+    return _COMMENTS + f", x AS (SELECT *, {more} FROM m) SELECT province, ym, round(greatest(0.0e0, least(1.0e0, {parts})), 9) AS hotness FROM x"
 
 
 def _index(spark: SparkSession, sf: str, families: dict) -> DataFrame:
     own = _rounded(features.comment_months(_comments(spark, sf), ["province", "ym"])).selectExpr("*", *(f"{e} AS {n}" for n, e in _MEASURES.items()))
-    return features.family_index(own, "ym", families).select("province", "ym", "hotness")
+    return features.family_index(own, "ym", families).select("province", "ym", F.round("hotness", 9).alias("hotness"))
 
 
 @query(_index_sql(features.INDEX_A))
