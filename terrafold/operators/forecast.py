@@ -58,10 +58,12 @@ def recursive(df: DataFrame, entity: str, month: str, value: str, steps: int = 1
                 past = [r["v"] for r in last]
                 base = int(last[0]["m"])
                 for h in range(1, steps + 1):
-                    own = weights[: len(past)]
-                    new = sum(w * v for w, v in zip(own, past, strict=False)) / sum(own)
+                    new = total = 0.0
+                    for w, v in zip(weights, past, strict=False):  # added in order, as SQL adds
+                        new, total = new + w * v, total + w
+                    new /= total
                     change = None if not past or past[0] == 0 else (new - past[0]) / past[0] * 100
-                    out.append((key, base, h, round(new, 4), None if change is None else round(change, 4)))
+                    out.append((key, base, h, new, change))
                     past = [new, *past][:n]
             yield pd.DataFrame(out, columns=["key", "base", "horizon", "forecast", "growth_pct"])
 

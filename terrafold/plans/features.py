@@ -208,7 +208,10 @@ def time_split(spark: SparkSession, sf: str) -> DataFrame:
     return analytics.time_split(months(spark, sf), "ym").select("n_name", "ym", "split")
 
 
-@query()
+@query("WITH RECURSIVE" + _POSTS.replace("WITH", "", 1) + """, n AS (SELECT n_name, ym, total * 1.0e0 AS v, row_number() OVER (PARTITION BY n_name ORDER BY ym DESC) AS r FROM eng),
+f AS (SELECT n_name, max(ym) AS base, 0 AS horizon, max(v) FILTER (r = 1) AS a, max(v) FILTER (r = 2) AS b, max(v) FILTER (r = 3) AS c, 0.0e0 AS was FROM n WHERE r <= 3 GROUP BY 1
+  UNION ALL SELECT n_name, base, horizon + 1, CASE WHEN b IS NULL THEN 0.5e0 * a / 0.5e0 WHEN c IS NULL THEN (0.5e0 * a + 0.3e0 * b) / (0.5e0 + 0.3e0) ELSE (0.5e0 * a + 0.3e0 * b + 0.2e0 * c) / (0.5e0 + 0.3e0 + 0.2e0) END, a, b, a FROM f WHERE horizon < 12)
+SELECT n_name, CAST((base // 100 * 12 + base % 100 + horizon - 1) // 12 * 100 + (base // 100 * 12 + base % 100 + horizon - 1) % 12 + 1 AS INTEGER) AS ym, horizon, a AS forecast, (a - was) / nullif(was, 0) * 100 AS growth_pct FROM f WHERE horizon > 0""")
 def recursive_forecast(spark: SparkSession, sf: str) -> DataFrame:
     return forecast.recursive(months(spark, sf), "n_name", "ym", "total")
 

@@ -158,12 +158,39 @@ def lexicon_sentiment(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", text.sentiment(F.col("text")).alias("sentiment"))
 
 
-@query()
+def _told_sql(column: str, words: tuple[str, ...]) -> str:
+    """How many of the words occur in a lower-case text; those of two characters or less must stand alone."""
+    alone = lambda w: f"regexp_matches({column}, '(^|[^\\p{{L}}]){w}([^\\p{{L}}]|$)')"
+    return "(" + " + ".join(f"CAST({alone(w) if len(w) <= 2 else f'contains({column}, {w!r})'} AS INTEGER)" for w in words) + ")"
+
+
+def _tokens_sql(column: str) -> str:
+    return f"list_filter(regexp_split_to_array({column}, '\\s+'), lambda w: w <> '')"
+
+
+def _lean_sql(column: str) -> str:
+    return f"sign({_told_sql(column, text.POSITIVE)} - {_told_sql(column, text.NEGATIVE)})"
+
+
+_TIDY_SQL = r"""
+WITH t AS (SELECT conv_id, turn, trim(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), 'https?://\S+', '', 'g'), '@\w+', '', 'g'), '\s+', ' ', 'g')) AS t FROM conversations),
+w AS (SELECT *, lower(t) AS low, """ + _tokens_sql("lower(t)") + " AS words, length(t) - length(replace(t, '!', '')) AS marks FROM t)"
+
+
+@query(_TIDY_SQL + f""", s AS (SELECT *, {_lean_sql('low')} AS mood, {_told_sql('low', text.POSITIVE)} AS p, {_told_sql('low', text.NEGATIVE)} AS n, {_told_sql('low', text.POSITIVE_EMOJI)} AS pe, {_told_sql('low', text.NEGATIVE_EMOJI)} AS ne,
+  regexp_split_to_array(low, '[.,!?;\\n]|\\b(?:but|however|nhưng)\\b') AS clauses FROM w),
+g AS (SELECT *, least(3, p) + least(3, pe) + CASE WHEN marks >= 2 THEN 1 ELSE 0 END + CASE WHEN mood > 0 THEN 2 ELSE 0 END AS glad, least(3, n) + least(3, ne) + CASE WHEN mood < 0 THEN 2 ELSE 0 END AS sad FROM s),
+l AS (SELECT *, CASE WHEN length(t) < 3 OR glad = sad THEN 'neutral' WHEN glad > sad THEN 'positive' ELSE 'negative' END AS label, glad + sad + CASE WHEN mood = 0 THEN 1 ELSE 0 END AS signals FROM g)
+SELECT conv_id, turn, label, round(CASE WHEN length(t) < 3 THEN 0.3e0 WHEN glad = 0 AND sad = 0 THEN 0.4e0 WHEN glad = sad THEN 0.5e0 ELSE least(0.95e0, 0.4e0 + greatest(glad, sad) / signals * 0.55e0 * least(signals / 5, 1.0e0)) END, 6) AS confidence, """ + ", ".join(f"""
+CAST(CASE WHEN len({a}) = 0 THEN 0 WHEN list_sum({a}) <> 0 THEN sign(list_sum({a})) WHEN label = 'positive' THEN 1 WHEN label = 'negative' THEN -1 ELSE 0 END AS INTEGER) AS aspect_{a}""" for a in text.ASPECTS) + " FROM (SELECT *, " + ", ".join(
+    f"list_transform(list_filter(clauses, lambda c: {_told_sql('c', own)} >= 2 OR ({_told_sql('c', own)} = 1 AND len({_tokens_sql('c')}) <= 15)), lambda c: {_lean_sql('c')}) AS {a}" for a, own in text.ASPECTS.items()) + " FROM l)")
 def weak_labels(spark: SparkSession, sf: str) -> DataFrame:
     return text.weak_labels(table(spark, sf, "conversations").select("conv_id", "turn", "text"), "text").drop("text")
 
 
-@query()
+@query(_TIDY_SQL + f"""
+SELECT conv_id, turn, CAST(len(words) AS INTEGER) AS n_words, CASE WHEN len(words) > 0 THEN round(len(list_distinct(words)) / len(words), 4) ELSE 0.0e0 END AS unique_ratio, CAST(marks AS INTEGER) AS n_exclaim, CAST({_lean_sql('low')} AS INTEGER) AS sentiment,
+{_told_sql('low', text.POSITIVE_EMOJI + text.NEGATIVE_EMOJI)} AS n_emoji, {_told_sql('low', text.POSITIVE)} AS n_positive, {_told_sql('low', text.NEGATIVE)} AS n_negative FROM w""")
 def comment_features(spark: SparkSession, sf: str) -> DataFrame:
     return text.comment_features(table(spark, sf, "conversations").select("conv_id", "turn", "text"), "text").drop("text")
 
