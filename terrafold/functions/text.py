@@ -101,7 +101,7 @@ def confident(df: DataFrame, most_weak: int, order: list[Column]) -> DataFrame:
 
 def stratified_cap(df: DataFrame, label: str, most: int, order: list[Column], salts: int = 32) -> DataFrame:
     """At most so many rows a label, the first by order; a label's rows are first cut within salted parts."""
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
     for keys in ([label, "_salt"], [label]):
         salted = salted.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("_rank") <= most).drop("_rank")
     return salted.drop("_salt")

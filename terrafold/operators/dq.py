@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Rule:
-    """A metric over the table, and its limit: at_least, else at most. Failing is FAIL where critical, else WARN."""
+    """A metric over the table, and its limit: at_least, else at most. Failing is FAIL where critical, INFO for what is only told, else WARN."""
 
     name: str
     category: str
@@ -19,6 +19,7 @@ class Rule:
     limit: float
     critical: bool = True
     at_least: bool = False
+    info: bool = False
 
 
 def _pct(bad: Column) -> Column:
@@ -77,6 +78,11 @@ def presence(column: str, name: str, pattern: str) -> Rule:
     return Rule(f"missing_{name}", "content", _pct(~F.coalesce(F.col(column).rlike(pattern), F.lit(False))), 1.0)
 
 
+def share(column: str, name: str, pattern: str, least: float = 0.0) -> Rule:
+    """How many percent of rows hold the pattern: told, and INFO below least."""
+    return Rule(f"share_{name}", "content", _pct(F.coalesce(F.col(column).rlike(pattern), F.lit(False))), least, critical=False, at_least=True, info=True)
+
+
 def future(column: str, today: str) -> Rule:
     return violations(f"future_{column}", "timeliness", F.to_date(F.col(column)) > F.to_date(F.lit(today)), critical=False)
 
@@ -99,11 +105,11 @@ def orphan_rule(limit: float = 5.0) -> Rule:
 def check(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
     """table_name, check_name, category, status, is_critical, metric, threshold: one row a rule, from one pass."""
     one = df.agg(*(r.metric.alias(f"_{i}") for i, r in enumerate(rules)))
-    rows = [F.struct(F.lit(table).alias("table_name"), F.lit(r.name).alias("check_name"), F.lit(r.category).alias("category"), F.lit(r.critical).alias("is_critical"), F.col(f"_{i}").cast("double").alias("metric"), F.lit(float(r.limit)).alias("threshold"), F.lit(r.at_least).alias("_least")) for i, r in enumerate(rules)]
+    rows = [F.struct(F.lit(table).alias("table_name"), F.lit(r.name).alias("check_name"), F.lit(r.category).alias("category"), F.lit(r.critical).alias("is_critical"), F.col(f"_{i}").cast("double").alias("metric"), F.lit(float(r.limit)).alias("threshold"), F.lit(r.at_least).alias("_least"), F.lit(r.info).alias("_info")) for i, r in enumerate(rules)]
     long = one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
     good = F.when(F.col("_least"), F.col("metric") >= F.col("threshold")).otherwise(F.col("metric") <= F.col("threshold"))
-    status = F.when(F.coalesce(good, F.lit(False)), "PASS").when(F.col("is_critical"), "FAIL").otherwise("WARN")
-    return long.withColumn("status", status).drop("_least")
+    status = F.when(F.coalesce(good, F.lit(False)), "PASS").when(F.col("is_critical"), "FAIL").when(F.col("_info"), "INFO").otherwise("WARN")
+    return long.withColumn("status", status).drop("_least", "_info")
 
 
 def failed(results: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,18 +23,22 @@ def changes(target: DataFrame, source: DataFrame, keys: list[str], checksum: str
     return t.join(s, match, "full_outer").select(*(F.when(F.col("t_in").isNotNull(), F.col(f"t_{k}")).otherwise(F.col(f"s_{k}")).alias(k) for k in keys), action.alias("action"))
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str], checksum: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: list[str], checksum: str, keep: tuple[str, ...] = (), stamp: tuple[str, Column] | None = None) -> DataFrame:
     """The target after a merge, with its columns: changed rows take the source's values but for those in keep.
 
-    A key that the source repeats counts once, with its greatest checksum; NULL keys match NULL keys.
+    A key that the source repeats counts once, with its greatest checksum; NULL keys match NULL keys. stamp names a
+    column, such as updated_at, that new and changed rows take the given value in.
     """
-    s = _once(source, keys, checksum).select(*(F.col(c).alias(f"s_{c}") for c in target.columns), F.lit(True).alias("s_in"))
+    own = lambda c: F.lit(None) if stamp and c == stamp[0] else F.col(c)
+    s = _once(source, keys, checksum).select(*(own(c).alias(f"s_{c}") for c in target.columns), F.lit(True).alias("s_in"))
     t = target.withColumn("t_in", F.lit(True))
     match = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"s_{k}")) for k in keys))
     new = F.col("t_in").isNull()
     changed = F.col("s_in") & F.col("t_in") & ~F.col(checksum).eqNullSafe(F.col(f"s_{checksum}"))
     joined = t.join(s, match, "full_outer")
-    return joined.select(*(F.when(new if c in keep else new | F.coalesce(changed, F.lit(False)), F.col(f"s_{c}")).otherwise(F.col(c)).alias(c) for c in target.columns))
+    written = new | F.coalesce(changed, F.lit(False))
+    value = lambda c: stamp[1] if stamp and c == stamp[0] else F.col(f"s_{c}")
+    return joined.select(*(F.when(new if c in keep else written, value(c)).otherwise(F.col(c)).alias(c) for c in target.columns))
 
 
 def merge_stats(actions: DataFrame) -> DataFrame:

@@ -3,11 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from terrafold.functions import keys
+from terrafold.functions import clean, keys
 from terrafold.functions.keys import row_checksum
-from terrafold.operators import dq, features, filters, forecast, joins, merge
+from terrafold.operators import dq, features, filters, forecast, joins, merge, summaries
 from terrafold.sources import files
-from terrafold.sources.tables import Tables, added_columns, ddl
+from terrafold.sources.tables import Catalog, Tables, added_columns, ddl
 from terrafold.streaming.incremental import stream_upsert
 
 
@@ -52,7 +52,63 @@ def test_tables(spark, tmp_path):
     assert {(r.x, r.p) for r in t.read("gold.f").collect()} == {(1, "a"), (3, "b")}
     wide = spark.createDataFrame([], "x int, p string, y double").schema
     assert added_columns(df, wide) == ["y"] and t.read("gold.f", wide).columns == ["x", "p", "y"] and t.read("gold.none", wide).count() == 0
-    assert ddl("g.t", wide, ["p"]) == "CREATE TABLE IF NOT EXISTS g.t (`x` INT, `p` STRING, `y` DOUBLE) USING parquet PARTITIONED BY (p)"
+    assert ddl("g.t", wide, ["p"]) == "CREATE TABLE IF NOT EXISTS `g`.`t` (`x` INT, `p` STRING, `y` DOUBLE) USING parquet PARTITIONED BY (`p`)"
+
+
+def test_append_and_exports(spark, tmp_path):
+    t = Tables(spark, str(tmp_path))
+    df = spark.createDataFrame([(1, "a"), (2, 'say "b", c'), (3, "a"), (4, "a")], "x int, p string")
+    t.append(df, "s.t", ["p"])
+    t.append(df.limit(1), "s.t", ["p"])
+    assert t.read("s.t").count() == 5
+    t.export(df.repartition(4), "s.few")
+    assert len([f for f in (tmp_path / "s/few").iterdir() if f.suffix == ".parquet"]) == 1
+    t.export_sample(df, "s.sample", "p", 2, [F.col("x").desc()])
+    got = files.read_csv(spark, f"{tmp_path}/s/sample", multi_line=True)
+    assert sorted((r.x, r.p) for r in got.collect()) == [("2", 'say "b", c'), ("3", "a"), ("4", "a")]
+
+
+def test_catalog(spark, tmp_path):
+    c = Catalog(spark)
+    schema = spark.createDataFrame([], "`select` int, `a b` string, `c.d` double").schema
+    c.create_namespace("plain_ns", f"{tmp_path}/ns")
+    try:
+        c.create("plain_ns.first", schema, ["a b"], {"owner's": "x"}, f"{tmp_path}/it's here")
+        c.create("plain_ns.first", schema)
+        assert c.tables("plain_ns") == ["first"] and spark.table("plain_ns.first").columns == ["select", "c.d", "a b"]
+        c.create("plain_ns.first", spark.createDataFrame([], "z int").schema, replace=True)
+        assert spark.table("plain_ns.first").columns == ["z"]
+        c.drop("plain_ns.first")
+        assert c.tables("plain_ns") == []
+    finally:
+        c.drop_namespace("plain_ns", tables_too=True)
+    assert "LOCATION" not in ddl("t", schema) and ddl("t", schema, location="/x").endswith("USING parquet LOCATION '/x'")
+
+
+def test_stamps_shares_and_job_log(spark, tmp_path):
+    old, now = F.lit("2024-01-01").cast("timestamp"), F.lit("2025-01-01").cast("timestamp")
+    target = rows(spark, [("a", 1, "x"), ("b", 2, "y")]).withColumn("updated_at", old)
+    source = rows(spark, [("a", 1, "x2"), ("b", 2, "y"), ("c", 3, "z")])
+    after = {r.k: r.updated_at.year for r in merge.upsert(target, source, ["k", "p"], "row_checksum", stamp=("updated_at", now)).collect()}
+    assert after == {"a": 2025, "b": 2024, "c": 2025}
+    texts = spark.createDataFrame([("wifi",), ("pool",), (None,)], "t string")
+    got = {r.check_name: (r.status, round(r.metric, 2)) for r in dq.check(texts, "t", [dq.share("t", "wifi", "wifi", 50), dq.share("t", "pool", "pool")]).collect()}
+    assert got == {"share_wifi": ("INFO", 33.33), "share_pool": ("PASS", 33.33)}
+    tables, runs = Tables(spark, str(tmp_path)), spark.createDataFrame([("t", "2025-01-01 10:00:00", "2025-01-01 10:00:45", 7, "boom"), ("u", "2025-01-01 10:00:00", "2025-01-01 10:00:01", 3, None)], "t string, a string, b string, n long, e string")
+    entries = summaries.job_entries(runs, F.col("t"), F.col("a").cast("timestamp"), F.col("b").cast("timestamp"), F.col("n"), F.col("e"))
+    tables.overwrite(entries, "log.first")
+    again = entries.filter("table_name = 't'").withColumns({"status": F.lit("success"), "rows": F.lit(9).cast("long"), "error": F.lit(None).cast("string")})
+    log = merge.upsert(tables.read("log.first"), again, ["run_key"], "status")
+    tables.overwrite(log, "log.second")
+    assert {r.table_name: (r.status, r.seconds, r["rows"]) for r in tables.read("log.second").collect()} == {"t": ("success", 45, 9), "u": ("success", 1, 3)}
+
+
+def test_small_cleaners(spark):
+    df = spark.createDataFrame([("", "Yes", 1.0, 0.0, "No. 5"), ("a", "odd", 1.0, 2.0, "5")], "t string, level string, a double, b double, p string")
+    got = clean.empty_to_null(df, ["t"]).select("t", clean.in_enum(F.col("level"), ["Yes", "No"]).alias("ok"), clean.guarded_ratio(F.col("a"), F.col("b")).alias("r"), clean.strip_prefix(F.col("p"), r"No\. ").alias("p")).collect()
+    assert [tuple(r) for r in got] == [(None, True, 0.0, "5"), ("a", False, 0.5, "5")]
+    scaled = forecast.coordinates(df.select("a", F.col("b")), ["b"]).select("scaled").collect()
+    assert sorted(round(r.scaled[0], 6) for r in scaled) == [-0.707107, 0.707107]
 
 
 def test_files(spark, tmp_path):
