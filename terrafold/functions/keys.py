@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrafold.operators.positions import positions
@@ -14,9 +14,12 @@ def row_checksum(*columns: Column) -> Column:
 
 
 def keep_latest(df: DataFrame, keys: list[str], newest: list[Column]) -> DataFrame:
-    """One row a key: the first by newest, descending, NULLs last. Give tiebreakers to make it stable."""
-    order = Window.partitionBy(*keys).orderBy(*(c.desc_nulls_last() for c in newest))
-    return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
+    """One row a key: that with the greatest newest, NULLs last. Give tiebreakers to make it stable. NULL keys are one key.
+
+    The greatest is kept within tasks first, so a hot key does not gather its rows.
+    """
+    whole = df.groupBy(*(F.col(k).alias(f"_key_{k}") for k in keys)).agg(F.max_by(F.struct(*df.columns), F.struct(*newest)).alias("_row"))
+    return whole.select("_row.*")
 
 
 def surrogate_keys(df: DataFrame, key: str, name: str) -> DataFrame:

@@ -39,6 +39,13 @@ def unique_ratio(text: Column) -> Column:
     return F.when(n > 0, F.size(F.array_distinct(tokens(text))) / n).otherwise(F.lit(0.0))
 
 
+def word_stats(df: DataFrame, column: str) -> DataFrame:
+    """df with n_words, unique_ratio and n_exclaim of a text; its words are cut once."""
+    words = df.withColumn("_words", tokens(F.col(column))).withColumns({"n_words": F.size("_words").cast("long"), "n_exclaim": exclamations(F.col(column)).cast("long")})
+    ratio = F.when(F.col("n_words") > 0, F.size(F.array_distinct("_words")) / F.col("n_words")).otherwise(0.0)
+    return words.withColumn("unique_ratio", ratio).drop("_words")
+
+
 def exclamations(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit("!"), F.lit("")))
 

@@ -20,7 +20,8 @@ def engagement(posts: DataFrame, entity: str, month: str, post: str, author: str
     """A row per entity and month: posts, authors, total, mean, median, p90, and the share of posts above p90.
 
     Values are integer cents, so sums are exact in any order. percentile_approx is a mergeable sketch: partial before
-    the shuffle, so a hot entity does not gather its rows.
+    the shuffle, so a hot entity does not gather its rows. The share needs p90, so posts are read twice: a sketch's
+    ranks are only told of constants.
     """
     limits = posts.groupBy(entity, month).agg(F.percentile_approx(cents, 0.9, 10000).alias("p90"), F.percentile_approx(cents, 0.5, 10000).alias("median"))
     both = posts.join(limits, [entity, month])

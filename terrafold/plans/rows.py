@@ -143,8 +143,7 @@ WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '\s+'),
 SELECT doc_id, len(words) AS n_words, CASE WHEN len(words) > 0 THEN CAST(len(list_distinct(words)) AS DOUBLE) / len(words) ELSE 0.0 END AS unique_ratio,
   length(text) - length(replace(text, '!', '')) AS n_exclaim FROM t""")
 def word_stats(spark: SparkSession, sf: str) -> DataFrame:
-    t = F.col("text")
-    return table(spark, sf, "documents").select("doc_id", text.word_count(t).cast("long").alias("n_words"), text.unique_ratio(t).alias("unique_ratio"), text.exclamations(t).cast("long").alias("n_exclaim"))
+    return text.word_stats(table(spark, sf, "documents").select("doc_id", "text"), "text").drop("text")
 
 
 def _hits_sql(words: tuple[str, ...]) -> str:
