@@ -87,11 +87,14 @@ def clean_list(text: Column) -> Column:
 
 
 def clean_text(text: Column) -> Column:
-    """Free text: tags, urls, newlines and symbols as blanks; lower case; single spaces. The patterns are fixed values."""
-    t = F.regexp_replace(F.trim(text), r"<[^>]+>", " ")
-    t = F.regexp_replace(t, r"http\S+|www\.[^\s]+", " ")
-    t = F.regexp_replace(t, r"[^\p{L}\p{N}\p{P}\p{Z}]+", " ")  # newlines too
-    return F.trim(F.regexp_replace(F.lower(t), r"\s+", " "))
+    """Free text: tags, urls, newlines and symbols as blanks; lower case; single spaces. The patterns are fixed values.
+
+    Texts without a trace of a tag or url skip those passes; symbols and white space go in one.
+    """
+    t = F.trim(text)
+    t = F.when(t.contains("<"), F.regexp_replace(t, r"<[^>]+>", " ")).otherwise(t)
+    t = F.when(t.contains("http") | t.contains("www."), F.regexp_replace(t, r"http\S+|www\.[^\s]+", " ")).otherwise(t)
+    return F.trim(F.lower(F.regexp_replace(t, r"(?:[^\p{L}\p{N}\p{P}\p{Z}]|\s)++", " ")))
 
 
 def strip_handle(text: Column) -> Column:

@@ -27,7 +27,9 @@ def tidy(text: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
+    """The lower-case words between white space."""
+    t = F.btrim(F.lower(text), F.lit(" \t\n\x0b\f\r"))
+    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, r"\s+"))
 
 
 def word_count(text: Column) -> Column:
