@@ -6,13 +6,16 @@ vocabulary; their probabilities fall with their rank in it (Zipf), so the model
 is as large as the vocabulary file whatever the input. A character outside any
 word costs more than any word.
 
-A multinomial naive Bayes model is then fitted on every labelled row. Labels are not made
-of the model's tokens: a url that a rule fits has that rule's verdict, so urls that no rule
-fits are judged by how they resemble those that rules allow or block. Only where rules do not
-label both classes, a url that holds a seed word is one to block, and any other is allowed. Token
-counts of the two classes are a Spark aggregation over all rows; its result has
-at most one row for each word of the vocabulary, letter, and class of other
-tokens, so it is of bounded size and is sent to the tasks.
+A multinomial naive Bayes model is then fitted on every row. Its labels come from
+seeds, words and hosts that are known to be unwanted (or wanted): a url whose host
+holds a seed word, or lies below a seed host, is one to block, any other one is
+allowed. Each seed word is in the model as one blocked url of its own, so it counts
+before any page shows it, and what stands beside seeds in hosts and paths is learnt.
+Tokens that rules are made of say nothing of a url that no rule fits, and are left
+out: the model neither learns the rules again nor judges by top-level domain or
+language. Token counts of the two classes are a Spark aggregation over all rows; its
+result has at most one row for each word of the vocabulary, letter, and class of
+other tokens, so it is of bounded size and is sent to the tasks.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 
 from terrafold.llm.common import small_batches, vocabulary
 
-SEEDS = ("adult", "bet", "bets", "casino", "gambling", "phishing", "poker", "porn", "spam", "viagra", "xxx")
+SEEDS = ("adult", "ads", "bet", "bets", "betting", "casino", "gambling", "malware", "phishing", "pills", "poker", "porn", "spam", "viagra", "warez", "xxx")
 _PARTS = re.compile(r"[a-z]+|[0-9]+|[^\x00-\x7f]+")
 LONGEST_WORD = 24
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -96,39 +99,39 @@ def fitting_rule(host: Column, path: Column, rules: dict[str, str]) -> tuple[Col
     return (none, none) if rule is None else (rule, verdict)
 
 
-def judge_urls(pages: DataFrame, rules: dict[str, str], seeds: tuple[str, ...] = SEEDS, vocab: str | None = None, learn: Column | None = None) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: dict[str, str], seeds: tuple[str, ...] = SEEDS, vocab: str | None = None, learn: Column | None = None, seed_hosts: dict[str, str] | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict (allow or block), and score: log odds of block by the model.
 
     Every row stays, repeated rows too. A null url, or one without ://, has an empty host and path, fits no rule
-    and is judged by the model's prior alone. learn: a condition on the columns of pages that rows must
-    meet to be learnt from (none, by default). Without rows of both classes every score is 0. An empty table gives no rows. Ties (odds of 0) allow. Other columns
+    and is judged by the model's prior alone. seed_hosts name hosts with a verdict that goes before seed words, for
+    themselves and their subdomains. learn: a condition on the columns of pages, and on host, that rows must meet to
+    be learnt from (none, by default). Without seeds and blocked rows every score is 0. An empty table gives no rows. Ties (odds of 0) allow. Other columns
     are ignored; very long urls are segmented whole.
     """
     vocab = vocab or vocabulary("word_bpe_49k.json")
+    cut_rule = _cutter(vocab)
+    away = {t for r in rules for t in tokens_of(r.partition("/")[0], "/" + r.partition("/")[2], cut_rule)}
 
     @F.pandas_udf("array<string>")
     def tokens(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         cut = _cutter(vocab)
         for host, path in parts:
-            yield pd.Series([tokens_of(h, p, cut) for h, p in zip(host, path, strict=True)], dtype=object)
+            yield pd.Series([[t for t in tokens_of(h, p, cut) if t not in away] for h, p in zip(host, path, strict=True)], dtype=object)
 
     host, path = url_parts(F.col("url"))
-    rows = small_batches(pages).select(F.col("page_id").alias("page_id"), host.alias("host"), path.alias("path"), (F.lit(True) if learn is None else F.coalesce(learn, F.lit(False))).alias("learn"))
+    own = small_batches(pages).withColumns({"host": host, "path": path})
+    rows = own.select("page_id", "host", "path", (F.lit(True) if learn is None else F.coalesce(learn, F.lit(False))).alias("learn"))
     rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
-    seen = [side + s for side in ("h:", "p:") for s in seeds]
-    cut = rows.filter("learn").select(tokens("host", "path").alias("tokens"), verdict.alias("verdict"))
-    seeded = F.arrays_overlap("tokens", F.array(*map(F.lit, seen)).cast("array<string>")).cast("long")
-    judged = cut.select("tokens", (F.col("verdict") == "block").cast("long").alias("ruled"), seeded.alias("seeded"))
+    _, known = fitting_rule(F.col("host"), F.lit("/"), {f"{h}/": v for h, v in (seed_hosts or {}).items()})
+    seeded = F.arrays_overlap("tokens", F.array(*(F.lit("h:" + s) for s in seeds)).cast("array<string>"))
+    judged = rows.filter("learn").select(tokens("host", "path").alias("tokens"), known.alias("known")).select("tokens", F.coalesce(F.col("known") == "block", seeded, F.lit(False)).cast("long").alias("bad"))
     # a row for each class and one for each token of the bounded vocabulary
-    exploded = judged.select(F.explode(F.concat(F.array(F.lit("")), "tokens")).alias("token"), "ruled", "seeded")
-    sums_of = [F.sum("ruled").alias("bad"), F.count("ruled").alias("n"), F.sum("seeded").alias("seed_bad"), F.count("*").alias("all")]
-    counts = exploded.groupBy("token").agg(*sums_of).collect()
-    whole = next(((r.bad or 0, r.n) for r in counts if r.token == ""), (0, 0))
-    if 0 < whole[0] < whole[1]:
-        totals = {r.token: (r.bad, r.n - r.bad) for r in counts if r.n}
-    else:
-        totals = {r.token: (r.seed_bad, r["all"] - r.seed_bad) for r in counts}
-    bad, good = totals.pop("", (0, 0))
+    exploded = judged.select(F.explode(F.concat(F.array(F.lit("")), "tokens")).alias("token"), "bad")
+    totals = {r.token: (r.bad, r.n - r.bad) for r in exploded.groupBy("token").agg(F.sum("bad").alias("bad"), F.count("*").alias("n")).collect()}
+    for token in ("", *("h:" + s for s in seeds)):
+        bad, good = totals.get(token, (0, 0))
+        totals[token] = (bad + (1 if token else len(seeds)), good)
+    bad, good = totals.pop("")
     if not bad or not good:
         totals = {}
     prior = math.log((bad + 1) / (good + 1)) if totals else 0.0
