@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +37,16 @@ def enrich_nulls(df: DataFrame, other: DataFrame, key: str, column: str, source:
     return df.join(side, F.col(column).isNull() & (F.col(key) == F.col("_key")), "left").withColumn(column, F.coalesce(column, "_value")).drop("_key", "_value")
 
 
+def with_measure(rows: DataFrame, side: DataFrame, keys: dict[str, str], measure: str, default: float = 0) -> DataFrame:
+    """rows with a measure of another table by several keys (of rows to those of side), such as comments with their likes.
+
+    The greatest where side repeats its keys, so rows never fan out; default where it has none, or a key is NULL.
+    """
+    once = side.groupBy(*(F.col(k).alias(f"_{i}") for i, k in enumerate(keys.values()))).agg(F.max(measure).alias("_value"))
+    match = reduce(lambda a, b: a & b, (F.col(k) == F.col(f"_{i}") for i, k in enumerate(keys)))
+    return rows.join(once, match, "left").select(*rows.columns, F.coalesce("_value", F.lit(default)).alias(measure))
+
+
 def with_parents(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return child.join(parent.select(key), key, "left_semi")
 

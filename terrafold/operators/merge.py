@@ -67,6 +67,7 @@ def skip_processed(files: DataFrame, log: DataFrame, layer: str) -> DataFrame:
 
 
 def log_upsert(log: DataFrame, entries: DataFrame) -> DataFrame:
-    """The log with entries in place of those of the same checksum and layer."""
+    """The log with entries in place of those of the same checksum and layer. Of entries that share both, one counts: the least by a hash of the row."""
     keys = ["file_checksum", "layer"]
-    return log.join(entries.select(*keys), keys, "left_anti").unionByName(entries, allowMissingColumns=True)
+    once = entries.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.min_by(F.struct(*entries.columns), F.struct(F.xxhash64(*entries.columns))).alias("_row")).select("_row.*")
+    return log.join(once.select(*keys), keys, "left_anti").unionByName(once, allowMissingColumns=True)

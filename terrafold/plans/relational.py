@@ -115,6 +115,16 @@ def fallback_join_supplier(spark: SparkSession, sf: str) -> DataFrame:
     return joins.fallback_lookup(fact, dim, ("l_suppkey", "url_key"), ("name", "name_key"), "sk")
 
 
+@query("""
+WITH k AS (SELECT CASE WHEN l_orderkey % 7 = 0 THEN -l_orderkey ELSE l_orderkey END AS url, l_linenumber AS stt, max(l_suppkey) AS likes FROM lineitem WHERE l_returnflag <> 'R' GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, l_partkey, coalesce(likes, 0) AS likes FROM lineitem LEFT JOIN k ON l_orderkey = url AND l_linenumber = stt""")
+def comments_with_likes(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines as comments, with likes by post and number where there are some."""
+    l = table(spark, sf, "lineitem")
+    liked = l.filter("l_returnflag <> 'R'").select(moved("l_orderkey", 7).alias("url"), F.col("l_linenumber").alias("stt"), F.col("l_suppkey").alias("likes"))
+    return joins.with_measure(l.select("l_orderkey", "l_linenumber", "l_partkey"), liked, {"l_orderkey": "url", "l_linenumber": "stt"}, "likes")
+
+
 @query("SELECT c_custkey, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey")
 def normalised_key_join(spark: SparkSession, sf: str) -> DataFrame:
     """Keys written as '@name ' on one side and NAME on the other."""

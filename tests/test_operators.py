@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from terrafold.functions import clean, keys
 from terrafold.functions.keys import row_checksum
-from terrafold.operators import dq, features, filters, forecast, joins, merge, summaries
+from terrafold.operators import dq, features, filters, forecast, joins, merge, star, summaries
 from terrafold.sources import files
 from terrafold.sources.tables import Catalog, Tables, added_columns, ddl
 from terrafold.streaming.incremental import stream_upsert
@@ -32,7 +32,7 @@ def test_merge_null_keys_and_idempotence(spark):
 def test_log(spark):
     log = spark.createDataFrame([("s1", "silver", "success"), ("s2", "silver", "failed")], "file_checksum string, layer string, status string")
     new = spark.createDataFrame([("s2", "silver", "success"), ("s3", "gold", "success")], log.schema)
-    log = merge.log_upsert(log, new)
+    log = merge.log_upsert(log, new.unionByName(new.filter("layer = 'gold'")))
     assert log.count() == 3
     found = spark.createDataFrame([("s1",), ("s2",), ("s3",)], "file_checksum string")
     assert [r.file_checksum for r in merge.skip_processed(found, log, "silver").collect()] == ["s3"]
@@ -103,6 +103,13 @@ def test_stamps_shares_and_job_log(spark, tmp_path):
     assert {r.table_name: (r.status, r.seconds, r["rows"]) for r in tables.read("log.second").collect()} == {"t": ("success", 45, 9), "u": ("success", 1, 3)}
 
 
+def test_dimension_columns(spark):
+    at = F.lit("2025-01-01").cast("timestamp")
+    df = spark.createDataFrame([("b", 1, "old"), ("b", 2, "new"), ("a", 1, "x"), (None, 1, "y")], "k string, t int, v string")
+    got = {r.k: r for r in star.entity_dimension(df, "k", "sk", [F.col("t")], ["v"], at).collect()}
+    assert {k: (r.sk, r.v, r.is_active, r.created_at.year, r.updated_at.year) for k, r in got.items()} == {"a": (1, "x", True, 2025, 2025), "b": (2, "new", True, 2025, 2025)}
+
+
 def test_small_cleaners(spark):
     df = spark.createDataFrame([("", "Yes", 1.0, 0.0, "No. 5"), ("a", "odd", 1.0, 2.0, "5")], "t string, level string, a double, b double, p string")
     got = clean.empty_to_null(df, ["t"]).select("t", clean.in_enum(F.col("level"), ["Yes", "No"]).alias("ok"), clean.guarded_ratio(F.col("a"), F.col("b")).alias("r"), clean.strip_prefix(F.col("p"), r"No\. ").alias("p")).collect()
