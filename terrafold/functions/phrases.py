@@ -17,6 +17,7 @@ from typing import NamedTuple
 
 import ahocorasick
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Kinds of phrases; an aspect's is aspect: and its name.
@@ -39,6 +40,11 @@ _WORD = re.compile(r"\w+")
 _CUT = re.compile(r"[.,?;\n]|!+")
 
 
+def lower(text: str) -> str:
+    """Lower case, a character for a character, as SQL has it: a final sigma is one as any other."""
+    return text.replace("Σ", "σ").replace("İ", "i").lower()
+
+
 class Hit(NamedTuple):
     start: int
     end: int
@@ -50,7 +56,7 @@ class Lexicon:
     """Phrases by kind, lower-case; the automaton is built where it is first used."""
 
     def __init__(self, phrases: list[tuple[str, str]]) -> None:
-        self.phrases = sorted({(p.lower(), k) for p, k in phrases if p and k})
+        self.phrases = sorted({(lower(p), k) for p, k in phrases if p and k})
         self.aspects = sorted({k[len(ASPECT) :] for _, k in self.phrases if k.startswith(ASPECT)})
 
     @classmethod
@@ -75,6 +81,16 @@ class Lexicon:
         found.make_automaton()
         return found if kinds else None
 
+    def each(self, text: str) -> Counter:
+        """By (phrase, kind), how often each phrase occurs in text, which is lower-case, from left to right, not overlapping itself."""
+        out: Counter = Counter()
+        free: dict[str, int] = {}  # the end of a phrase's last occurrence
+        for last, (phrase, kinds) in self.automaton.iter(text) if self.automaton else ():
+            if last - len(phrase) + 1 >= free.get(phrase, 0):
+                free[phrase] = last + 1
+                out.update((phrase, kind) for kind in kinds)
+        return out
+
     def hits(self, text: str) -> list[Hit]:
         """The phrases of text, which is lower-case, in order; the longest of those that overlap, group by group.
 
@@ -130,7 +146,7 @@ def label(text: str | None, lexicon: Lexicon, window: int = WINDOW) -> dict:
     out: dict = {"label": "neutral", "confidence": UNTOLD, "aspects": ""} | {f"{a}_{side}": 0.0 for a in lexicon.aspects for side in ("pos", "neg")}
     if text is None or len(text.strip()) < SHORTEST:
         return out
-    low = _AWAY.sub(lambda m: " " * len(m[0]), text.lower())
+    low = _AWAY.sub(lambda m: " " * len(m[0]), lower(text))
     hits = turned(lexicon.hits(low), low, window)
     positive, negative = (sum(min(_told(hits, k), MOST_SIGNALS) for k in kinds) for kinds in ((POSITIVE, GLAD), (NEGATIVE, SAD)))
     positive += text.count("!") >= MARKS
@@ -180,14 +196,23 @@ def phrase_labels(df: DataFrame, column: str, lexicon: Lexicon, window: int = WI
     return df.mapInPandas(task, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema.fields)}, {', '.join(more)}")
 
 
-def phrase_hits(df: DataFrame, key: str, column: str, lexicon: Lexicon) -> DataFrame:
-    """(key, phrase, kind, n): how often each phrase of the lexicon occurs in each text, the longest of overlapping ones."""
+def phrase_hits(df: DataFrame, key: str, column: str, lexicon: Lexicon, apart: bool = False) -> DataFrame:
+    """(key, phrase, kind, n): how often each phrase of the lexicon occurs in each text, the longest of overlapping ones.
+
+    Apart, each phrase counts for itself, whatever others overlap it, as replacing it alone would; short ones need not stand alone.
+    """
     kind = df.schema[key].dataType.simpleString()
     sent = df.sparkSession.sparkContext.broadcast(lexicon)
 
-    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [(k, *h, n) for k, t in zip(batch[key], batch[column], strict=True) if t is not None for h, n in Counter((h.phrase, h.kind) for h in sent.value.hits(t.lower())).items()]
-            yield pd.DataFrame(out, columns=["key", "phrase", "kind", "n"])
-
-    return df.select(key, column).mapInPandas(task, f"key {kind}, phrase string, kind string, n long").withColumnRenamed("key", key)
+            rows, out = [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                if text is not None:
+                    found = sent.value.each(lower(text)) if apart else Counter((h.phrase, h.kind) for h in sent.value.hits(lower(text)))
+                    rows += [i] * len(found)
+                    out += [(*h, n) for h, n in found.items()]
+            phrases, kinds, n = zip(*out, strict=True) if out else ((), (), ())
+            yield pa.record_batch([batch.column(0).take(pa.array(rows, pa.int32())), pa.array(phrases, pa.string()), pa.array(kinds, pa.string()), pa.array(n, pa.int64())], ["key", "phrase", "kind", "n"])
+
+    return df.select(key, column).mapInArrow(task, f"key {kind}, phrase string, kind string, n long").withColumnRenamed("key", key)

@@ -87,6 +87,17 @@ def test_frames(spark):
     assert hits == {(1, "good"): 2, (1, "very good"): 1}
 
 
+def test_each_phrase_for_itself(spark):
+    """Phrases that overlap each other count in full, short ones within words too; keys stay whole beside a null."""
+    texts = {2**60 + 1: "Ab ab ab cd ab cd", None: "xab ΣΑΣ", 3: None, 4: ""}
+    phrases = [("ab cd", "even"), ("ab ab", "even"), ("ab", "odd"), ("b", "odd"), ("σας", "odd"), ("ΣΑΣ", "odd")]
+    df = spark.createDataFrame(list(texts.items()), "id long, t string")
+    hits = phrase_hits(df, "id", "t", Lexicon(phrases), apart=True).collect()
+    low = {i: (t or "").replace("Σ", "σ").lower() for i, t in texts.items()}
+    want = {(i, q, k, low[i].count(q)) for i in texts for p, k in phrases if (q := p.replace("Σ", "σ").lower()) in low[i]}
+    assert {tuple(r) for r in hits} == want and len(hits) == len(want) == 7
+
+
 values = st.recursive(st.none() | st.booleans() | st.integers(-(10**12), 10**12) | st.floats(allow_nan=False, allow_infinity=False, width=32) | st.text(st.characters(exclude_categories=["Cs"]), max_size=12), lambda x: st.lists(x, max_size=3) | st.dictionaries(st.text("abé'\" ", max_size=4), x, max_size=3), max_leaves=6)
 
 
