@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrafold.sources.shared import stored
+
 #: Items a sketch keeps at least; the error of a rank is about 2.3 / K ** 0.9 of all, 0.13 % here. Up to K values are exact.
 K = 4096
 
@@ -33,6 +36,47 @@ def quantiles(sketches: DataFrame, at: dict[str, float]) -> DataFrame:
     return sketches.withColumns({"n": n} | own).drop("sketch")
 
 
+def exact_by(df: DataFrame, keys: list[str], value: str, at: dict[str, float], sketches: DataFrame | None = None, where: Column | None = None) -> DataFrame:
+    """As quantiles, exact for any number of values: keys, n and a column for each quantile, the value of rank ceil(q * n), at least the first.
+
+    Sketches of the same values, by these keys, may be given. Up to K values they are exact. For more, they only say
+    where to cut a key's values: those of each piece are counted, so the piece of each rank is known for sure, and
+    in these alone equal values are counted and added up in order. A sketch that is off makes a piece larger, and the result
+    is the same; a piece has some hundredth of a key's rows, and is streamed. The cuts are written to the shared folder.
+    """
+    k = [f"_k{i}" for i in range(len(keys))]
+    x = F.col(value).cast("double")
+    x = F.when(~F.isnan(x) if where is None else where & ~F.isnan(x), x)
+    rows = df.select(*(F.col(c).alias(a) for c, a in zip(keys, k, strict=True)), x.alias("_x"))
+    own = sketched(rows, k, "_x") if sketches is None else sketches.select(*(F.col(c).alias(a) for c, a in zip(keys, k, strict=True)), "sketch")
+    n = F.kll_sketch_get_n_double("sketch")
+    few = quantiles(own, at)
+    error = 0.004  # three times a sketch's
+    edges = F.array_sort(F.array_distinct(F.array(*(F.kll_sketch_get_quantile_double("sketch", F.lit(min(max(q + e, 0.0), 1.0))) for q in at.values() for e in (-error, error)))))
+    ranks = F.array(*(F.struct(F.lit(name).alias("name"), F.greatest(F.ceil(F.round(n * F.lit(float(q)), 9)), F.lit(1)).alias("rank")) for name, q in at.items()))
+    # stored, since a sketch that is made again may cut elsewhere
+    many = stored(own.filter(n > K).select(*k, edges.alias("_edges"), ranks.alias("_ranks")))
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in k]
+
+    def meet(left: DataFrame, right: DataFrame, *more: Column, how: str = "inner") -> DataFrame:
+        on = [*same, *more]
+        return left.alias("l").join(right.alias("r"), functools.reduce(lambda a, b: a & b, on) if on else F.lit(True), how)
+
+    # a row's piece is how many edges lie below it
+    cut = meet(rows.filter("_x is not null"), many).select(*(f"l.{c}" for c in k), "_x", F.expr("size(filter(_edges, e -> e < _x))").alias("_piece"))
+    sizes = cut.groupBy(*k, "_piece").agg(F.count("*").alias("_size"))
+    before = F.coalesce(F.sum("_size").over(Window.partitionBy(*k).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    pieces = sizes.withColumn("_before", before)  # a few rows a key
+    asked = meet(pieces, many.select(*k, F.explode("_ranks").alias("_rank"))).filter("_rank.rank > _before AND _rank.rank <= _before + _size")
+    asked = asked.groupBy(*(F.col(f"l.{c}") for c in k), "_piece", "_before").agg(F.collect_list("_rank").alias("_own"))
+    equal = meet(cut, asked, F.col("l._piece") == F.col("r._piece")).groupBy(*(F.col(f"l.{c}").alias(c) for c in k), F.col("l._piece").alias("_piece"), "_x").agg(F.count("*").alias("_same"), F.first("_before").alias("_before"), F.first("_own").alias("_own"))
+    upto = F.col("_before") + F.sum("_same").over(Window.partitionBy(*k, "_piece").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0))
+    hits = equal.withColumn("_upto", upto).withColumn("_rank", F.explode("_own")).filter("_rank.rank <= _upto AND _rank.rank > _upto - _same")
+    found = hits.groupBy(*k).agg(*(F.max(F.when(F.col("_rank.name") == name, F.col("_x"))).alias(name) for name in at))
+    both = meet(few, found, how="left")
+    return both.select(*(F.col(f"l.{a}").alias(c) for c, a in zip(keys, k, strict=True)), F.col("l.n").alias("n"), *(F.when(F.col("l.n") > K, F.col(f"r.`{name}`")).otherwise(F.col(f"l.`{name}`")).alias(name) for name in at))
+
+
 class _Rank:
     """The value of one rank (from 1) of a column, between two values that are known to lie outside."""
 

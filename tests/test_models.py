@@ -119,6 +119,22 @@ def test_sketches(spark):
         assert [few[e][name] for name in at] == [own[math.ceil(q * len(own)) - 1] for q in at.values()]
 
 
+def test_exact_quantiles_by_key(spark):
+    """Keys with more values than a sketch keeps, and few, tied, no and null ones; sketches that are far off change nothing."""
+    rng = np.random.default_rng(5)
+    own = {1: rng.permutation(30_000).astype(float), 2: rng.integers(0, 3, 9000).astype(float), 3: np.array([2.0, 1.0]), None: rng.normal(size=5000), 4: np.zeros(0)}
+    rows = [(e, 1, float(v)) for e, vs in own.items() for v in vs] + [(4, 1, None), (1, 1, float("nan")), (2, 0, 7.0)]
+    df = spark.createDataFrame(rows, "e int, m int, `v` double").repartition(6)
+    at = {"least": 0.0, "p5": 0.05, "p33": 0.33, "p50": 0.5, "p99": 0.99, "most": 1.0}
+    want = {e: (len(v), *(np.sort(v)[max(math.ceil(round(q * len(v), 9)), 1) - 1] if len(v) else None for q in at.values())) for e, v in own.items()}
+    off = quantiles.sketched(df.withColumn("v", F.when(F.col("e") == 1, F.lit(0.5) + F.col("v") % 7).otherwise(F.col("v"))), ["e"], "v", where=F.col("m") == 1)
+    for sketches in (None, off):
+        got = {r.e: tuple(r)[1:] for r in quantiles.exact_by(df, ["e"], "v", at, sketches, where=F.col("m") == 1).collect()}
+        assert got == want
+    total = quantiles.exact_by(df, [], "v", {"p50": 0.5}, where=F.col("e") == 1).collect()
+    assert [tuple(r) for r in total] == [(30_000, 14_999.0)]
+
+
 @pytest.mark.parametrize("kind", ["spread", "ties", "edge", "few", "none"])
 def test_exact_quantiles(spark, kind):
     rng = np.random.default_rng(6)
