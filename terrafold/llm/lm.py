@@ -14,12 +14,14 @@ unigram model and is trained by truncated backpropagation on all training docume
 each token once: replicas, as many as these need, each go through their own part
 from common parameters, which are then averaged, block by block.
 
-Scoring. Texts of a batch go side by side; windows of steps carry their states on
-to the next window, so a document's score covers it from first word to end.
+Scoring. Texts of many batches go side by side, in lanes of one text after another;
+windows of steps carry their states on to the next window, so a document's score
+covers it from first word to end.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import zlib
 from collections.abc import Iterator
@@ -38,8 +40,10 @@ BUCKETS = 256
 #: A replica takes so many tokens, one of ROUNDS parts of them in each round.
 ROUNDS, REPLICA_TOKENS = 2, 2_000_000
 WINDOW, LANES, RATE = 24, 128, 0.3
-SCORE_WINDOW, SCORE_LANES = 64, 512
+#: A task scores so many tokens side by side: lanes are as many as go without one being longer than the longest text.
+SCORE_WINDOW, SCORE_LANES, SCORE_TOKENS = 64, 512, 4_000_000
 UNKNOWN, END = 0, 1
+SLOT_BITS = 18
 END_HASH = np.uint64(0x9D39247E33776D41)
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
@@ -57,8 +61,10 @@ def token_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     found = Words(data, offsets, lower=True)
     n = np.diff(found.first)
     first = np.concatenate([[0], np.cumsum(n + 1)])
-    out = np.full(int(first[-1]), END_HASH, np.uint64)
-    out[runs(first[:-1], n)] = found.hashes()
+    out, word = np.empty(int(first[-1]), np.uint64), np.ones(int(first[-1]), bool)
+    word[first[1:] - 1] = False
+    out[first[1:] - 1] = END_HASH
+    out[word] = found.hashes()
     return out, first
 
 
@@ -80,19 +86,44 @@ class Vocabulary:
         self.frequency[UNKNOWN] = train_tokens - counts[kept].sum()
         by_hash = np.argsort(hashes)
         self.hashes, self.counts, self.number = hashes[by_hash], counts[by_hash], number[by_hash]
+        #: where the hashes of each slot begin, by their first bits
+        self.slots = np.searchsorted(self.hashes, np.arange(1 << SLOT_BITS, dtype=np.uint64) << np.uint64(64 - SLOT_BITS)).astype(np.int32)
+        self.slots = np.append(self.slots, np.int32(len(self.hashes)))
         #: what words share that the model doesn't know: their counts, one more for each, and one for all new words
         self.unknown_mass = self.frequency[UNKNOWN] + (distinct - int(kept.sum())) + 1
 
     def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in the tables, and which hashes are there."""
-        at = np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
-        return at, self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
+        if not len(self.hashes):
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        slot = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        at = np.minimum(self.slots[slot], len(self.hashes) - 1).astype(np.int64)
+        there = self.hashes[at] == hashes
+        # slots of several: what is not the first may be a later one
+        left = np.flatnonzero(~there)
+        left = left[self.slots[slot[left] + 1] > at[left] + 1]
+        while len(left):
+            at[left] += 1
+            same = self.hashes[at[left]] == hashes[left]
+            there[left[same]] = True
+            left = left[~same]
+            left = left[self.slots[slot[left] + 1] > at[left] + 1]
+        return at, there
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         at, there = self.look_up(hashes)
         return np.where(there, self.number[at], UNKNOWN) if len(self.hashes) else np.zeros(len(hashes), np.int64)
 
 
+def _by_kind(x: np.ndarray) -> np.ndarray:
+    """The columns of z, r and new apart."""
+    return np.ascontiguousarray(x.reshape(len(x), 3, -1).transpose(1, 0, 2))
+
+
+def _in_row(x: np.ndarray) -> np.ndarray:
+    return x.transpose(1, 0, 2).reshape(x.shape[1], -1)
+
+
 class Model:
     """Parameters are views of one float32 vector. Words of a class are neighbours in rank."""
 
@@ -107,122 +138,192 @@ class Model:
         self.class_of = classes
         self.starts = np.searchsorted(classes, np.arange(classes[-1] + 2))
         c = len(self.starts) - 1
-        shapes = {"embedding": (v, h), "w": (h, 3 * h), "u": (h, 3 * h), "b": (3 * h,), "class_w": (h, c), "class_b": (c,), "word_w": (v, h), "word_b": (v,)}
+        # a bias is the last weight of its class or word
+        shapes = {"embedding": (v, h), "w": (h, 3 * h), "u": (h, 3 * h), "b": (3 * h,), "classes": (h + 1, c), "words": (v, h + 1)}
         sizes = {k: math.prod(s) for k, s in shapes.items()}
         fresh = flat is None
+        self.shapes = shapes
         self.flat = np.zeros(sum(sizes.values()), np.float32) if fresh else flat
-        at = 0
-        for name, shape in shapes.items():
-            setattr(self, name, self.flat[at : at + sizes[name]].reshape(shape))
-            at += sizes[name]
+        self._views()
         if fresh:
             rng = np.random.default_rng(7)
             for name in ("embedding", "w", "u"):
                 x = getattr(self, name)
                 x[:] = rng.normal(0, 1 / math.sqrt(h) if name != "embedding" else 0.3, x.shape)
             seen = frequency[rank] + 1
-            self.class_b[:] = np.log(np.add.reduceat(seen, self.starts[:-1]))
-            self.class_b -= self.class_b.max()
-            self.word_b[:] = np.log(seen)
-            self.word_b -= np.maximum.reduceat(self.word_b, self.starts[:-1])[classes]
+            class_b, word_b = self.classes[h], self.words[:, h]
+            class_b[:] = np.log(np.add.reduceat(seen, self.starts[:-1]))
+            class_b -= class_b.max()
+            word_b[:] = np.log(seen)
+            word_b -= np.maximum.reduceat(word_b, self.starts[:-1])[classes]
+
+    def _views(self) -> None:
+        at = 0
+        for name, shape in self.shapes.items():
+            size = math.prod(shape)
+            setattr(self, name, self.flat[at : at + size].reshape(shape))
+            at += size
 
     def blank(self) -> Model:
         out = object.__new__(Model)
         out.__dict__.update(self.__dict__)
         out.flat = np.zeros_like(self.flat)
-        at = 0
-        for name in ("embedding", "w", "u", "b", "class_w", "class_b", "word_w", "word_b"):
-            x = getattr(self, name)
-            setattr(out, name, out.flat[at : at + x.size].reshape(x.shape))
-            at += x.size
+        out._views()
         return out
 
-    def steps(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """One step from input projections x and states h: new states, and the gates for going back."""
-        n = WIDTH
-        a = h @ self.u
-        gates = 1 / (1 + np.exp(-np.clip(x[:, : 2 * n] + a[:, : 2 * n], -30, 30)))
-        z, r = gates[:, :n], gates[:, n:]
-        new = np.tanh(x[:, 2 * n :] + r * a[:, 2 * n :])
-        return new + z * (h - new), gates, new, a[:, 2 * n :]
+    def turned(self, x: np.ndarray) -> np.ndarray:
+        """x by kind of column (z, r, new), as step takes it: a gate is 1 / (1 + exp(-x)), and a new state tanh(x) = 1 - 2 / (1 + exp(2 * x))."""
+        return _by_kind(x) * np.array([-1, -1, 2], x.dtype)[:, None, None]
+
+    def step(self, x: np.ndarray, h: np.ndarray, u: np.ndarray, a: np.ndarray, out: np.ndarray) -> None:
+        """One step from input projections x and states h, by turned weights, to states out; x becomes the gates and new states, a what u makes of h (turned; a[1] is lost).
+
+        What leaves float32 is infinite, and right: its gate is 0, its new state 1.
+        """
+        np.matmul(h, u, out=a)
+        gates, new = x[:2], x[2]
+        gates += a[:2]
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        np.multiply(gates[1], a[2], out=a[1])
+        new += a[1]
+        np.exp(new, out=new)
+        new += 1
+        np.divide(-2, new, out=new)
+        new += 1
+        np.subtract(h, new, out=out)
+        out *= gates[0]
+        out += new
 
     def losses(self, h: np.ndarray, target: np.ndarray, back: Model | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """Natural log probability of each target (by rank) after its state; with back, gradients of their sum too."""
+        """Natural log probability of each target (by rank) after its state; with back, gradients of their sum too, and those of classes and words there.
+
+        Exponentials are not shifted by their row's greatest as long as a bound says that none can leave float32.
+        """
+        n, width = len(h), WIDTH
         own = self.class_of[target]
-        logits = h @ self.class_w + self.class_b
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
-        rows = np.arange(len(h))
-        out = (logits[rows, own] - np.log(total)).astype(np.float64)
-        dh = None
-        if back is not None:
-            d = -e / total[:, None]
-            d[rows, own] += 1
-            back.class_w += h.T @ d
-            back.class_b += d.sum(axis=0)
-            dh = d @ self.class_w.T
         # the rows of a class side by side, so its products read and write slices
-        order = np.argsort(own, kind="stable")
-        cuts = np.searchsorted(own[order], np.arange(len(self.starts)))
-        sorted_h, logs, picks = h[order], np.zeros(len(h)), target[order] - self.starts[own[order]]
-        sorted_dh = np.zeros_like(sorted_h) if back is not None else None
-        for c in range(len(self.starts) - 1):
-            at = slice(cuts[c], cuts[c + 1])
-            a, b = self.starts[c], self.starts[c + 1]
-            if at.start == at.stop or b - a == 1:
-                continue
-            s, pick, one = sorted_h[at], picks[at], rows[: at.stop - at.start]
-            e = s @ self.word_w[a:b].T
-            e += self.word_b[a:b]
+        order = np.argsort(own.astype(np.uint16), kind="stable")
+        own, target = own[order], target[order]
+        cuts = np.searchsorted(own, np.arange(len(self.starts))).tolist()
+        starts = self.starts.tolist()
+        s = np.empty((n, width + 1), h.dtype)
+        s[:, :width], s[:, width] = h[order], 1
+        longest = math.sqrt(float(np.einsum("ij,ij->i", s, s).max())) if n else 0.0
+        greatest = max(float(np.einsum("ij,ij->j", self.classes, self.classes).max()), float(np.einsum("ij,ij->i", self.words, self.words).max()))
+        shift = longest * math.sqrt(greatest) > 80
+        rows = np.arange(n)
+        e = s @ self.classes
+        if shift:
             e -= e.max(axis=1, keepdims=True)
-            chosen = e[one, pick]
-            np.exp(e, out=e)
-            total = e.sum(axis=1)
-            logs[at] = chosen - np.log(total)
-            if back is not None:
-                e /= -total[:, None]
-                e[one, pick] += 1
-                back.word_w[a:b] += e.T @ s
-                back.word_b[a:b] += e.sum(axis=0)
-                sorted_dh[at] = e @ self.word_w[a:b]
-        out[order] += logs
+        logs = e[rows, own].astype(np.float64)
+        np.exp(e, out=e)
+        total = e @ np.ones(e.shape[1], h.dtype)
+        logs -= np.log(total)
+        dh = None
         if back is not None:
-            dh[order] += sorted_dh
+            e[rows, own] -= total
+            scaled = s / -total[:, None]
+            np.matmul(scaled.T, e, out=back.classes)
+            dh = e @ self.classes[:width].T
+            dh /= -total[:, None]
+        # words within classes: a row of e for each target, as long as its class, one after another
+        sizes = np.diff(self.starts)
+        ends = np.cumsum(sizes[own])
+        begin = ends - sizes[own]
+        e = np.empty(int(ends[-1]) if n else 0, h.dtype)
+        parts = []
+        for c, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            a, b = starts[c], starts[c + 1]
+            if i < j:
+                x = e[begin[i] : ends[j - 1]].reshape(j - i, b - a)
+                np.matmul(s[i:j], self.words[a:b].T, out=x)
+                parts.append((i, j, a, b, x))
+            elif back is not None:
+                back.words[a:b] = 0
+        if shift:
+            e -= np.repeat(np.maximum.reduceat(e, begin), sizes[own])
+        at = begin + target - self.starts[own]
+        logs += e[at]
+        np.exp(e, out=e)
+        total = np.add.reduceat(e, begin) if n else e
+        logs -= np.log(total)
+        out = np.empty(n)
+        out[order] = logs
+        if back is not None:
+            e[at] -= total
+            scaled = s / -total[:, None]
+            word_dh = np.empty_like(dh)
+            for i, j, a, b, x in parts:
+                np.matmul(x.T, scaled[i:j], out=back.words[a:b])
+                np.matmul(x, self.words[a:b, :width], out=word_dh[i:j])
+            word_dh /= -total[:, None]
+            dh += word_dh
+            unsorted = np.empty_like(dh)
+            unsorted[order] = dh
+            dh = unsorted
         return out, dh
 
     def window(self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray, back: Model) -> tuple[float, np.ndarray]:
-        """Truncated backpropagation through one window (steps by lanes) from states h; gradients of the log likelihood go to back."""
+        """Truncated backpropagation through one window (steps by lanes) from states h; gradients of the log likelihood replace those in back, of embeddings in the rows back.touched alone."""
         t, n = len(inputs), WIDTH
-        x = self.embedding[inputs] @ self.w + self.b
-        states, kept = [h], []
-        for i in range(t):
-            h, gates, new, a = self.steps(x[i], h)
-            states.append(h)
-            kept.append((gates, new, a))
-        outs = np.array(states[1:])
-        logs, dh = self.losses(outs.reshape(-1, n), targets.ravel(), back)
-        dh = dh.reshape(outs.shape)
-        carry, dx = np.zeros_like(h), np.empty_like(x)
+        lanes, kind = len(h), h.dtype
+        entered = self.embedding[inputs.ravel()]
+        x = np.matmul(entered, self.turned(self.w))
+        x += self.turned(self.b[None])
+        x, u = x.reshape(3, t, lanes, n), self.turned(self.u)
+        states = np.empty((t + 1, lanes, n), kind)
+        states[0] = h
+        a, reset = np.empty((3, lanes, n), kind), np.empty((t, lanes, n), kind)
+        with np.errstate(over="ignore"):
+            for i in range(t):
+                self.step(x[:, i], states[i], u, a, states[i + 1])
+                reset[i] = a[2]
+        logs, dh = self.losses(states[1:].reshape(-1, n), targets.ravel(), back)
+        dh = dh.reshape(t, lanes, n)
+        z, r, new = x
+        # what a state's gradient is multiplied by on its way to z, r and, through the reset gate, the new state; without that gate to_new
+        ways, to_new, one = np.empty((3, t, lanes, n), kind), new * new, kind.type(1)
+        np.subtract(one, to_new, out=to_new)
+        not_z = one - z
+        to_new *= not_z
+        np.subtract(states[:-1], new, out=ways[0])
+        ways[0] *= z
+        ways[0] *= not_z
+        np.multiply(to_new, r, out=ways[2])
+        np.subtract(one, r, out=ways[1])
+        ways[1] *= ways[2]
+        ways[1] *= reset
+        ways[1] *= kind.type(0.5)
+        carry, parts, ut = np.zeros((lanes, n), kind), np.empty((3, lanes, n), kind), np.ascontiguousarray(_by_kind(self.u).transpose(0, 2, 1))
         for i in range(t - 1, -1, -1):
-            gates, new, a = kept[i]
-            z, r, before = gates[:, :n], gates[:, n:], states[i]
-            d = dh[i] + carry
-            d_new = d * (1 - z) * (1 - new * new)
-            d_gates = np.concatenate([d * (before - new), d_new * a], axis=1) * gates * (1 - gates)
-            dx[i] = np.concatenate([d_gates, d_new], axis=1)
-            da = np.concatenate([d_gates, d_new * r], axis=1)
-            back.u += before.T @ da
-            carry = d * z + da @ self.u.T
-        flat = dx.reshape(-1, 3 * n)
-        back.b += flat.sum(axis=0)
-        # a token's gradients are summed before they go through its embedding
-        order = np.argsort(inputs, axis=None, kind="stable")
-        words, first = np.unique(inputs.ravel()[order], return_index=True)
-        summed = np.add.reduceat(flat[order], first)
-        back.w += self.embedding[words].T @ summed
-        back.embedding[words] += summed @ self.w.T
-        return float(logs.sum()), h
+            d = dh[i]
+            d += carry
+            own = ways[:, i]
+            own *= d
+            np.matmul(own, ut, out=parts)
+            np.multiply(d, z[i], out=carry)
+            for part in parts:
+                carry += part
+        da = ways.reshape(3, -1, n)
+        back.u[:] = _in_row(np.matmul(states[:-1].reshape(-1, n).T, da))
+        np.multiply(dh, to_new, out=ways[2])
+        back.b[:] = np.matmul(np.ones(t * lanes, kind), da).ravel()
+        back.w[:] = _in_row(np.matmul(entered.T, da))
+        # gradients of a word's embedding are summed before they are added
+        flat = inputs.ravel().astype(np.uint16)
+        order = np.argsort(flat, kind="stable")
+        flat = flat[order]
+        first = np.flatnonzero(np.diff(flat, prepend=flat[0] + 1))
+        words = flat[first].astype(np.int64)
+        wt = _by_kind(self.w).transpose(0, 2, 1)
+        entering = da[0] @ wt[0]
+        for k in (1, 2):
+            entering += da[k] @ wt[k]
+        back.embedding[words] = np.add.reduceat(entering[order], first)
+        back.touched = words
+        return float(logs.sum()), states[t].copy()
 
     def train(self, tokens: np.ndarray) -> None:
         """Adagrad over a stream of token ranks, each predicted, the first from the last; read in up to LANES lanes side by side, fewer where each would have less than 96 windows."""
@@ -232,46 +333,78 @@ class Model:
         steps = -(-len(tokens) // n)
         # a lane starts with the token before its own; lanes past the stream's end begin anew
         lanes = np.take(tokens, np.arange(n) * steps + np.arange(-1, steps)[:, None], mode="wrap")
-        back, seen, step = self.blank(), np.full_like(self.flat, 1e-3), np.empty_like(self.flat)
+        # squares of gradients are of sums over the lanes, and so is what they start from
+        back, seen = self.blank(), self.blank()
+        seen.flat[:] = 1e-3 * n * n
+        rest = slice(self.embedding.size, None)
+        # in blocks that stay in a processor's cache
+        spare = np.empty(1 << 14, self.flat.dtype)
+        blocks = [(*(y.flat[rest][i : i + (1 << 14)] for y in (back, self, seen)), spare[: min(1 << 14, self.flat[rest].size - i)]) for i in range(0, self.flat[rest].size, 1 << 14)]
         h = np.zeros((n, WIDTH), np.float32)
         for at in range(0, steps, WINDOW):
             to = min(at + WINDOW, steps)
-            back.flat[:] = 0
             _, h = self.window(lanes[at:to], lanes[at + 1 : to + 1], h, back)
-            g = back.flat
-            g *= 1 / n
-            np.multiply(g, g, out=step)
-            seen += step
-            np.sqrt(seen, out=step)
-            g *= RATE
-            g /= step
-            self.flat += g
+            for g, own, squares, step in blocks:
+                np.multiply(g, g, out=step)
+                squares += step
+                np.sqrt(squares, out=step)
+                g *= RATE
+                g /= step
+                own += g
+            # embeddings of words that the window has not stay as they are
+            words = back.touched
+            d = back.embedding[words]
+            total = seen.embedding[words] + d * d
+            seen.embedding[words] = total
+            self.embedding[words] += RATE * d / np.sqrt(total)
 
     def score(self, tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
         """log10 probability of each text, given by the ranks of its tokens."""
-        n = np.diff(first)
+        n, width = np.diff(first), WIDTH
         out = np.zeros(len(n))
-        projected = (self.embedding @ self.w + self.b).astype(np.float32)
-        order = np.argsort(-n, kind="stable")
-        end = self.rank[END]
-        for group in range(0, len(order), SCORE_LANES):
-            docs = order[group : group + SCORE_LANES]
-            length, begin = n[docs], first[docs]
-            h = np.zeros((len(docs), WIDTH), np.float32)
-            before = np.full(len(docs), end)
-            for at in range(0, int(length[0]) if len(length) else 0, SCORE_WINDOW):
-                states, targets, lanes = [], [], []
-                for i in range(at, min(at + SCORE_WINDOW, int(length[0]))):
-                    live = int(np.searchsorted(-length, -i, "left"))
-                    if live < len(h):
-                        h, before = h[:live], before[:live]
-                    h, *_ = self.steps(projected[before], h)
-                    before = tokens[begin[:live] + i]
-                    states.append(h)
-                    targets.append(before)
-                    lanes.append(live)
-                logs, _ = self.losses(np.concatenate(states), np.concatenate(targets))
-                np.add.at(out, docs[runs(np.zeros(len(lanes), np.int64), np.array(lanes))], logs)
+        if not len(tokens):
+            return out
+        # texts go one after another in lanes of about the same length, of which no lane is longer than it must be
+        lanes = int(min(SCORE_LANES, -(-len(tokens) // int(n.max()))))
+        queues: list[list[int]] = [[] for _ in range(lanes)]
+        loads = [(0, lane) for lane in range(lanes)]
+        for text in np.argsort(-n, kind="stable").tolist():
+            load, lane = loads[0]
+            queues[lane].append(text)
+            heapq.heapreplace(loads, (load + int(n[text]), lane))
+        loads = sorted(loads, reverse=True)
+        load = np.array([x for x, _ in loads])
+        texts_ = np.concatenate([np.array(queues[lane], np.int64) for _, lane in loads])
+        place, text = runs(first[texts_], n[texts_]), np.repeat(texts_, n[texts_])
+        tokens = tokens[place]
+        new = np.ones(len(text), bool)
+        new[1:] = text[1:] != text[:-1]
+        before = np.append(self.rank[END], tokens[:-1])
+        before[new] = self.rank[END]
+        begin = np.cumsum(load) - load
+        projected, u = self.turned(self.embedding @ self.w + self.b), self.turned(self.u)
+        h = np.zeros((lanes, width), np.float32)
+        for at in range(0, int(load[0]), SCORE_WINDOW):
+            live = int(np.searchsorted(-load, -at, "left"))
+            t = min(SCORE_WINDOW, int(load[0]) - at)
+            steps = at + np.arange(t)[:, None]
+            inside = steps < load[:live]
+            own = begin[:live] + np.minimum(steps, load[:live] - 1)
+            starts = new[own]
+            some = starts.any(axis=1).tolist()
+            x = np.take(projected, before[own], axis=1)
+            a = np.empty((3, live, width), np.float32)
+            states = np.empty((t + 1, live, width), np.float32)
+            states[0] = h[:live]
+            with np.errstate(over="ignore"):
+                for i in range(t):
+                    # a new text starts from nothing; the state before it stays, as its own text's
+                    h = states[i] * ~starts[i][:, None] if some[i] else states[i]
+                    self.step(x[:, i], h, u, a, states[i + 1])
+            h = states[t]
+            own = own[inside]
+            logs, _ = self.losses(states[1:][inside], tokens[own])
+            out += np.bincount(text[own], logs, len(n))
         return out / math.log(10)
 
 
@@ -280,9 +413,13 @@ def count_words(rows: DataFrame) -> Vocabulary:
     buckets, top = BUCKETS, 4 * FREQUENT // BUCKETS
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, held = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush() -> pa.RecordBatch:
+            hashes, n = (np.concatenate(c) for c in zip(*held, strict=True))
+            held.clear()
+            keys, back = np.unique(hashes, return_inverse=True)
+            counts = np.bincount(back, n, len(keys)).astype(np.int64)
             bucket = (keys >> np.uint64(32)).astype(np.int64) * buckets >> 32
             cuts = np.searchsorted(bucket, np.arange(buckets + 1))
             full = np.flatnonzero(np.diff(cuts)).tolist()
@@ -292,14 +429,10 @@ def count_words(rows: DataFrame) -> Vocabulary:
         for batch, data, offsets in slices(batches):
             hashes, first = token_hashes(data, offsets)
             train = _folds(batch.column("doc_id")) % 7 != 2
-            new, n = np.unique(hashes[np.repeat(train, np.diff(first))], return_counts=True)
-            both = np.concatenate([keys, new])
-            keys, back = np.unique(both, return_inverse=True)
-            counts = np.bincount(back, np.concatenate([counts, n]), len(keys)).astype(np.int64)
-            if len(keys) > 1_000_000:
+            held.append(np.unique(hashes[np.repeat(train, np.diff(first))], return_counts=True))
+            if sum(len(h) for h, _ in held) > 2_000_000:
                 yield flush()
-                keys, counts = keys[:0], counts[:0]
-        if len(keys):
+        if held:
             yield flush()
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -406,6 +539,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """What a document's frequent words and the model say of it; occurrences of other words, by hash."""
         part, at_row, held = TaskContext.get().partitionId(), 0, []
+        waiting: list[tuple] = []  # batches whose texts are not scored yet
+        n_waiting = 0
         vocab, model = words.value, Model(words.value.frequency, flat.value)
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -417,6 +552,14 @@ def score_documents(docs: DataFrame) -> DataFrame:
             for own in np.split(np.arange(len(h)), np.flatnonzero(np.diff(bucket)) + 1) if len(h) else ():
                 yield row(int(bucket[own[0]]), part, True, h[own].tobytes(), doc[own].astype(np.int32).tobytes(), n[own].astype(np.int32).tobytes())
 
+        def scored() -> Iterator[pa.RecordBatch]:
+            ranks, first = np.concatenate([w[2] for w in waiting]), np.concatenate([[0], np.cumsum(np.concatenate([w[1]["n"] for w in waiting]))])
+            scores = np.split(model.score(ranks, first), np.cumsum([len(w[1]) for w in waiting])[:-1])
+            for (begin, out, _), score in zip(waiting, scores, strict=True):
+                out["score"] += score
+                yield row(-1 - (part + begin) % buckets, part, False, out.tobytes(), np.arange(begin, begin + len(out), dtype=np.int32).tobytes(), b"")
+            waiting.clear()
+
         for batch, data, offsets in slices(batches, most=8 << 20):
             hashes, first = token_hashes(data, offsets)
             docs_here = batch.num_rows
@@ -436,8 +579,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
             out["base"] = np.bincount(owner, own, docs_here)
             unknown = number == UNKNOWN
             out["unknown"] = np.bincount(owner, unknown, docs_here).astype(np.int64)
-            out["score"] = model.score(model.rank[number], first) + np.bincount(owner, own * unknown, docs_here)
-            yield row(-1 - (part + at_row) % buckets, part, False, out.tobytes(), np.arange(at_row, at_row + docs_here, dtype=np.int32).tobytes(), b"")
+            out["score"] = np.bincount(owner, own * unknown, docs_here)
+            waiting.append((at_row, out, model.rank[number].astype(np.uint16)))
+            n_waiting += len(number)
             rare = np.flatnonzero(~there)
             doc = owner[rare]
             order = np.lexsort((hashes[rare], doc))
@@ -452,6 +596,11 @@ def score_documents(docs: DataFrame) -> DataFrame:
             at_row += docs_here
             if sum(len(x[0]) for x in held) > 1_000_000:
                 yield from flush()
+            if n_waiting > SCORE_TOKENS:
+                yield from scored()
+                n_waiting = 0
+        if waiting:
+            yield from scored()
         if held:
             yield from flush()
 

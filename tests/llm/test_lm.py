@@ -88,6 +88,44 @@ def test_repeated_and_null_ids(spark):
     assert sorted((r.doc_id or 0, r.n_tokens, r.train_tokens) for r in got) == [(0, 1, 9), (0, 2, 9), (3, 3, 9), (3, 3, 9)]
 
 
+def test_words_are_found_by_slots():
+    """Hashes that share a slot, the first and last ones, and those that are not there; also in an empty vocabulary."""
+    rng = np.random.default_rng(3)
+    hashes = np.unique(np.concatenate([rng.integers(0, 2**64, 3000, np.uint64), np.arange(5, 25, 2, dtype=np.uint64), 2**64 - 1 - np.arange(0, 20, 2, dtype=np.uint64)]))
+    vocabulary = lm.Vocabulary(hashes, np.arange(len(hashes)) + 1, 10**9, len(hashes))
+    asked = np.concatenate([hashes, hashes + np.uint64(1), hashes - np.uint64(1), np.arange(40, dtype=np.uint64)])
+    at, there = vocabulary.look_up(asked)
+    assert (there == np.isin(asked, hashes)).all() and (vocabulary.hashes[at[there]] == asked[there]).all()
+    none = lm.Vocabulary(hashes[:0], np.zeros(0, np.int64), 0, 0)
+    assert not none.look_up(asked)[1].any() and (none.numbers(asked) == lm.UNKNOWN).all()
+
+
+def test_texts_in_few_lanes_score_as_alone(monkeypatch):
+    """Texts that follow each other in a lane start from nothing, whatever their lengths."""
+    rng = np.random.default_rng(4)
+    model = lm.Model(rng.integers(1, 50, 300).astype(float))
+    model.flat += rng.normal(0, 0.5, len(model.flat)).astype(np.float32)
+    n = np.array([1, 400, 1, 3, 64, 65, 63, 200, 128, 1, 7])
+    first = np.concatenate([[0], np.cumsum(n)])
+    tokens = rng.integers(0, 300, first[-1])
+    alone = [model.score(tokens[a:b], np.array([0, b - a]))[0] for a, b in zip(first, first[1:], strict=False)]
+    for lanes in (1, 2, 512):
+        monkeypatch.setattr(lm, "SCORE_LANES", lanes)
+        assert np.allclose(model.score(tokens, first), alone, rtol=1e-4)
+        assert max(len(h) for h in _state_rows(model, tokens, first, monkeypatch)) <= lm.SCORE_WINDOW * max(1, -(-len(tokens) // 400))
+
+
+def _state_rows(model, tokens, first, monkeypatch):
+    got, losses = [], lm.Model.losses
+    with monkeypatch.context() as m:
+        m.setattr(lm.Model, "losses", lambda self, h, t, back=None: (got.append(h), losses(self, h, t, back))[1])
+        model.score(tokens, first)
+    # every step but those at the ends of lanes has all lanes: short texts do not stand beside a long one with idle lanes
+    lanes = min(lm.SCORE_LANES, -(-len(tokens) // 400))
+    assert sum(len(h) for h in got) == len(tokens) and len(got) <= -(-(len(tokens) // lanes + 400) // lm.SCORE_WINDOW)
+    return got
+
+
 def test_all_training_documents_train(spark, monkeypatch):
     """Every training token reaches a replica once, also of a few documents; a phrase of one document is learned."""
     window = lm.Model.window
