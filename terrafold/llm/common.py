@@ -113,13 +113,14 @@ def windows(values: np.ndarray, k: int, base: int = _Q) -> np.ndarray:
 
 def least_places(values: np.ndarray, span: int) -> np.ndarray:
     """Where the least of span values from each place on is, the last of equals."""
-    value, place, width = values, np.arange(len(values)), 1
+    small = np.uint8 if span <= 256 else np.int64
+    value, ahead, width = values, np.zeros(len(values), small), 1
     while width < span:
         step = min(width, span - width)
         later = value[step:] <= value[:-step]
-        value, place = np.where(later, value[step:], value[:-step]), np.where(later, place[step:], place[:-step])
+        value, ahead = np.minimum(value[step:], value[:-step]), np.where(later, ahead[step:] + small(step), ahead[:-step])
         width += step
-    return place
+    return np.arange(len(ahead)) + ahead
 
 
 class Words:

@@ -73,11 +73,12 @@ class Anchors:
         self.gram = h[self.at] if len(one) else np.zeros(0, np.uint64)
 
 
-def fingerprints(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def fingerprints(data: np.ndarray, *strings: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+    """Of each array of strings, given by their starts and ends."""
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * powers(_P, len(data)), out=total[1:])
     down = powers(pow(_P, -1, 2**64), len(data) + 1)
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return [mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64)) for starts, ends in strings]
 
 
 def _then(x: np.ndarray, same: np.ndarray, by: int) -> np.ndarray:
@@ -221,8 +222,9 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100, width: int = WIDTH
             idx = np.arange(len(i)) - np.flatnonzero(new)[run]
             follows = np.append(~new[1:], False)
             end = np.where(follows, np.append(at[1:], 0), high + length)
-            name = fingerprints(data, at, end).view(np.int64)
-            left = mix(fingerprints(data, low, at) + ((at - low) * 1000 + at - high).astype(np.uint64)).view(np.int64)
+            name, left = fingerprints(data, (at, end), (low, at))
+            name = name.view(np.int64)
+            left = mix(left + ((at - low) * 1000 + at - high).astype(np.uint64)).view(np.int64)
             # nine phrases, or the rest of the run, reach the end of the last string
             reach = np.zeros(len(i), np.int64)
             for k in range(9):

@@ -5,7 +5,7 @@ import hashlib
 import numpy as np
 import pytest
 
-from terrafold.llm import suffix
+from terrafold.llm import common, suffix
 
 
 def brute(texts, length):
@@ -75,3 +75,17 @@ def test_crowded_grams(spark, monkeypatch, seed):
     got = {r.doc_id: tuple(r)[1:] for r in suffix.digests(suffix.remove_repeated_bytes(df, 20, 22)).collect()}
     assert got == brute(texts, 20)
     assert crowds and crowds[0].count()
+
+
+@pytest.mark.parametrize("span", [1, 2, 50, 255, 256, 257, 300])
+def test_least_places(span):
+    """The last of the least values, by a plain search, for spans of small and of large offsets; in a byte for each place up to 256."""
+    values = np.random.default_rng(span).integers(0, 60, 1000).astype(np.uint64)
+    plain = [i + span - 1 - int(np.argmin(values[i : i + span][::-1])) for i in range(len(values) - span + 1)]
+    assert common.least_places(values, span).tolist() == plain
+
+
+def test_fingerprints_of_several_arrays():
+    data = np.frombuffer(b"abcabcab", np.uint8)
+    a, b = suffix.fingerprints(data, (np.array([0, 1]), np.array([3, 4])), (np.array([3, 3]), np.array([6, 3])))
+    assert a[0] == b[0] and len({*a.tolist(), *b.tolist()}) == 3
