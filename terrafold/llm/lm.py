@@ -120,8 +120,9 @@ def _by_kind(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x.reshape(len(x), 3, -1).transpose(1, 0, 2))
 
 
-def _in_row(x: np.ndarray) -> np.ndarray:
-    return x.transpose(1, 0, 2).reshape(x.shape[1], -1)
+def _leaves(x: np.ndarray) -> bool:
+    """Whether exponentials of x, or sums of them, may leave float32."""
+    return bool(x.size) and not (x.max() <= 80 and x.min() >= -80)
 
 
 class Model:
@@ -139,7 +140,7 @@ class Model:
         self.starts = np.searchsorted(classes, np.arange(classes[-1] + 2))
         c = len(self.starts) - 1
         # a bias is the last weight of its class or word
-        shapes = {"embedding": (v, h), "w": (h, 3 * h), "u": (h, 3 * h), "b": (3 * h,), "classes": (h + 1, c), "words": (v, h + 1)}
+        shapes = {"embedding": (v, h), "w": (h, 3 * h), "u": (h, 3 * h), "b": (3 * h,), "classes": (h + 1, c), "words": (v * (h + 1),)}
         sizes = {k: math.prod(s) for k, s in shapes.items()}
         fresh = flat is None
         self.shapes = shapes
@@ -151,11 +152,12 @@ class Model:
                 x = getattr(self, name)
                 x[:] = rng.normal(0, 1 / math.sqrt(h) if name != "embedding" else 0.3, x.shape)
             seen = frequency[rank] + 1
-            class_b, word_b = self.classes[h], self.words[:, h]
+            class_b, word_b = self.classes[h], np.log(seen)
             class_b[:] = np.log(np.add.reduceat(seen, self.starts[:-1]))
             class_b -= class_b.max()
-            word_b[:] = np.log(seen)
             word_b -= np.maximum.reduceat(word_b, self.starts[:-1])[classes]
+            for block, own in zip(self.of_class, np.split(word_b, self.starts[1:-1]), strict=True):
+                block[h] = own
 
     def _views(self) -> None:
         at = 0
@@ -163,6 +165,9 @@ class Model:
             size = math.prod(shape)
             setattr(self, name, self.flat[at : at + size].reshape(shape))
             at += size
+        #: the words of each class, a column each
+        rows, starts = WIDTH + 1, self.starts.tolist()
+        self.of_class = [self.words[rows * a : rows * b].reshape(rows, b - a) for a, b in zip(starts, starts[1:], strict=False)]
 
     def blank(self) -> Model:
         out = object.__new__(Model)
@@ -172,50 +177,38 @@ class Model:
         return out
 
     def turned(self, x: np.ndarray) -> np.ndarray:
-        """x by kind of column (z, r, new), as step takes it: a gate is 1 / (1 + exp(-x)), and a new state tanh(x) = 1 - 2 / (1 + exp(2 * x))."""
-        return _by_kind(x) * np.array([-1, -1, 2], x.dtype)[:, None, None]
+        """x by kind of column (z, r, new), as step takes it: a gate is (1 + tanh(x / 2)) / 2, and a new state tanh(x)."""
+        return _by_kind(x) * np.array([0.5, 0.5, 1], x.dtype)[:, None, None]
 
     def step(self, x: np.ndarray, h: np.ndarray, u: np.ndarray, a: np.ndarray, out: np.ndarray) -> None:
-        """One step from input projections x and states h, by turned weights, to states out; x becomes the gates and new states, a what u makes of h (turned; a[1] is lost).
-
-        What leaves float32 is infinite, and right: its gate is 0, its new state 1.
-        """
+        """One step from input projections x and states h, by turned weights, to states out; x becomes the gates and new states, a what u makes of h (turned; a[1] is lost)."""
         np.matmul(h, u, out=a)
         gates, new = x[:2], x[2]
         gates += a[:2]
-        np.exp(gates, out=gates)
-        gates += 1
-        np.reciprocal(gates, out=gates)
+        np.tanh(gates, out=gates)
+        gates *= 0.5
+        gates += 0.5
         np.multiply(gates[1], a[2], out=a[1])
         new += a[1]
-        np.exp(new, out=new)
-        new += 1
-        np.divide(-2, new, out=new)
-        new += 1
+        np.tanh(new, out=new)
         np.subtract(h, new, out=out)
         out *= gates[0]
         out += new
 
     def losses(self, h: np.ndarray, target: np.ndarray, back: Model | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """Natural log probability of each target (by rank) after its state; with back, gradients of their sum too, and those of classes and words there.
-
-        Exponentials are not shifted by their row's greatest as long as a bound says that none can leave float32.
-        """
+        """Natural log probability of each target (by rank) after its state; with back, gradients of their sum too, and those of classes and words there."""
         n, width = len(h), WIDTH
-        own = self.class_of[target]
+        own = self.class_of.take(target)
         # the rows of a class side by side, so its products read and write slices
         order = np.argsort(own.astype(np.uint16), kind="stable")
-        own, target = own[order], target[order]
+        own, target = own.take(order), target.take(order)
         cuts = np.searchsorted(own, np.arange(len(self.starts))).tolist()
         starts = self.starts.tolist()
         s = np.empty((n, width + 1), h.dtype)
-        s[:, :width], s[:, width] = h[order], 1
-        longest = math.sqrt(float(np.einsum("ij,ij->i", s, s).max())) if n else 0.0
-        greatest = max(float(np.einsum("ij,ij->j", self.classes, self.classes).max()), float(np.einsum("ij,ij->i", self.words, self.words).max()))
-        shift = longest * math.sqrt(greatest) > 80
+        s[:, :width], s[:, width] = h.take(order, axis=0), 1
         rows = np.arange(n)
         e = s @ self.classes
-        if shift:
+        if _leaves(e):
             e -= e.max(axis=1, keepdims=True)
         logs = e[rows, own].astype(np.float64)
         np.exp(e, out=e)
@@ -229,21 +222,25 @@ class Model:
             dh = e @ self.classes[:width].T
             dh /= -total[:, None]
         # words within classes: a row of e for each target, as long as its class, one after another
-        sizes = np.diff(self.starts)
-        ends = np.cumsum(sizes[own])
-        begin = ends - sizes[own]
-        e = np.empty(int(ends[-1]) if n else 0, h.dtype)
+        sizes = np.diff(self.starts)[own]
+        ends = np.cumsum(sizes)
+        begin = ends - sizes
+        e = np.empty(int(sizes.sum()), h.dtype)
         parts = []
         for c, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)):
-            a, b = starts[c], starts[c + 1]
+            size = starts[c + 1] - starts[c]
+            if i < j and size > 1:
+                x = e[begin[i] : ends[j - 1]].reshape(j - i, size)
+                np.matmul(s[i:j], self.of_class[c], out=x)
+                parts.append((i, j, c, x))
+                continue
+            # no target, or the one word of a class, which is certain
             if i < j:
-                x = e[begin[i] : ends[j - 1]].reshape(j - i, b - a)
-                np.matmul(s[i:j], self.words[a:b].T, out=x)
-                parts.append((i, j, a, b, x))
-            elif back is not None:
-                back.words[a:b] = 0
-        if shift:
-            e -= np.repeat(np.maximum.reduceat(e, begin), sizes[own])
+                e[begin[i] : ends[j - 1]] = 0
+            if back is not None:
+                back.of_class[c][:] = 0
+        if _leaves(e):
+            e -= np.repeat(np.maximum.reduceat(e, begin), sizes)
         at = begin + target - self.starts[own]
         logs += e[at]
         np.exp(e, out=e)
@@ -254,74 +251,72 @@ class Model:
         if back is not None:
             e[at] -= total
             scaled = s / -total[:, None]
-            word_dh = np.empty_like(dh)
-            for i, j, a, b, x in parts:
-                np.matmul(x.T, scaled[i:j], out=back.words[a:b])
-                np.matmul(x, self.words[a:b, :width], out=word_dh[i:j])
+            word_dh = np.zeros_like(dh)
+            for i, j, c, x in parts:
+                np.matmul(scaled[i:j].T, x, out=back.of_class[c])
+                np.matmul(x, self.of_class[c][:width].T, out=word_dh[i:j])
             word_dh /= -total[:, None]
             dh += word_dh
-            unsorted = np.empty_like(dh)
-            unsorted[order] = dh
-            dh = unsorted
+            back_to = np.empty_like(order)
+            back_to[order] = rows
+            dh = dh.take(back_to, axis=0)
         return out, dh
 
     def window(self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray, back: Model) -> tuple[float, np.ndarray]:
         """Truncated backpropagation through one window (steps by lanes) from states h; gradients of the log likelihood replace those in back, of embeddings in the rows back.touched alone."""
         t, n = len(inputs), WIDTH
         lanes, kind = len(h), h.dtype
-        entered = self.embedding[inputs.ravel()]
-        x = np.matmul(entered, self.turned(self.w))
+        # inputs by word: what is the same for a word is done once
+        flat = inputs.ravel().astype(np.uint16)
+        order = np.argsort(flat, kind="stable")
+        flat = flat.take(order)
+        new_word = np.empty(len(flat), bool)
+        new_word[0], new_word[1:] = True, flat[1:] != flat[:-1]
+        first = np.flatnonzero(new_word)
+        words = flat[first].astype(np.int64)
+        which = np.empty(len(flat), np.int64)
+        which[order] = np.cumsum(new_word) - 1
+        own = self.embedding.take(words, axis=0)
+        x = np.matmul(own, self.turned(self.w))
         x += self.turned(self.b[None])
-        x, u = x.reshape(3, t, lanes, n), self.turned(self.u)
+        x, u = x.take(which, axis=1).reshape(3, t, lanes, n), self.turned(self.u)
         states = np.empty((t + 1, lanes, n), kind)
         states[0] = h
-        a, reset = np.empty((3, lanes, n), kind), np.empty((t, lanes, n), kind)
-        with np.errstate(over="ignore"):
-            for i in range(t):
-                self.step(x[:, i], states[i], u, a, states[i + 1])
-                reset[i] = a[2]
+        made = np.empty((t, 3, lanes, n), kind)
+        for i in range(t):
+            self.step(x[:, i], states[i], u, made[i], states[i + 1])
         logs, dh = self.losses(states[1:].reshape(-1, n), targets.ravel(), back)
         dh = dh.reshape(t, lanes, n)
         z, r, new = x
         # what a state's gradient is multiplied by on its way to z, r and, through the reset gate, the new state; without that gate to_new
-        ways, to_new, one = np.empty((3, t, lanes, n), kind), new * new, kind.type(1)
+        ways, to_new, one = np.empty((t, lanes, 3, n), kind), new * new, kind.type(1)
         np.subtract(one, to_new, out=to_new)
         not_z = one - z
         to_new *= not_z
-        np.subtract(states[:-1], new, out=ways[0])
-        ways[0] *= z
-        ways[0] *= not_z
-        np.multiply(to_new, r, out=ways[2])
-        np.subtract(one, r, out=ways[1])
-        ways[1] *= ways[2]
-        ways[1] *= reset
-        ways[1] *= kind.type(0.5)
-        carry, parts, ut = np.zeros((lanes, n), kind), np.empty((3, lanes, n), kind), np.ascontiguousarray(_by_kind(self.u).transpose(0, 2, 1))
+        way = states[:-1] - new
+        way *= z
+        np.multiply(way, not_z, out=ways[:, :, 0])
+        np.multiply(to_new, r, out=way)
+        ways[:, :, 2] = way
+        np.subtract(one, r, out=not_z)
+        way *= not_z
+        np.multiply(way, made[:, 2], out=ways[:, :, 1])
+        carry, gone, ut = np.zeros((lanes, n), kind), np.empty((lanes, n), kind), np.ascontiguousarray(self.u.T)
         for i in range(t - 1, -1, -1):
             d = dh[i]
             d += carry
-            own = ways[:, i]
-            own *= d
-            np.matmul(own, ut, out=parts)
+            ways[i] *= d[:, None]
+            np.matmul(ways[i].reshape(lanes, 3 * n), ut, out=gone)
             np.multiply(d, z[i], out=carry)
-            for part in parts:
-                carry += part
-        da = ways.reshape(3, -1, n)
-        back.u[:] = _in_row(np.matmul(states[:-1].reshape(-1, n).T, da))
-        np.multiply(dh, to_new, out=ways[2])
-        back.b[:] = np.matmul(np.ones(t * lanes, kind), da).ravel()
-        back.w[:] = _in_row(np.matmul(entered.T, da))
+            carry += gone
+        da = ways.reshape(-1, 3 * n)
+        np.matmul(states[:-1].reshape(-1, n).T, da, out=back.u)
+        np.multiply(dh, to_new, out=ways[:, :, 2])
+        np.matmul(np.ones(t * lanes, kind), da, out=back.b)
+        np.matmul(own.take(which, axis=0).T, da, out=back.w)
         # gradients of a word's embedding are summed before they are added
-        flat = inputs.ravel().astype(np.uint16)
-        order = np.argsort(flat, kind="stable")
-        flat = flat[order]
-        first = np.flatnonzero(np.diff(flat, prepend=flat[0] + 1))
-        words = flat[first].astype(np.int64)
-        wt = _by_kind(self.w).transpose(0, 2, 1)
-        entering = da[0] @ wt[0]
-        for k in (1, 2):
-            entering += da[k] @ wt[k]
-        back.embedding[words] = np.add.reduceat(entering[order], first)
+        entering = da @ self.w.T
+        back.embedding[words] = np.add.reduceat(entering.take(order, axis=0), first)
         back.touched = words
         return float(logs.sum()), states[t].copy()
 
@@ -396,14 +391,16 @@ class Model:
             a = np.empty((3, live, width), np.float32)
             states = np.empty((t + 1, live, width), np.float32)
             states[0] = h[:live]
-            with np.errstate(over="ignore"):
-                for i in range(t):
-                    # a new text starts from nothing; the state before it stays, as its own text's
-                    h = states[i] * ~starts[i][:, None] if some[i] else states[i]
-                    self.step(x[:, i], h, u, a, states[i + 1])
+            for i in range(t):
+                # a new text starts from nothing; the state before it stays, as its own text's
+                h = states[i] * ~starts[i][:, None] if some[i] else states[i]
+                self.step(x[:, i], h, u, a, states[i + 1])
             h = states[t]
-            own = own[inside]
-            logs, _ = self.losses(states[1:][inside], tokens[own])
+            passed = states[1:].reshape(-1, width)
+            if not inside.all():
+                own, passed = own[inside], passed[inside.ravel()]
+            own = own.ravel()
+            logs, _ = self.losses(passed, tokens[own])
             out += np.bincount(text[own], logs, len(n))
         return out / math.log(10)
 

@@ -142,3 +142,27 @@ def test_all_training_documents_train(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "one two three four five six seven eight") for i in range(8)], "doc_id long, text string")
     vocabulary = lm.count_words(docs)
     assert (lm.fit(docs, vocabulary).flat != lm.Model(vocabulary.frequency).flat).any()
+
+
+def test_great_numbers_and_classes_of_one_word(small):
+    """A step from numbers of any size stays within float32; words of a class are one block; the one word of a class is certain and has no gradient."""
+    rng = np.random.default_rng(5)
+    model = lm.Model(np.array([9.0, 5, 7, 3, 2, 2, 1, 1]))
+    assert np.diff(model.starts)[0] == 1 and all(block.flags.c_contiguous and np.shares_memory(block, model.flat) for block in model.of_class)
+    model.flat += rng.normal(0, 0.3, len(model.flat)).astype(np.float32)
+    h, out = np.zeros((2, 4), np.float32), np.empty((2, 4), np.float32)
+    with np.errstate(all="raise"):
+        model.step(np.full((3, 2, 4), 1000, np.float32), h, model.turned(model.u), np.empty((3, 2, 4), np.float32), out)
+    assert np.isfinite(out).all()
+    # the same by plain softmaxes, from states of usual size and of a hundred times that
+    for scale in (1, 100):
+        states, target, back = (scale * rng.normal(0, 1, (40, 4))).astype(np.float32), rng.integers(0, 8, 40), model.blank()
+        s = np.append(states, np.ones((40, 1)), axis=1).astype(np.float64)
+        want = []
+        for row, t in zip(s, target, strict=True):
+            c = model.class_of[t]
+            logs = [x - np.log(np.exp(x - x.max()).sum()) - x.max() for x in (row @ model.classes, row @ model.of_class[c])]
+            want.append(logs[0][c] + logs[1][t - model.starts[c]])
+        assert np.allclose(model.losses(states, target)[0], want, rtol=1e-4, atol=1e-4)
+        assert np.allclose(model.losses(states, target, back)[0], want, rtol=1e-4, atol=1e-4)
+        assert (back.of_class[0] == 0).all() and np.isfinite(back.flat).all()
