@@ -113,14 +113,22 @@ def windows(values: np.ndarray, k: int, base: int = _Q) -> np.ndarray:
 
 def least_places(values: np.ndarray, span: int) -> np.ndarray:
     """Where the least of span values from each place on is, the last of equals."""
-    small = np.uint8 if span <= 256 else np.int64
-    value, ahead, width = values, np.zeros(len(values), small), 1
-    while width < span:
+    n, least, width = max(0, len(values) - span + 1), values, 1
+    while width < span and n:
         step = min(width, span - width)
-        later = value[step:] <= value[:-step]
-        value, ahead = np.minimum(value[step:], value[:-step]), np.where(later, ahead[step:] + small(step), ahead[:-step])
+        least = np.minimum(least[step:], least[:-step])
         width += step
-    return np.arange(len(ahead)) + ahead
+    if not n:
+        return np.zeros(0, np.int64)
+    # a place stays until its value is left behind or one as small enters; what is left behind with no equal after it is followed by a greater
+    entered, moves = values[span - 1 :] == least, np.ones(n, bool)
+    np.greater(least[1:], least[:-1], out=moves[1:])
+    moves |= entered
+    at = np.flatnonzero(moves)
+    place = at + (span - 1)
+    search = np.flatnonzero(~entered.take(at))
+    place[search] -= np.lib.stride_tricks.sliding_window_view(values, span)[at[search], ::-1].argmin(axis=1)
+    return np.repeat(place, np.diff(at, append=n))
 
 
 class Words:

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from terrafold.llm.common import mix, slices
+from terrafold.llm.common import SLICE_BYTES, mix, slices
 
 WIDTH_BITS, BLOCK_BITS = 27, 17
 #: Hashes that a task sketches at once.
@@ -41,8 +41,8 @@ def _offsets(raw: bytes) -> np.ndarray:
     return np.cumsum(d, dtype=np.int64)[d != 255]
 
 
-def sketch(docs: DataFrame, hashes_of: Callable[[pa.RecordBatch, np.ndarray, np.ndarray], np.ndarray], width: int = WIDTH_BITS, depth: int = 2) -> np.ndarray:
-    """For each row of the merged sketch of what hashes_of finds in the texts, the bitmap of counters that reached two."""
+def sketch(docs: DataFrame, hashes_of: Callable[[pa.RecordBatch, np.ndarray, np.ndarray], np.ndarray], width: int = WIDTH_BITS, depth: int = 2, most: int = SLICE_BYTES) -> np.ndarray:
+    """For each row of the merged sketch of what hashes_of finds in the texts, the bitmap of counters that reached two. Texts are scanned by slices of about most bytes."""
     block = min(BLOCK_BITS, width)
     blocks = 1 << (width - block)
 
@@ -60,7 +60,7 @@ def sketch(docs: DataFrame, hashes_of: Callable[[pa.RecordBatch, np.ndarray, np.
                 rows = [(row * blocks + b, low[cuts[b] : cuts[b + 1]], n[cuts[b] : cuts[b + 1]]) for b in full.tolist()]
                 yield pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([_deltas(r[1]) for r in rows], pa.binary()), pa.array([_deltas(r[1][r[2] > 1]) if (r[2] > 1).any() else b"" for r in rows], pa.binary())], ["cell", "once", "twice"])
 
-        for batch, data, offsets in slices(batches):
+        for batch, data, offsets in slices(batches, most=most):
             held.append(hashes_of(batch, data, offsets))
             if sum(map(len, held)) >= STRETCH:
                 yield from flush()

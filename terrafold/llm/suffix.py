@@ -44,6 +44,8 @@ from terrafold.llm.substring import _CHECK, Copies, _by_document, _doc_keys, _ma
 RESULT = "doc_id long, n_bytes long, kept binary, starts array<int>, ends array<int>"
 #: Edge anchors of one gram that are compared in one piece.
 CROWD = 1000
+#: Bytes of text that are sketched at once: their hashes stay in a processor's cache.
+SCAN_BYTES = 1 << 16
 _PLACES = "doc long, mark long, at long, rid long, idx int, n0 long, n12 long, left long, ok boolean, gram long"
 #: A place, how far before it its first string starts, and how far before it its last one, in one number.
 _FAR, _NEAR = 24, 12
@@ -206,7 +208,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100, width: int = WIDTH
         a = Anchors(data, offsets, length)
         return a.gram[original(batch)[a.owner]]
 
-    seen = ship(spark, sketch(rows, grams, width))
+    seen = ship(spark, sketch(rows, grams, width, most=SCAN_BYTES))
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in slices(batches):

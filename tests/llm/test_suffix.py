@@ -89,3 +89,27 @@ def test_fingerprints_of_several_arrays():
     data = np.frombuffer(b"abcabcab", np.uint8)
     a, b = suffix.fingerprints(data, (np.array([0, 1]), np.array([3, 4])), (np.array([3, 3]), np.array([6, 3])))
     assert a[0] == b[0] and len({*a.tolist(), *b.tolist()}) == 3
+
+
+@pytest.mark.parametrize("span", [1, 2, 3, 50, 300])
+def test_least_places_of_equals_and_few(span):
+    """Values that are all equal, of few kinds, rising and falling, and fewer than a span."""
+    rng = np.random.default_rng(7)
+    for n in (0, 1, 49, 50, 51, 400):
+        for values in (np.zeros(n), rng.integers(0, 2, n), np.arange(n), np.arange(n)[::-1], rng.integers(0, 2**63, n)):
+            values = values.astype(np.uint64)
+            plain = [i + span - 1 - int(np.argmin(values[i : i + span][::-1])) for i in range(n - span + 1)]
+            assert common.least_places(values, span).tolist() == plain
+
+
+def test_texts_are_sketched_by_slices_of_a_size(spark):
+    """A slice is no longer than asked unless one text is; the sketch is the same."""
+    docs = spark.createDataFrame([(str(i % 7) * 300,) for i in range(40)] + [("x" * 5000,)], "text string").coalesce(1)
+
+    def hashes(batch, data, offsets, most):
+        assert len(data) <= most or batch.num_rows == 1
+        return np.unique(data).astype(np.uint64)
+
+    every = [suffix.sketch(docs, lambda *found: np.concatenate([np.unique(found[1][a:b]).astype(np.uint64) for a, b in zip(found[2], found[2][1:], strict=False)]), 10, most=most) for most in (1000, 1 << 18)]
+    assert (every[0] == every[1]).all()
+    suffix.sketch(docs, lambda *found: hashes(*found, 1000), 10, most=1000)
