@@ -1,6 +1,7 @@
 """Scoring by a gated recurrent language model in numpy, beside a smoothed unigram model.
 
-Counts. All training tokens are counted, by hash, in partitions of their own. The
+Counts. All training tokens are counted, by hash, in partitions of their own, in a
+first pass over the texts; a second one stores the numbers of their words. The
 FREQUENT most frequent words go to the tasks; the first WORDS of them are the
 model's words, any other word is its unknown word, whose probability is shared
 out among all other words by their smoothed counts. So every text has a proper
@@ -42,9 +43,12 @@ ROUNDS, REPLICA_TOKENS = 2, 2_000_000
 WINDOW, LANES, RATE = 24, 128, 0.3
 #: A task scores so many tokens side by side: lanes are as many as go without one being longer than the longest text.
 SCORE_WINDOW, SCORE_LANES, SCORE_TOKENS = 64, 512, 4_000_000
+#: A word that a window has so often is summed alone.
+OFTEN = 12
 UNKNOWN, END = 0, 1
 SLOT_BITS = 18
 END_HASH = np.uint64(0x9D39247E33776D41)
+NUMBERED = "part int, place int, doc_id long, train boolean, n long, known long, base double, unknown long, score double, ids binary, bucket int, a binary, b binary, c binary"
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -120,6 +124,25 @@ def _by_kind(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x.reshape(len(x), 3, -1).transpose(1, 0, 2))
 
 
+def _sums(rows: np.ndarray, order: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Sums of rows by word: those of a word are order[first], ..., as many as it counts; counts fall."""
+    out = rows.take(order.take(first), axis=0)
+    often = int(np.searchsorted(-count, -OFTEN, "right"))
+    if often:
+        block, ones = rows.take(order.take(runs(first[:often], count[:often])), axis=0), np.ones(count[0], rows.dtype)
+        at = 0
+        for k, n in enumerate(count[:often].tolist()):
+            np.dot(ones[:n], block[at : at + n], out=out[k])
+            at += n
+    # the others take one row each at a time
+    for k in range(1, OFTEN):
+        to = int(np.searchsorted(-count, -k))
+        if to <= often:
+            break
+        out[often:to] += rows.take(order.take(first[often:to] + k), axis=0)
+    return out
+
+
 def _leaves(x: np.ndarray) -> bool:
     """Whether exponentials of x, or sums of them, may leave float32."""
     return bool(x.size) and not (x.max() <= 80 and x.min() >= -80)
@@ -168,6 +191,7 @@ class Model:
         #: the words of each class, a column each
         rows, starts = WIDTH + 1, self.starts.tolist()
         self.of_class = [self.words[rows * a : rows * b].reshape(rows, b - a) for a, b in zip(starts, starts[1:], strict=False)]
+        self.turned_class = [block[:WIDTH].T for block in self.of_class]
 
     def blank(self) -> Model:
         out = object.__new__(Model)
@@ -177,22 +201,25 @@ class Model:
         return out
 
     def turned(self, x: np.ndarray) -> np.ndarray:
-        """x by kind of column (z, r, new), as step takes it: a gate is (1 + tanh(x / 2)) / 2, and a new state tanh(x)."""
-        return _by_kind(x) * np.array([0.5, 0.5, 1], x.dtype)[:, None, None]
+        """x by kind of column (z, r, new), as step takes it: with the signs of gates turned, since a gate is 1 / (1 + exp(-x))."""
+        return _by_kind(x) * np.array([-1, -1, 1], x.dtype)[:, None, None]
 
     def step(self, x: np.ndarray, h: np.ndarray, u: np.ndarray, a: np.ndarray, out: np.ndarray) -> None:
-        """One step from input projections x and states h, by turned weights, to states out; x becomes the gates and new states, a what u makes of h (turned; a[1] is lost)."""
+        """One step from input projections x and states h, by turned weights, to states out; x becomes one over each gate and new states, a what u makes of h (turned; a[1] is lost)."""
+        with np.errstate(over="ignore", under="ignore"):
+            self._step(x, h, u, a, out)
+
+    def _step(self, x: np.ndarray, h: np.ndarray, u: np.ndarray, a: np.ndarray, out: np.ndarray) -> None:
         np.matmul(h, u, out=a)
         gates, new = x[:2], x[2]
         gates += a[:2]
-        np.tanh(gates, out=gates)
-        gates *= 0.5
-        gates += 0.5
-        np.multiply(gates[1], a[2], out=a[1])
+        np.exp(gates, out=gates)
+        gates += 1
+        np.divide(a[2], gates[1], out=a[1])
         new += a[1]
         np.tanh(new, out=new)
         np.subtract(h, new, out=out)
-        out *= gates[0]
+        out /= gates[0]
         out += new
 
     def losses(self, h: np.ndarray, target: np.ndarray, back: Model | None = None) -> tuple[np.ndarray, np.ndarray | None]:
@@ -210,17 +237,17 @@ class Model:
         e = s @ self.classes
         if _leaves(e):
             e -= e.max(axis=1, keepdims=True)
-        logs = e[rows, own].astype(np.float64)
+        of_own, flat = rows * e.shape[1] + own, e.reshape(-1)
+        logs = flat.take(of_own).astype(np.float64)
         np.exp(e, out=e)
         total = e @ np.ones(e.shape[1], h.dtype)
         logs -= np.log(total)
         dh = None
         if back is not None:
-            e[rows, own] -= total
-            scaled = s / -total[:, None]
-            np.matmul(scaled.T, e, out=back.classes)
+            flat[of_own] -= total
+            e /= -total[:, None]
+            np.matmul(s.T, e, out=back.classes)
             dh = e @ self.classes[:width].T
-            dh /= -total[:, None]
         # words within classes: a row of e for each target, as long as its class, one after another
         sizes = np.diff(self.starts)[own]
         ends = np.cumsum(sizes)
@@ -231,7 +258,7 @@ class Model:
             size = starts[c + 1] - starts[c]
             if i < j and size > 1:
                 x = e[begin[i] : ends[j - 1]].reshape(j - i, size)
-                np.matmul(s[i:j], self.of_class[c], out=x)
+                np.dot(s[i:j], self.of_class[c], out=x)
                 parts.append((i, j, c, x))
                 continue
             # no target, or the one word of a class, which is certain
@@ -253,8 +280,8 @@ class Model:
             scaled = s / -total[:, None]
             word_dh = np.zeros_like(dh)
             for i, j, c, x in parts:
-                np.matmul(scaled[i:j].T, x, out=back.of_class[c])
-                np.matmul(x, self.of_class[c][:width].T, out=word_dh[i:j])
+                np.dot(scaled[i:j].T, x, out=back.of_class[c])
+                np.dot(x, self.turned_class[c], out=word_dh[i:j])
             word_dh /= -total[:, None]
             dh += word_dh
             back_to = np.empty_like(order)
@@ -266,57 +293,65 @@ class Model:
         """Truncated backpropagation through one window (steps by lanes) from states h; gradients of the log likelihood replace those in back, of embeddings in the rows back.touched alone."""
         t, n = len(inputs), WIDTH
         lanes, kind = len(h), h.dtype
-        # inputs by word: what is the same for a word is done once
+        # inputs by word, the most frequent first: what is the same for a word is done once
         flat = inputs.ravel().astype(np.uint16)
         order = np.argsort(flat, kind="stable")
         flat = flat.take(order)
-        new_word = np.empty(len(flat), bool)
-        new_word[0], new_word[1:] = True, flat[1:] != flat[:-1]
-        first = np.flatnonzero(new_word)
-        words = flat[first].astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+        count = np.diff(np.concatenate([first, [len(flat)]]))
+        falling = np.argsort(-count, kind="stable")
+        place = np.empty_like(falling)
+        place[falling] = np.arange(len(falling))
         which = np.empty(len(flat), np.int64)
-        which[order] = np.cumsum(new_word) - 1
+        which[order] = np.repeat(place, count)
+        first, count = first.take(falling), count.take(falling)
+        words = flat.take(first).astype(np.int64)
         own = self.embedding.take(words, axis=0)
         x = np.matmul(own, self.turned(self.w))
         x += self.turned(self.b[None])
-        x, u = x.take(which, axis=1).reshape(3, t, lanes, n), self.turned(self.u)
+        projected, u, which = x, self.turned(self.u), which.reshape(t, lanes)
+        x = np.empty((t, 3, lanes, n), kind)
         states = np.empty((t + 1, lanes, n), kind)
         states[0] = h
         made = np.empty((t, 3, lanes, n), kind)
-        for i in range(t):
-            self.step(x[:, i], states[i], u, made[i], states[i + 1])
+        with np.errstate(over="ignore", under="ignore"):
+            for i in range(t):
+                np.take(projected, which[i], axis=1, out=x[i], mode="clip")
+                self._step(x[i], states[i], u, made[i], states[i + 1])
         logs, dh = self.losses(states[1:].reshape(-1, n), targets.ravel(), back)
         dh = dh.reshape(t, lanes, n)
-        z, r, new = x
-        # what a state's gradient is multiplied by on its way to z, r and, through the reset gate, the new state; without that gate to_new
-        ways, to_new, one = np.empty((t, lanes, 3, n), kind), new * new, kind.type(1)
+        new = x[:, 2]
+        z, r = np.divide(1, x[:, 0]), np.divide(1, x[:, 1])
+        # what a state's gradient is multiplied by on its way to z, r and the new state, there without the reset gate
+        one, to_new = kind.type(1), new * new
         np.subtract(one, to_new, out=to_new)
         not_z = one - z
         to_new *= not_z
-        way = states[:-1] - new
-        way *= z
-        np.multiply(way, not_z, out=ways[:, :, 0])
-        np.multiply(to_new, r, out=way)
-        ways[:, :, 2] = way
-        np.subtract(one, r, out=not_z)
-        way *= not_z
-        np.multiply(way, made[:, 2], out=ways[:, :, 1])
+        to_z = states[:-1] - new
+        to_z *= z
+        to_z *= not_z
+        through = to_new * r
+        to_r = np.subtract(one, r, out=not_z)
+        to_r *= through
+        to_r *= made[:, 2]
         carry, gone, ut = np.zeros((lanes, n), kind), np.empty((lanes, n), kind), np.ascontiguousarray(self.u.T)
+        da = np.empty((t, lanes, 3, n), kind)
         for i in range(t - 1, -1, -1):
-            d = dh[i]
+            d, own_da = dh[i], da[i]
             d += carry
-            ways[i] *= d[:, None]
-            np.matmul(ways[i].reshape(lanes, 3 * n), ut, out=gone)
+            np.multiply(to_z[i], d, out=own_da[:, 0])
+            np.multiply(to_r[i], d, out=own_da[:, 1])
+            np.multiply(through[i], d, out=own_da[:, 2])
+            np.matmul(own_da.reshape(lanes, 3 * n), ut, out=gone)
             np.multiply(d, z[i], out=carry)
             carry += gone
-        da = ways.reshape(-1, 3 * n)
-        np.matmul(states[:-1].reshape(-1, n).T, da, out=back.u)
-        np.multiply(dh, to_new, out=ways[:, :, 2])
-        np.matmul(np.ones(t * lanes, kind), da, out=back.b)
-        np.matmul(own.take(which, axis=0).T, da, out=back.w)
-        # gradients of a word's embedding are summed before they are added
-        entering = da @ self.w.T
-        back.embedding[words] = np.add.reduceat(entering.take(order, axis=0), first)
+        np.matmul(states[:-1].reshape(-1, n).T, da.reshape(-1, 3 * n), out=back.u)
+        np.multiply(dh, to_new, out=da[:, :, 2])
+        # a word's rows are summed before they go through the weights
+        da = _sums(da.reshape(-1, 3 * n), order, first, count)
+        np.matmul(np.ones(len(da), kind), da, out=back.b)
+        np.matmul(own.T, da, out=back.w)
+        back.embedding[words] = da @ self.w.T
         back.touched = words
         return float(logs.sum()), states[t].copy()
 
@@ -343,15 +378,19 @@ class Model:
                 np.multiply(g, g, out=step)
                 squares += step
                 np.sqrt(squares, out=step)
-                g *= RATE
-                g /= step
-                own += g
+                np.divide(g, step, out=step)
+                step *= RATE
+                own += step
             # embeddings of words that the window has not stay as they are
             words = back.touched
-            d = back.embedding[words]
-            total = seen.embedding[words] + d * d
+            d, total = back.embedding.take(words, axis=0), seen.embedding.take(words, axis=0)
+            total += d * d
             seen.embedding[words] = total
-            self.embedding[words] += RATE * d / np.sqrt(total)
+            np.sqrt(total, out=total)
+            d *= RATE
+            d /= total
+            d += self.embedding.take(words, axis=0)
+            self.embedding[words] = d
 
     def score(self, tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
         """log10 probability of each text, given by the ranks of its tokens."""
@@ -391,10 +430,11 @@ class Model:
             a = np.empty((3, live, width), np.float32)
             states = np.empty((t + 1, live, width), np.float32)
             states[0] = h[:live]
-            for i in range(t):
-                # a new text starts from nothing; the state before it stays, as its own text's
-                h = states[i] * ~starts[i][:, None] if some[i] else states[i]
-                self.step(x[:, i], h, u, a, states[i + 1])
+            with np.errstate(over="ignore", under="ignore"):
+                for i in range(t):
+                    # a new text starts from nothing; the state before it stays, as its own text's
+                    h = states[i] * ~starts[i][:, None] if some[i] else states[i]
+                    self._step(x[:, i], h, u, a, states[i + 1])
             h = states[t]
             passed = states[1:].reshape(-1, width)
             if not inside.all():
@@ -460,20 +500,75 @@ def count_words(rows: DataFrame) -> Vocabulary:
     return Vocabulary(hashes[best], counts[best], sum(r.tokens for r in found), sum(r.distinct for r in found))
 
 
-def fit(rows: DataFrame, vocabulary: Vocabulary) -> Model:
-    """The model, trained by replicas whose parameters are averaged after each round."""
-    spark = rows.sparkSession
-    words = spark.sparkContext.broadcast(vocabulary)
+def number_words(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """NUMBERED, stored, so texts are cut into words once: for each document the model's numbers of its tokens and
+    what its frequent words say of it, with its place in its part; for each bucket of hashes and part the occurrences
+    of other words: hashes, places, and how often, negative in held-out documents, where they do not count.
+    """
+    words = rows.sparkSession.sparkContext.broadcast(vocabulary)
+    buckets = 8 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    schema = pa.schema([("part", pa.int32()), ("place", pa.int32()), ("doc_id", pa.int64()), ("train", pa.bool_()), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("unknown", pa.int64()), ("score", pa.float64()), ("ids", pa.binary()), ("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
 
-    def training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = batch.filter(pa.array(_folds(batch.column("doc_id")) % 7 != 2))
-            for part, data, offsets in slices([kept]):
-                hashes, first = token_hashes(data, offsets)
-                raw = words.value.numbers(hashes).astype(np.uint16).tobytes()
-                yield pa.record_batch([pa.array([raw[2 * a : 2 * b] for a, b in zip(first.tolist(), first[1:].tolist(), strict=False)], pa.binary()), pa.array(np.diff(first)), part.column("doc_id")], ["ids", "n", "doc_id"])
+    def batch_of(length: int, /, **columns: list | np.ndarray | pa.Array) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(length, f.type) for f in schema], schema=schema)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, at_row, held, n_held = TaskContext.get().partitionId(), 0, [], 0
+        vocab = words.value
+        logs = np.log10(vocab.counts + 1.0)
+
+        def flush() -> pa.RecordBatch:
+            h, doc, n = (np.concatenate(c) for c in zip(*held, strict=True))
+            held.clear()
+            order = np.argsort(h, kind="stable")
+            h, doc, n = h[order], doc[order].astype(np.int32), n[order].astype(np.int32)
+            bucket = (h >> np.uint64(32)).astype(np.int64) * buckets >> 32
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(h)]]).tolist() if len(h) else [0]
+            ranges = list(zip(cuts, cuts[1:], strict=False))
+            own = {name: [x[i:j].tobytes() for i, j in ranges] for name, x in (("a", h), ("b", doc), ("c", n))}
+            return batch_of(len(ranges), part=[part] * len(ranges), bucket=[int(bucket[i]) for i, _ in ranges], **own)
+
+        for batch, data, offsets in slices(batches):
+            hashes, first = token_hashes(data, offsets)
+            docs_here, n = batch.num_rows, np.diff(first)
+            train = _folds(batch.column("doc_id")) % 7 != 2
+            owner = np.repeat(np.arange(docs_here), n)
+            at, there = vocab.look_up(hashes)
+            number = np.where(there, vocab.number.take(at), UNKNOWN) if len(vocab.hashes) else np.zeros(len(hashes), np.int64)
+            own = np.where(there, logs.take(at), 0.0) if len(vocab.hashes) else np.zeros(len(hashes))
+            unknown = number == UNKNOWN
+            raw, cuts = number.astype(np.uint16).tobytes(), (2 * first).tolist()
+            yield batch_of(
+                docs_here, part=np.full(docs_here, part), place=np.arange(at_row, at_row + docs_here), doc_id=batch.column("doc_id"), train=train, n=n,
+                known=np.bincount(owner, there, docs_here).astype(np.int64), base=np.bincount(owner, own, docs_here),
+                unknown=np.bincount(owner, unknown, docs_here).astype(np.int64), score=np.bincount(owner, own * unknown, docs_here),
+                ids=[raw[i:j] for i, j in zip(cuts, cuts[1:], strict=False)],
+            )
+            rare = np.flatnonzero(~there)
+            doc, h = owner[rare], hashes[rare]
+            order = np.lexsort((h, doc))
+            h, doc = h[order], doc[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+            start = np.flatnonzero(new)
+            times = np.diff(np.append(start, len(h)))
+            held.append((h[start], doc[start] + at_row, np.where(train[doc[start]], times, -times)))
+            n_held += len(start)
+            at_row += docs_here
+            if n_held > 1_000_000:
+                yield flush()
+                n_held = 0
+        if held:
+            yield flush()
+
+    return stored(rows.mapInArrow(scan, NUMBERED))
 
-    train = stored(rows.mapInArrow(training, "ids binary, n long, doc_id long"))
+
+def fit(rows: DataFrame, vocabulary: Vocabulary, numbered: DataFrame | None = None) -> Model:
+    """The model, trained by replicas whose parameters are averaged after each round; numbered: rows by number_words, if they are there."""
+    spark = rows.sparkSession
+    words = spark.sparkContext.broadcast(vocabulary)
+    train = (number_words(rows, vocabulary) if numbered is None else numbered).filter("train").select("ids", "n", "doc_id")
     total = train.agg(F.sum("n")).first()[0] or 0
     model = Model(vocabulary.frequency)
     if not total:
@@ -481,7 +576,8 @@ def fit(rows: DataFrame, vocabulary: Vocabulary) -> Model:
     replicas = -(-total // REPLICA_TOKENS)
     block = 1 << 14
     groups = math.isqrt(replicas - 1) + 1  # replicas are averaged in groups, then the groups
-    dealt = train.repartition(int(replicas), F.xxhash64("ids", "doc_id"))
+    # a session may deal rows to more partitions than asked for; replicas, of which each shuffles a whole model, stay as many
+    dealt = train.repartition(int(replicas), F.xxhash64("ids", "doc_id")).coalesce(int(replicas))
     schema = "block int, group int, x binary, weight long"
     for round_ in range(ROUNDS):
         now = spark.sparkContext.broadcast(model.flat.copy())
@@ -523,82 +619,44 @@ def score_documents(docs: DataFrame) -> DataFrame:
     rows = texts(docs)
     spark = docs.sparkSession
     vocabulary = count_words(rows)
-    trained = fit(rows, vocabulary)
+    numbered = number_words(rows, vocabulary)
+    trained = fit(rows, vocabulary, numbered)
     words, flat = spark.sparkContext.broadcast(vocabulary), spark.sparkContext.broadcast(trained.flat)
-    buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    schema = "bucket int, part int, rare boolean, a binary, b binary, c binary"
-    names = ["bucket", "part", "rare", "a", "b", "c"]
+    schema = "part int, rare boolean, a binary, b binary, c binary"
+    names = ["part", "rare", "a", "b", "c"]
     known_kind = np.dtype([("doc", np.int64), ("null", np.bool_), ("held_out", np.bool_), ("n", np.int64), ("known", np.int64), ("base", np.float64), ("score", np.float64), ("unknown", np.int64)])
 
-    def row(bucket: int, part: int, rare: bool, a: bytes, b: bytes, c: bytes) -> pa.RecordBatch:
-        return pa.record_batch([pa.array([bucket], pa.int32()), pa.array([part], pa.int32()), pa.array([rare]), *(pa.array([x], pa.binary()) for x in (a, b, c))], names)
+    def row(part: int, rare: bool, a: bytes, b: bytes, c: bytes) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([part], pa.int32()), pa.array([rare]), *(pa.array([x], pa.binary()) for x in (a, b, c))], names)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """What a document's frequent words and the model say of it; occurrences of other words, by hash."""
-        part, at_row, held = TaskContext.get().partitionId(), 0, []
-        waiting: list[tuple] = []  # batches whose texts are not scored yet
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What a document's frequent words and the model say of it."""
+        waiting: list[tuple] = []  # documents that are not scored yet
         n_waiting = 0
-        vocab, model = words.value, Model(words.value.frequency, flat.value)
+        model = Model(words.value.frequency, flat.value)
 
         def flush() -> Iterator[pa.RecordBatch]:
-            h, doc, n = (np.concatenate(c) for c in zip(*held, strict=True))
-            held.clear()
-            order = np.argsort(h, kind="stable")
-            h, doc, n = h[order], doc[order], n[order]
-            bucket = (h >> np.uint64(32)).astype(np.int64) * buckets >> 32
-            for own in np.split(np.arange(len(h)), np.flatnonzero(np.diff(bucket)) + 1) if len(h) else ():
-                yield row(int(bucket[own[0]]), part, True, h[own].tobytes(), doc[own].astype(np.int32).tobytes(), n[own].astype(np.int32).tobytes())
-
-        def scored() -> Iterator[pa.RecordBatch]:
-            ranks, first = np.concatenate([w[2] for w in waiting]), np.concatenate([[0], np.cumsum(np.concatenate([w[1]["n"] for w in waiting]))])
-            scores = np.split(model.score(ranks, first), np.cumsum([len(w[1]) for w in waiting])[:-1])
-            for (begin, out, _), score in zip(waiting, scores, strict=True):
-                out["score"] += score
-                yield row(-1 - (part + begin) % buckets, part, False, out.tobytes(), np.arange(begin, begin + len(out), dtype=np.int32).tobytes(), b"")
+            out, part, place, ranks = (np.concatenate(c) for c in zip(*waiting, strict=True))
             waiting.clear()
+            out["score"] += model.score(ranks, np.concatenate([[0], np.cumsum(out["n"])]))
+            for k in np.unique(part).tolist():
+                own = part == k
+                yield row(k, False, out[own].tobytes(), place[own].tobytes(), b"")
 
-        for batch, data, offsets in slices(batches, most=8 << 20):
-            hashes, first = token_hashes(data, offsets)
-            docs_here = batch.num_rows
-            folds = _folds(batch.column("doc_id"))
-            out = np.zeros(docs_here, known_kind)
-            ids = batch.column("doc_id")
+        for batch in batches:
+            ids, out = batch.column("doc_id"), np.zeros(batch.num_rows, known_kind)
             out["null"] = ~ids.is_valid().to_numpy(zero_copy_only=False)
             out["doc"] = ids.fill_null(0).to_numpy(zero_copy_only=False)
-            out["held_out"] = (folds % 7 == 2) & ~out["null"]
-            out["n"] = np.diff(first)
-            owner = np.repeat(np.arange(docs_here), np.diff(first))
-            at, there = vocab.look_up(hashes)
-            number = np.where(there, vocab.number[at], UNKNOWN) if len(vocab.hashes) else np.zeros(len(hashes), np.int64)
-            logs = np.log10(vocab.counts + 1.0)
-            own = np.where(there, logs[at], 0.0) if len(vocab.hashes) else np.zeros(len(hashes))
-            out["known"] = np.bincount(owner, there, docs_here).astype(np.int64)
-            out["base"] = np.bincount(owner, own, docs_here)
-            unknown = number == UNKNOWN
-            out["unknown"] = np.bincount(owner, unknown, docs_here).astype(np.int64)
-            out["score"] = np.bincount(owner, own * unknown, docs_here)
-            waiting.append((at_row, out, model.rank[number].astype(np.uint16)))
-            n_waiting += len(number)
-            rare = np.flatnonzero(~there)
-            doc = owner[rare]
-            order = np.lexsort((hashes[rare], doc))
-            h, doc = hashes[rare][order], doc[order] + at_row
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-            start = np.flatnonzero(new)
-            train = folds % 7 != 2
-            n = np.diff(np.append(start, len(h)))
-            # a held-out document's occurrences do not count: they are marked by a negative number
-            held.append((h[start], doc[start], np.where(train[doc[start] - at_row], n, -n)))
-            at_row += docs_here
-            if sum(len(x[0]) for x in held) > 1_000_000:
-                yield from flush()
+            out["held_out"] = ~batch.column("train").to_numpy(zero_copy_only=False)
+            for name in ("n", "known", "base", "unknown", "score"):
+                out[name] = batch.column(name).to_numpy()
+            numbers = np.frombuffer(b"".join(batch.column("ids").to_pylist()), np.uint16)
+            waiting.append((out, *(batch.column(c).to_numpy().astype(np.int32) for c in ("part", "place")), model.rank.take(numbers).astype(np.uint16)))
+            n_waiting += len(numbers)
             if n_waiting > SCORE_TOKENS:
-                yield from scored()
+                yield from flush()
                 n_waiting = 0
         if waiting:
-            yield from scored()
-        if held:
             yield from flush()
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -619,13 +677,10 @@ def score_documents(docs: DataFrame) -> DataFrame:
             own, where = np.unique(key, return_inverse=True)
             base, known = np.bincount(where, base, len(own)), np.bincount(where, known, len(own))
             for at in np.split(np.arange(len(own)), np.flatnonzero(np.diff(own >> 32)) + 1):
-                yield row(0, int(own[at[0]] >> 32), True, (own[at] & 0xFFFFFFFF).astype(np.int32).tobytes(), base[at].tobytes(), known[at].astype(np.int32).tobytes())
+                yield row(int(own[at[0]] >> 32), True, (own[at] & 0xFFFFFFFF).astype(np.int32).tobytes(), base[at].tobytes(), known[at].astype(np.int32).tobytes())
 
         for batch in batches:
-            for b, part, rare, x, y, z in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if not rare:
-                    yield row(0, part, False, x, y, z)
-                    continue
+            for b, part, x, y, z in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if b != bucket and held:
                     close()
                 bucket = b
@@ -671,5 +726,6 @@ def score_documents(docs: DataFrame) -> DataFrame:
         if docs_:
             yield close()
 
-    scanned = rows.mapInArrow(scan, schema).repartition("bucket").sortWithinPartitions("bucket")
-    return scanned.mapInArrow(counted, schema).repartition("part").sortWithinPartitions("part").mapInArrow(gathered, RESULT)
+    documents = numbered.filter("bucket is null").drop("bucket", "a", "b", "c").mapInArrow(scored, schema)
+    others = numbered.filter("bucket is not null").select("bucket", "part", "a", "b", "c").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(counted, schema)
+    return documents.union(others).repartition("part").sortWithinPartitions("part").mapInArrow(gathered, RESULT)

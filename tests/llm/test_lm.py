@@ -166,3 +166,62 @@ def test_great_numbers_and_classes_of_one_word(small):
         assert np.allclose(model.losses(states, target)[0], want, rtol=1e-4, atol=1e-4)
         assert np.allclose(model.losses(states, target, back)[0], want, rtol=1e-4, atol=1e-4)
         assert (back.of_class[0] == 0).all() and np.isfinite(back.flat).all()
+
+
+def test_step_is_the_plain_one(small):
+    """Gates by exponentials and divisions are the usual gates."""
+    rng = np.random.default_rng(6)
+    model = lm.Model(np.array([9.0, 5, 7, 3]))
+    x, h, out = rng.normal(0, 2, (5, 12)), rng.normal(0, 1, (5, 4)), np.empty((5, 4))
+    z, r = (1 / (1 + np.exp(-(x + h @ model.u)[:, i : i + 4])) for i in (0, 4))
+    new = np.tanh(x[:, 8:] + r * (h @ model.u[:, 8:]))
+    turned = model.turned(x)
+    model.step(turned, h, model.turned(model.u), np.empty((3, 5, 4)), out)
+    assert np.allclose(out, new + z * (h - new)) and np.allclose(1 / turned[:2], [z, r])
+
+
+def test_rows_are_summed_by_word():
+    """Words that occur once, some times and often, also of one word alone."""
+    rng = np.random.default_rng(7)
+    for count in ([1], [40], [1, 1, 1], [lm.OFTEN, lm.OFTEN - 1, 2], sorted(rng.integers(1, 30, 50).tolist(), reverse=True)):
+        count = np.array(count)
+        word = rng.permutation(np.repeat(np.arange(len(count)), count))
+        rows = rng.normal(0, 1, (len(word), 6))
+        got = lm._sums(rows, np.argsort(word, kind="stable"), np.cumsum(count) - count, count)
+        assert np.allclose(got, [rows[word == k].sum(axis=0) for k in range(len(count))])
+
+
+def test_texts_are_numbered_once(spark):
+    """Numbers of all words of every document, held-out ones too, and the occurrences of the others, by plain counting."""
+    texts = {d: t or "" for d, t in corpus(40).items() if d != 1003}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    vocabulary = lm.count_words(df)
+    kept = np.argsort(-vocabulary.counts, kind="stable")[:30]  # the others are rare
+    few = lm.Vocabulary(vocabulary.hashes[kept], vocabulary.counts[kept], vocabulary.train_tokens, vocabulary.distinct)
+    rows = lm.number_words(df, few).collect()
+    docs = {r.doc_id: r for r in rows if r.bucket is None}
+    assert docs.keys() == texts.keys() and len({(r.part, r.place) for r in docs.values()}) == len(docs)
+    own = {d: lm.token_hashes(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[0] for d, t in texts.items()}
+    want = Counter()
+    for d, h in own.items():
+        r, train = docs[d], zlib.crc32(str(d).encode()) % 7 != 2
+        assert (r.train, r.n, r.known) == (train, len(h), int(np.isin(h, few.hashes).sum()))
+        assert np.frombuffer(r.ids, np.uint16).tolist() == few.numbers(h).tolist()
+        want.update({(r.part, r.place, x): (1 if train else -1) for x in set(h.tolist()) - set(few.hashes.tolist())})
+        for key in [k for k in want if k[:2] == (r.part, r.place)]:
+            want[key] *= int((h == key[2]).sum())
+    got = {}
+    for r in rows:
+        if r.bucket is not None:
+            got |= {(r.part, p, h): n for h, p, n in zip(np.frombuffer(r.a, np.uint64).tolist(), np.frombuffer(r.b, np.int32).tolist(), np.frombuffer(r.c, np.int32).tolist(), strict=True)}
+    assert got == dict(want)
+
+
+def test_replicas_do_not_follow_partitions(spark, monkeypatch):
+    """Where a session deals rows to more partitions than asked for, the same number of replicas trains."""
+    docs = spark.createDataFrame([(i, "one two three four five six seven eight") for i in range(40)], "doc_id long, text string")
+    vocabulary = lm.count_words(docs)
+    once = lm.fit(docs, vocabulary).flat
+    deal = type(docs).repartition
+    monkeypatch.setattr(type(docs), "repartition", lambda self, n, *cols: deal(self, 20 if cols and isinstance(n, int) else n, *cols))
+    assert (lm.fit(docs, vocabulary).flat == once).all()
